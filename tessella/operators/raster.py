@@ -78,13 +78,12 @@ def map_labels_valid(df: DataFrame, mapping: dict[int, int]) -> DataFrame:
     return df.withColumn("valid", hit.isNotNull().cast("int")).withColumn("label", F.coalesce(hit, F.lit(0)))
 
 
-def map_classes(classes: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename ``cls`` through the mapping. When several classes get the same mapped name only the first
-    (lowest ``cls_order``) stays; classes outside the mapping are kept."""
-    named = classes.withColumn("_m", literal_map(mapping)[F.col("cls")])
-    new = named.withColumn("cls", F.coalesce("_m", "cls"))
-    # an unmapped class that already carries the name counts as its first owner too
-    rank = F.row_number().over(Window.partitionBy("cls").orderBy("cls_order"))
+def map_classes(classes: DataFrame, mapping: dict[str, str], keys: list[str]) -> DataFrame:
+    """Rename ``cls`` through the mapping inside each dictionary (``keys``). When several classes get the
+    same mapped name only the first (lowest ``cls_order``) stays; classes outside the mapping are kept."""
+    hit = classes.withColumn("_m", literal_map(mapping)[F.col("cls")])
+    new = hit.withColumn("cls", F.coalesce("_m", "cls"))
+    rank = F.row_number().over(Window.partitionBy(*keys, "cls").orderBy("cls_order"))
     return new.withColumn("_r", rank).where((F.col("_r") == 1) | F.col("_m").isNull()).drop("_r", "_m")
 
 

@@ -76,13 +76,7 @@ CLASSES = """SELECT slide_id, cls, CAST(min(det_id) AS BIGINT) AS cls_order FROM
 ) WHERE r = 1 OR keep""")
 def _(spark, d):
     c = view(spark, d, "det").groupBy("slide_id", "cls").agg(F.min("det_id").alias("cls_order"))
-    # one class dictionary per slide: the slide is part of the class key
-    keyed = c.withColumn("cls_name", F.col("cls"))
-    m = R.literal_map({"click": "use", "view": "use"})
-    out = keyed.withColumn("_m", m[F.col("cls")]).withColumn("cls", F.coalesce("_m", "cls"))
-    from pyspark.sql import Window
-    r = F.row_number().over(Window.partitionBy("slide_id", "cls").orderBy("cls_order"))
-    return (out.withColumn("_r", r).where("_r = 1 OR _m IS NULL").select("slide_id", "cls_order", "cls"))
+    return R.map_classes(c, {"click": "use", "view": "use"}, ["slide_id"])
 
 
 SC = with_views("scores")

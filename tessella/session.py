@@ -19,7 +19,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         b = b.master(master)
         if master.startswith("local"):
-            b = b.config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
+            b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()
