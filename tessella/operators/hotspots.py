@@ -16,18 +16,21 @@ def top_hotspots(scores: DataFrame, radius: int, count: int = 10) -> DataFrame:
 
     Each round is one map-side aggregate over the pixels; only the winners, one row per slide, are kept.
     """
-    left = scores.where("score > 0").select("slide_id", "row", "col", "score")
-    winners = []
+    base = scores.where("score > 0").select("slide_id", "row", "col", "score")
+    left, winners = base, []
     for rank in range(1, count + 1):
         best = left.groupBy("slide_id").agg(
             F.max_by(F.struct("row", "col", "score"), F.struct(F.col("score"), -F.col("row"), -F.col("col"))).alias("b"))
-        t = Table(best.select("slide_id", "b.*"), n=F.count(F.lit(1)))
+        t = Table(best.select("slide_id", F.lit(rank).alias("rank"), "b.*"), n=F.count(F.lit(1)))
         if not t.metrics["n"]:
             break
-        winners.append(t.df.select("slide_id", F.lit(rank).alias("rank"), "row", "col", "score"))
-        at = t.df.select("slide_id", F.col("row").alias("_r"), F.col("col").alias("_c"))
-        dy, dx = F.col("row") - F.col("_r"), F.col("col") - F.col("_c")
-        left = left.join(at, "slide_id").where(dy * dy + dx * dx > radius * radius).drop("_r", "_c")
+        winners.append(t.df)
+        # at most ``count`` discs per slide; slides without a winner this round have nothing left
+        taken = reduce(DataFrame.unionByName, winners).groupBy("slide_id").agg(
+            F.collect_list(F.struct("row", "col")).alias("_taken"), F.max("rank").alias("_rank"))
+        left = (base.join(taken.where(F.col("_rank") == rank), "slide_id")
+                .where(~F.exists("_taken", lambda p: (p["row"] - F.col("row")) ** 2 + (p["col"] - F.col("col")) ** 2
+                                 <= radius * radius)).drop("_taken", "_rank"))
     if not winners:
-        return left.select("slide_id", F.lit(0).alias("rank"), "row", "col", "score")
+        return base.select("slide_id", F.lit(0).alias("rank"), "row", "col", "score")
     return reduce(DataFrame.unionByName, winners)

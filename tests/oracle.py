@@ -77,7 +77,7 @@ if __name__ == "__main__":
     from tessella.session import build_session
 
     spark = build_session("local[8]", 8)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     sf_dir = f"/root/testdata/{sys.argv[1]}"
     con = connect(sf_dir)
     q, o = queries(), oracle_sql()
