@@ -73,29 +73,41 @@ def circle_diameter_px(diameter_mm: float, spacing: float) -> int:
     return int(1000.0 * diameter_mm / spacing)
 
 
-def disc_sum(px: DataFrame, levels: DataFrame, diameter: int, value: str = "label", tile: int = 512) -> DataFrame:
-    """Sum of ``value`` over the pixels closer than diameter / 2, from running sums along the rows."""
-    radius = diameter / 2.0
+def disc_spans(radius: float) -> tuple[list[tuple[int, int]], int]:
+    """Rows of a disc as (row offset, half width) for the offsets closer than ``radius``, and its reach."""
     reach = int(np.ceil(radius))
     spans = []
     for dr in range(-reach, reach + 1):
-        cols = [dc for dc in range(-reach, reach + 1) if np.hypot(dr, dc) < radius]
+        cols = [dc for dc in range(reach + 1) if np.hypot(dr, dc) < radius]
         if cols:
             spans.append((dr, max(cols)))
+    return spans, reach
+
+
+def _span_sums(g: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    side = g.shape[0]
+    run = np.zeros((side, side + 1), dtype=np.int64 if g.dtype == bool else g.dtype)
+    np.cumsum(g, axis=1, out=run[:, 1:])
+    total = np.zeros((side, side), dtype=run.dtype)
+    at = np.arange(side)
+    for dr, half in spans:
+        line = run[:, np.minimum(at + half + 1, side)] - run[:, np.maximum(at - half, 0)]
+        total[max(0, -dr):side + min(0, -dr)] += line[max(0, dr):side + min(0, dr)]
+    return total
+
+
+def disc_close(mask: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    """Dilation followed by erosion with the disc; outside the window counts as unset."""
+    grown = _span_sums(mask, spans) > 0
+    return ~(_span_sums(~grown, spans) > 0)
+
+
+def disc_sum(px: DataFrame, levels: DataFrame, diameter: int, value: str = "label", tile: int = 512) -> DataFrame:
+    """Sum of ``value`` over the pixels closer than diameter / 2, from running sums along the rows."""
+    spans, reach = disc_spans(diameter / 2.0)
 
     def kernel(g, inside):
-        side = g.shape[0]
-        run = np.zeros((side, side + 1), dtype=g.dtype)
-        np.cumsum(np.where(inside, g, 0), axis=1, out=run[:, 1:])
-        total = np.zeros_like(g)
-        at = np.arange(side)
-        for dr, half in spans:
-            hi, lo = np.minimum(at + half + 1, side), np.maximum(at - half, 0)
-            line = run[:, hi] - run[:, lo]
-            src = slice(max(0, dr), side + min(0, dr))
-            dst = slice(max(0, -dr), side + min(0, -dr))
-            total[dst] += line[src]
-        return total
+        return _span_sums(np.where(inside, g, 0), spans)
     kind = "double" if px.schema[value].dataType.simpleString() in ("double", "float") else "bigint"
     return map_tiles(px.where(F.col(value) != 0), levels, kernel, value, "total", kind, tile, reach)
 
