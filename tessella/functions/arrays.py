@@ -6,46 +6,57 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _gather(px: str, h: int, w: int, c: int, source) -> Column:
-    """New patch of shape (h, w, c) whose value at (y, x, k) is ``px[source(y, x, k)]``."""
-    def at(i):
-        k = F.pmod(i, F.lit(c)) if c > 1 else F.lit(0)
-        p = F.floor(i / c) if c > 1 else i
-        return F.get(px, source(F.floor(p / w), F.pmod(p, F.lit(w)), k).cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.lit(h * w * c - 1)), at)
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row. Without it the optimizer may inline an
+    expression into a lambda and evaluate it again for every array element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _gather(px: str, h: int, w: int, c: int, source, extra: Column | None = None) -> Column:
+    """New patch of shape (h, w, c) whose value at (y, x, k) is ``px[source(y, x, k)]``; ``extra`` is a per-row
+    value that ``source`` gets as its last argument."""
+    def build(b):
+        def at(i):
+            k = F.pmod(i, F.lit(c)) if c > 1 else F.lit(0)
+            p = F.floor(i / c) if c > 1 else i
+            args = (F.floor(p / w), F.pmod(p, F.lit(w)), k)
+            return F.get(b["px"], source(*args, *([] if extra is None else [b["e"]])).cast("int"))
+        return F.transform(F.sequence(F.lit(0), F.lit(h * w * c - 1)), at)
+    bound = [F.col(px).alias("px")] + ([] if extra is None else [extra.alias("e")])
+    return let(F.struct(*bound), build)
 
 
 def flip(px: str, h: int, w: int, mode: str | Column, c: int = 1) -> Column:
     """Mirror a patch: 'none', 'vertical', 'horizontal' or 'both'; another mode is an error."""
     m = F.lit(mode) if isinstance(mode, str) else mode
-    bad = ~m.isin("none", "vertical", "horizontal", "both")
-    up, side = m.isin("vertical", "both"), m.isin("horizontal", "both")
+    bits = F.when(m == "none", 0).when(m == "vertical", 1).when(m == "horizontal", 2).when(m == "both", 3).otherwise(
+        F.raise_error(F.lit("unknown flip mode")).cast("int"))
 
-    def source(y, x, k):
-        yy = F.when(up, h - 1 - y).otherwise(y)
-        xx = F.when(side, w - 1 - x).otherwise(x)
+    def source(y, x, k, b):
+        yy = F.when(b % 2 == 1, h - 1 - y).otherwise(y)
+        xx = F.when(b >= 2, w - 1 - x).otherwise(x)
         return (yy * w + xx) * c + k
-    return F.when(bad, F.raise_error(F.lit("unknown flip mode"))).otherwise(_gather(px, h, w, c, source))
+    return _gather(px, h, w, c, source, bits)
 
 
 def rot90(px: str, side: int, k: int | Column, c: int = 1) -> Column:
     """Rotate a square patch counter-clockwise k times by 90 degrees."""
-    k = F.pmod(F.lit(k) if isinstance(k, int) else k, F.lit(4))
+    turns = F.pmod(F.lit(k) if isinstance(k, int) else k, F.lit(4))
     n = side - 1
 
-    def source(y, x, ch):
-        yy = F.when(k == 0, y).when(k == 1, x).when(k == 2, n - y).otherwise(n - x)
-        xx = F.when(k == 0, x).when(k == 1, n - y).when(k == 2, n - x).otherwise(y)
+    def source(y, x, ch, t):
+        yy = F.when(t == 0, y).when(t == 1, x).when(t == 2, n - y).otherwise(n - x)
+        xx = F.when(t == 0, x).when(t == 1, n - y).when(t == 2, n - x).otherwise(y)
         return (yy * side + xx) * c + ch
-    return _gather(px, side, side, c, source)
+    return _gather(px, side, side, c, source, turns)
 
 
 def to_channels_first(px: str, h: int, w: int, c: int) -> Column:
     """(h, w, c) -> (c, h, w)."""
-    def at(i):
-        ch, p = F.floor(i / (h * w)), F.pmod(i, F.lit(h * w))
-        return F.get(px, (p * c + ch).cast("int"))
-    return F.transform(F.sequence(F.lit(0), F.lit(h * w * c - 1)), at)
+    def build(p):
+        return F.transform(F.sequence(F.lit(0), F.lit(h * w * c - 1)), lambda i: F.get(
+            p, (F.pmod(i, F.lit(h * w)) * c + F.floor(i / (h * w))).cast("int")))
+    return let(F.col(px), build)
 
 
 def to_channels_last(px: str, h: int, w: int, c: int) -> Column:
@@ -107,9 +118,14 @@ def mean(px: str) -> Column:
     return F.aggregate(px, F.lit(0.0), lambda acc, v: acc + v) / F.size(px)
 
 
-def contrast(px: str, sigma: float, peak: float, centre: Column) -> Column:
+def contrast(px: str, sigma: Column, peak: float, centre: Column) -> Column:
     """Stretch values around ``centre``: [sigma * centre, peak - sigma * (peak - centre)] becomes [0, peak],
     values beyond are clipped. Integer ranges (peak 255) truncate."""
     low, high = centre * sigma, F.lit(peak) - (F.lit(peak) - centre) * sigma
-    stretched = lambda v: (F.least(F.greatest(v, low), high) - low) / (high - low) * peak
-    return F.transform(px, lambda v: F.floor(stretched(v)).cast("int") if peak == 255.0 else stretched(v))
+
+    def build(b):
+        def one(v):
+            s = (F.least(F.greatest(v, b["low"]), b["high"]) - b["low"]) / (b["high"] - b["low"]) * peak
+            return F.floor(s).cast("int") if peak == 255.0 else s
+        return F.transform(b["px"], one)
+    return let(F.struct(F.col(px).alias("px"), low.alias("low"), high.alias("high")), build)

@@ -51,8 +51,7 @@ def aug_contrast(df: DataFrame, shape: tuple[int, int, int], sigma: tuple[float,
         luma = F.array(F.lit(0.2125), F.lit(0.7154), F.lit(0.0721))
         grey = F.aggregate(F.transform("px", lambda v, i: v * luma[F.pmod(i, F.lit(3))]), F.lit(0.0), lambda a, v: a + v) / n
     s = uniform(seed, "patch_id") * (sigma[1] - sigma[0]) + sigma[0]
-    df = df.withColumn("_c", grey).withColumn("_s", s)
-    return df.withColumn("px", A.contrast("px", F.col("_s"), peak, F.col("_c"))).drop("_c", "_s")
+    return df.withColumn("px", A.contrast("px", s, peak, grey))
 
 
 def channel_mean_cutoff(df: DataFrame, low: float, high: float, peak: float = 255.0) -> DataFrame:
@@ -191,25 +190,35 @@ def aug_blackout(df: DataFrame, channels: int, blackout_class: int, seed: int, b
     use = ~has & (uniform(seed + 1, "patch_id") < probability) & (F.size("_sigs") > 0)
     which = F.floor(uniform(seed + 2, "patch_id") * F.size("_sigs")).cast("int")
     j = j.withColumn("_s", F.when(use, F.get("_sigs", which)["_sig"]))
-    j = j.withColumn("_off", F.transform("labels", lambda v, i: (v == blank) | F.coalesce(F.get("_s", i) == blank, F.lit(False))))
-    return (j.withColumn("px", F.transform("px", lambda v, i: F.when(F.get("_off", F.floor(i / channels).cast("int")), F.lit(0)).otherwise(v)))
-            .withColumn("labels", F.transform("labels", lambda v, i: F.when(F.get("_off", i), F.lit(0)).otherwise(v)))
-            .select(df.columns))
+    off = F.transform("labels", lambda v, i: (v == blank) | F.coalesce(F.get("_s", i) == blank, F.lit(False)))
+    blanked = A.let(F.struct(off.alias("off"), F.col("px").alias("px"), F.col("labels").alias("y")), lambda b: F.struct(
+        F.transform(b["px"], lambda v, i: F.when(F.get(b["off"], F.floor(i / channels).cast("int")), F.lit(0)).otherwise(v)).alias("px"),
+        F.transform(b["y"], lambda v, i: F.when(F.get(b["off"], i), F.lit(0)).otherwise(v)).alias("labels")))
+    j = j.withColumn("_b", blanked)
+    return j.withColumn("px", F.col("_b.px")).withColumn("labels", F.col("_b.labels")).select(df.columns)
 
 
 # ---- adapting ----
 def patch_weight_arrays(df: DataFrame, classes: int, low: float, high: float, normalize: bool = False) -> DataFrame:
     """Balancing weights of each patch's own labels as an array, without a shuffle (see ``label_weights``)."""
-    df = df.withColumn("_n", F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), lambda k: F.aggregate(
-        F.zip_with("labels", "valid", lambda y, v: F.when(y == k, v).otherwise(0)), F.lit(0), lambda a, v: a + v)))
-    df = df.withColumn("_v", F.aggregate("_n", F.lit(0), lambda a, v: a + v)).withColumn("_k", F.size(F.filter("_n", lambda v: v > 0)))
-    df = df.withColumn("_r", F.transform("_n", lambda n: F.least(F.greatest(
-        F.coalesce(F.try_divide(F.col("_v") / F.greatest(F.col("_k"), F.lit(1)), n), F.lit(0.0)), F.lit(low)), F.lit(high))))
-    total = F.aggregate(F.zip_with("_r", "_n", lambda r, n: r * n), F.lit(0.0), lambda a, v: a + v)
-    goal = F.size("labels") if normalize else F.col("_v")
-    df = df.withColumn("_f", F.coalesce(F.try_divide(goal.cast("double"), total), F.lit(0.0)))
-    w = F.zip_with("labels", "valid", lambda y, v: F.when(v > 0, F.get("_r", y) * F.col("_f")).otherwise(F.lit(0.0)))
-    return df.withColumn("weights", w).drop("_n", "_v", "_k", "_r", "_f")
+    zero = F.array_repeat(F.lit(0), classes)
+
+    def weigh(b):
+        # b.n: valid pixels per label
+        v = F.aggregate(b["n"], F.lit(0), lambda a, x: a + x)
+        k = F.greatest(F.size(F.filter(b["n"], lambda x: x > 0)), F.lit(1))
+        raw = A.let(v / k, lambda even: F.transform(b["n"], lambda n: F.least(F.greatest(
+            F.coalesce(F.try_divide(even, n), F.lit(0.0)), F.lit(low)), F.lit(high))))
+
+        def scale(r):
+            total = F.aggregate(F.zip_with(r, b["n"], lambda x, n: x * n), F.lit(0.0), lambda a, x: a + x)
+            goal = (F.size(b["y"]) if normalize else v).cast("double")
+            return A.let(F.coalesce(F.try_divide(goal, total), F.lit(0.0)), lambda f: F.zip_with(
+                b["y"], b["ok"], lambda y, ok: F.when(ok > 0, F.get(r, y) * f).otherwise(F.lit(0.0))))
+        return A.let(raw, scale)
+    counts = F.aggregate(F.filter(F.arrays_zip(F.col("labels").alias("y"), F.col("valid").alias("ok")), lambda z: z["ok"] > 0), zero,
+                         lambda acc, z: F.transform(acc, lambda n, i: n + (i == z["y"]).cast("int")))
+    return df.withColumn("weights", A.let(F.struct(counts.alias("n"), F.col("labels").alias("y"), F.col("valid").alias("ok")), weigh))
 
 
 def adapt_patches(df: DataFrame, shape: tuple[int, int, int], groups: list[dict], seed: int, value_range: tuple[float, float] | None,

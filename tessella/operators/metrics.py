@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..functions.ranking import prefix_scan
 from .raster import PIXEL, map_labels_lut, pixel_align
 
@@ -137,9 +138,10 @@ def seg_metrics(px: DataFrame, classes: int, ignore: int = -100) -> DataFrame:
 
 def log_softmax(column: str) -> Column:
     """x - max - log(sum(exp(x - max))) over an array of class scores."""
-    peak = F.array_max(column)
-    norm = F.log(F.aggregate(column, F.lit(0.0), lambda acc, x: acc + F.exp(x - peak)))
-    return F.transform(column, lambda x: x - peak - norm)
+    def shifted(b):
+        norm = F.log(F.aggregate(b["x"], F.lit(0.0), lambda acc, x: acc + F.exp(x - b["m"])))
+        return let(norm + b["m"], lambda n: F.transform(b["x"], lambda x: x - n))
+    return let(F.struct(F.col(column).alias("x"), F.array_max(column).alias("m")), shifted)
 
 
 def ensemble_mean(outputs: DataFrame, keys: list[str]) -> DataFrame:

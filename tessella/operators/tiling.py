@@ -140,26 +140,32 @@ def linear_softmax(weights, bias):
     return predict
 
 
-def score_tiles(tiles: DataFrame, channels: list[str], tile: int, processor: Processor | str, batch_size: int = 32) -> DataFrame:
-    """Replace the channel arrays by ``probs``: row-major (tile, tile, classes) scores from the processor,
-    called on batches inside the tasks."""
+def score_tiles(tiles: DataFrame, channels: list[str], tile: int, processor: Processor | str, classes: int,
+                batch_size: int = 32) -> DataFrame:
+    """Score tiles in batches inside the tasks and return the uncropped part of each as pixels
+    ``(slide_id, row, col, seq, probs)``. Pixels leave Python as flat columns, one per class."""
     proc = PROCESSORS[processor] if isinstance(processor, str) else processor
-    keep = [c for c in tiles.columns if c not in channels]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tiles.schema if f.name in keep) + ", probs array<double>"
+    kind = tiles.schema["slide_id"].dataType.simpleString()
+    schema = f"slide_id {kind}, row int, col int, seq bigint, " + ", ".join(f"p{k} double" for k in range(classes))
+    where = ["slide_id", "seq", "result_y", "result_x", "crop_top", "crop_bottom", "crop_left", "crop_right"]
 
     def run(batches):
         for pdf in batches:
             for at in range(0, len(pdf), batch_size):
                 part = pdf.iloc[at:at + batch_size]
-                batch = np.stack([np.stack([np.asarray(v, dtype=float) for v in part[c]]) for c in channels], -1)
-                batch = batch.reshape(len(part), tile, tile, len(channels))
-                if proc.preprocess:
-                    batch = proc.preprocess(batch)
+                batch = np.stack([np.stack(part[c].tolist()) for c in channels], -1).reshape(len(part), tile, tile, len(channels))
+                batch = proc.preprocess(batch) if proc.preprocess else batch
                 out = proc.predict(batch)
-                if proc.postprocess:
-                    out = proc.postprocess(out)
-                yield part[keep].assign(probs=pd.Series(list(out.reshape(len(part), -1)), index=part.index))
-    return tiles.mapInPandas(run, schema)
+                out = proc.postprocess(out) if proc.postprocess else out
+                for t, scores in zip(part[where].itertuples(index=False), out):
+                    kept = scores[t.crop_top:tile - t.crop_bottom, t.crop_left:tile - t.crop_right]
+                    h, w = kept.shape[:2]
+                    flat = kept.reshape(h * w, classes)
+                    yield pd.DataFrame({"slide_id": t.slide_id, "row": np.repeat(np.arange(h, dtype="int32") + t.result_y, w),
+                                        "col": np.tile(np.arange(w, dtype="int32") + t.result_x, h), "seq": t.seq,
+                                        **{f"p{k}": flat[:, k] for k in range(classes)}})
+    px = tiles.select(*where, *channels).mapInPandas(run, schema)
+    return px.select(*PIXEL, "seq", F.array(*[f"p{k}" for k in range(classes)]).alias("probs"))
 
 
 def tta_gmean(df: DataFrame, side: int, keys: list[str]) -> DataFrame:
@@ -174,19 +180,11 @@ def tta_gmean(df: DataFrame, side: int, keys: list[str]) -> DataFrame:
 
 
 # ---- results ----
-def crop_to_pixels(tiles: DataFrame, tile: int, classes: int, mask: DataFrame | None = None) -> DataFrame:
-    """The kept part of scored tiles as pixels ``(slide_id, row, col, seq, probs)``; with a mask the scores
-    are zero where it is zero."""
-    cells = tiles.select("slide_id", "seq", "result_y", "result_x", "crop_top", "crop_bottom", "crop_left", "crop_right", "probs",
-                         F.explode(F.sequence(F.lit(0), F.lit(tile * tile - 1))).alias("_p"))
-    y, x = F.floor(F.col("_p") / tile).cast("int"), (F.col("_p") % tile).cast("int")
-    kept = cells.where((y >= F.col("crop_top")) & (y < tile - F.col("crop_bottom")) & (x >= F.col("crop_left")) & (x < tile - F.col("crop_right")))
-    px = kept.select("slide_id", (F.col("result_y") + y - F.col("crop_top")).alias("row"), (F.col("result_x") + x - F.col("crop_left")).alias("col"),
-                     "seq", F.slice("probs", F.col("_p") * classes + 1, classes).alias("probs"))
-    if mask is None:
-        return px
+def apply_mask(px: DataFrame, mask: DataFrame) -> DataFrame:
+    """Scores become zero where the mask is zero."""
     m = mask.where("label > 0").select(*PIXEL, F.lit(1.0).alias("_m"))
-    return px.join(m, PIXEL, "left").withColumn("probs", F.transform("probs", lambda p: p * F.coalesce("_m", F.lit(0.0)))).drop("_m")
+    on = F.coalesce("_m", F.lit(0.0))
+    return px.join(m, PIXEL, "left").withColumn("probs", F.transform("probs", lambda p: p * on)).drop("_m")
 
 
 def stitch_tiles(px: DataFrame, levels: DataFrame, value: str = "probs") -> DataFrame:
@@ -227,8 +225,8 @@ def classify_tiled(px: DataFrame, levels: DataFrame, channels: list[str], proces
     if mask is not None:
         grid = skip_tiles(grid, mask, mask_class, tile, lost)
     tiles = read_tiles(px, grid, levels, tile, channels, pad_mode)
-    scored = score_tiles(tiles, channels, tile, processor, batch_size)
-    out = stitch_tiles(crop_to_pixels(scored, tile, classes, mask), levels)
+    scored = score_tiles(tiles, channels, tile, processor, classes, batch_size)
+    out = stitch_tiles(scored if mask is None else apply_mask(scored, mask), levels)
     return out if output_class is None else out.select(*PIXEL, F.col("probs")[output_class].alias("prob"))
 
 

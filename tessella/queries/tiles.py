@@ -64,8 +64,9 @@ def _(spark, d):
     return T.skip_tiles(T.tile_grid(level0(spark, d), TILE, LOST), label(spark, d), 1, TILE, LOST).select("slide_id", "seq", "result_y", "result_x")
 
 
-@query("tiles_fully_covered", with_views("px") + """SELECT slide_id, CAST(row // 4 * 4 AS INT) AS tile_y, CAST(col // 4 * 4 AS INT) AS tile_x FROM px GROUP BY ALL
- HAVING count_if(label > 0) = CASE WHEN row // 4 = 12 THEN 2 ELSE 4 END * CASE WHEN col // 4 = 12 THEN 2 ELSE 4 END""")
+@query("tiles_fully_covered", with_views("px", "slides") + """SELECT slide_id, CAST(4 * r AS INT) AS tile_y, CAST(4 * c AS INT) AS tile_x FROM
+ (SELECT slide_id, row // 4 AS r, col // 4 AS c, count_if(label > 0) AS n FROM px GROUP BY ALL)
+ WHERE n = CASE WHEN r = 12 THEN 2 ELSE 4 END * CASE WHEN c = 12 THEN 2 ELSE 4 END""")
 def _(spark, d):
     return T.tiles_fully_covered(T.tile_grid(level0(spark, d), 4), label(spark, d), 4).select("slide_id", "tile_y", "tile_x")
 

@@ -21,12 +21,13 @@ def _emit(next_seq: int, final: int | None, pending: dict[int, float]):
     return out, next_seq, final is not None and next_seq >= final
 
 
-def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int = 3_600_000) -> DataFrame:
+def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int | None = None) -> DataFrame:
     """Emit tiles ``(slide_id, seq, value, n_final)`` per slide in sequence order.
 
     Tiles that arrive early wait in the state; a message with ``n_final`` announces the number of tiles and
-    closes the slide once all were emitted, which also frees its state. A slide that stays silent for the
-    timeout is dropped as a safeguard.
+    closes the slide once all were emitted, which also frees its state. For endless runs a timeout can be set
+    as a safeguard: a slide that stays silent that long is dropped. (A timeout keeps the query awake, so leave
+    it out when processing what is available and stopping.)
     """
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -45,14 +46,15 @@ def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int = 3_600_000) -> Data
             state.remove()
         else:
             state.update((nxt, final, list(pending), list(pending.values())))
-            state.setTimeoutDuration(timeout_ms)
+            if timeout_ms is not None:
+                state.setTimeoutDuration(timeout_ms)
         if out:
             frame = pd.DataFrame(out, columns=["seq", "value"])
             yield frame.assign(slide_id=key[0], closed=done)[["slide_id", "seq", "value", "closed"]]
 
     return tiles.groupBy("slide_id").applyInPandasWithState(
         step, OUTPUT, "next bigint, final bigint, seqs array<bigint>, vals array<double>", "append",
-        GroupStateTimeout.ProcessingTimeTimeout)
+        GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 class StitchProcessor(StatefulProcessor):

@@ -2,6 +2,7 @@
 
 import math
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -9,6 +10,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+LIMIT = 60  # seconds per query
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 
@@ -85,10 +87,13 @@ if __name__ == "__main__":
                                                      or q[n].__module__.endswith("." + a) for a in sys.argv[2:])]
     bad = 0
     for n in names:
+        guard = threading.Timer(LIMIT, spark.sparkContext.cancelAllJobs)
+        guard.start()
         try:
             st, k, ts, td, msg = compare(spark, con, sf_dir, n, q[n], o.get(n))
         except Exception as e:  # noqa: BLE001
             st, k, ts, td, msg = "ERROR", 0, 0, 0, str(e).strip().replace("\n", " ")[:600]
+        guard.cancel()
         bad += st not in ("ok", "rows-only")
         print(f"{st:10} {n:30} rows={k:<8} spark={ts:6.2f}s duck={td:5.2f}s {msg}", flush=True)
     print(f"{len(names)} queries, {bad} bad")
