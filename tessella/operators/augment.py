@@ -245,7 +245,7 @@ def adjust_batch(df: DataFrame, value_range: tuple[float, float], classes: int,
     df = df.withColumn("px", A.additional_range("px", value_range))
     pairs = df.select("batch", F.explode(F.arrays_zip("labels", "valid")).alias("z")).select("batch", F.col("z.labels").alias("label"), F.col("z.valid").alias("valid"))
     n = pairs.groupBy("batch", "label").agg(F.sum("valid").alias("n"))
-    tot = n.groupBy("batch").agg(F.sum("n").alias("v"), F.count_if("n > 0").alias("k"))
+    tot = n.groupBy("batch").agg(F.sum("n").alias("v"), F.count_if(F.col("n") > 0).alias("k"))
     raw = n.join(tot, "batch").withColumn("r", F.least(F.greatest(F.coalesce(F.try_divide(F.col("v") / F.greatest("k", F.lit(1)), F.col("n")), F.lit(0.0)),
                                                                     F.lit(clip[0])), F.lit(clip[1])))
     s = raw.groupBy("batch").agg(F.sum(F.col("r") * F.col("n")).alias("_s"), F.max("v").alias("_v"),
