@@ -132,7 +132,8 @@ def sample_patches(images: DataFrame, mask: DataFrame, draws: DataFrame, alignme
     counts = slide_label_counts(tile_label_counts(mask, tile))
     idx = random_pixel_index(draws, counts, seed)
     centres = nth_labelled_pixel(mask, idx, tile)
-    win = patch_windows(centres, alignment, shapes)
+    # the windows are read by several joins; writing them once also keeps the plan small
+    win = materialize(patch_windows(centres, alignment, shapes))
     out = None
     for level in shapes:
         w = win.where(F.col("level") == level).withColumnRenamed("draw_id", "req_id")

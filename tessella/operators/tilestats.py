@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def at_tile(df: DataFrame, tile: int) -> DataFrame:
     return (df.withColumn("tile_row", F.floor(F.col("row") / tile).cast("int"))
@@ -69,7 +71,8 @@ def nth_labelled_pixel(mask: DataFrame, draws: DataFrame, tile: int = 512) -> Da
     """
     wanted = draws.select("slide_id", "label").distinct()
     counts = tile_label_counts(mask.join(wanted, ["slide_id", "label"], "left_semi"), tile)
-    cum = cumulative_tile_counts(counts)
+    # one pass over the mask; the tile counts are small and read three times below
+    cum = materialize(cumulative_tile_counts(counts))
     row_index = cum.groupBy("slide_id", "label").agg(
         F.sort_array(F.collect_set(F.struct("cum_rows", "tile_row"))).alias("_rows"))
     col_index = cum.groupBy("slide_id", "label", "tile_row").agg(
@@ -78,7 +81,7 @@ def nth_labelled_pixel(mask: DataFrame, draws: DataFrame, tile: int = 512) -> Da
     def locate(arr, field, n):
         # 0-based position of the first entry whose running count exceeds n
         return F.size(F.filter(arr, lambda e: e[field] <= F.col(n)))
-    d = (draws.join(row_index, ["slide_id", "label"])
+    d = materialize(draws.join(row_index, ["slide_id", "label"])
          .withColumn("_i", locate("_rows", "cum_rows", "n")).where(F.col("_i") < F.size("_rows"))
          .withColumn("tile_row", F.expr("get(_rows, _i).tile_row"))
          .withColumn("_k", F.col("n") - F.expr("coalesce(get(_rows, _i - 1).cum_rows, 0)"))

@@ -83,12 +83,12 @@ def _(spark, d):
 
 
 def draws(spark, d):
-    """One draw per line item: a label of the slide that its order lies in."""
-    return table(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("draw_id"), F.floor(F.col("l_orderkey") / 2500).cast("int").alias("slide_id"),
-                                              (1 + F.col("l_partkey") % 3).cast("int").alias("label"))
+    """One draw per order: a label of the slide that the order lies in."""
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("draw_id"), F.floor(F.col("o_orderkey") / 2500).cast("int").alias("slide_id"),
+                                            (1 + F.col("o_custkey") % 3).cast("int").alias("label"))
 
 
-DRAWS = """dr AS (SELECT l_orderkey * 8 + l_linenumber AS draw_id, CAST(l_orderkey // 2500 AS INT) AS slide_id, CAST(1 + l_partkey % 3 AS INT) AS label FROM lineitem),
+DRAWS = """dr AS (SELECT o_orderkey AS draw_id, CAST(o_orderkey // 2500 AS INT) AS slide_id, CAST(1 + o_custkey % 3 AS INT) AS label FROM orders),
 c AS (SELECT slide_id, label, count(*) AS n FROM px WHERE label <> 0 GROUP BY ALL)"""
 
 
@@ -151,8 +151,8 @@ def _(spark, d):
     return s.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("position").alias("first"), F.max("position").alias("last"))
 
 
-@query("replace_easy_patches", with_views("det") + """, n AS (SELECT count(*) AS total, count_if(conf < 0.4) AS easy FROM det)
-SELECT total AS n, CAST(greatest(easy - 1500, 0) AS BIGINT) AS easy_left, CAST(least(total, 1500) AS BIGINT) AS fresh, total - easy AS hard_left FROM n""")
+@query("replace_easy_patches", with_views("det") + """, n AS (SELECT count(*)::BIGINT AS total, count_if(conf < 0.4)::BIGINT AS easy FROM det)
+SELECT total AS n, CAST(greatest(easy - 1500, 0) AS BIGINT) AS easy_left, CAST(least(total, 1500) AS BIGINT) AS fresh, CAST(total - easy AS BIGINT) AS hard_left FROM n""")
 def _(spark, d):
     pool = view(spark, d, "det").select(F.col("det_id").alias("patch_id"), F.col("conf").alias("error"), F.lit(0).alias("gen"))
     new = pool.select((F.col("patch_id") + 10_000_000).alias("patch_id"), F.col("error"), F.lit(1).alias("gen"))

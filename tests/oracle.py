@@ -64,8 +64,8 @@ def compare(spark, con, sf_dir, name, fn, sql):
     bad = [(n, k, skinds[n]) for n, k in kinds if k != skinds[n]]
     a, b = rows(df.columns, got), rows(cols, want)
     if a != b:
-        miss = [x for x in b if x not in set(a)][:3]
-        extra = [x for x in a if x not in set(b)][:3]
+        sa, sb = set(a), set(b)
+        miss, extra = [x for x in b if x not in sa][:3], [x for x in a if x not in sb][:3]
         return "MISMATCH", len(got), t1 - t0, t2 - t1, f"{len(a)} vs {len(b)} missing {miss} extra {extra}"
     if bad:
         return "TYPES", len(got), t1 - t0, t2 - t1, str(bad)
