@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,14 +43,18 @@ def label_components(px: DataFrame, connectivity: int = 4, tile: int = 512) -> D
     here = [F.floor(F.col("row") / tile).cast("int").alias("_tr"), F.floor(F.col("col") / tile).cast("int").alias("_tc")]
     columns = px.columns
 
-    def run(pdf):
-        row, col = pdf["row"].to_numpy().astype("int64"), pdf["col"].to_numpy().astype("int64")
-        part = _tile_labels(pdf["label"].to_numpy().astype("int64"), row, col, connectivity)
-        codes = pd.Series((row << 32) + col)
-        return pdf[columns].assign(part=codes.groupby(part).transform("min").to_numpy())
+    def run(table):
+        row, col = table["row"].to_numpy().astype("int64"), table["col"].to_numpy().astype("int64")
+        part = _tile_labels(table["label"].to_numpy().astype("int64"), row, col, connectivity)
+        code = (row << 32) + col
+        order = np.lexsort((code, part))
+        first = np.r_[True, part[order][1:] != part[order][:-1]]
+        lead = np.empty(len(part), dtype=np.int64)
+        lead[order] = code[order][first][np.cumsum(first) - 1]
+        return table.select(columns).append_column("part", pa.array(lead, pa.int64()))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in px.schema) + ", part bigint"
-    local = materialize(px.select("*", *here).groupBy("slide_id", "_tr", "_tc").applyInPandas(run, schema))
+    local = materialize(px.select("*", *here).groupBy("slide_id", "_tr", "_tc").applyInArrow(run, schema))
 
     rim = local.where(f"row % {tile} IN (0, {tile - 1}) OR col % {tile} IN (0, {tile - 1})").select(
         *PIXEL, "label", "part")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,21 +31,23 @@ def map_tiles(px: DataFrame, levels: DataFrame, kernel: Callable[[np.ndarray, np
     ``inside`` is true within the slide. The non-zero results of the tile's own pixels are returned, so a
     tile without any pixel in its window costs nothing. A group never exceeds one window.
     """
-    def run(key, pdf):
-        sid, tr, tc = key
-        rows, cols = int(pdf["_rows"].iloc[0]), int(pdf["_cols"].iloc[0])
+    sid_type = px.schema["slide_id"].dataType.simpleString()
+    types = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+
+    def run(key, table):
+        sid, tr, tc = (k.as_py() for k in key)
+        rows, cols = table["_rows"][0].as_py(), table["_cols"][0].as_py()
         side = tile + 2 * halo
-        top, left = int(tr) * tile - halo, int(tc) * tile - halo
+        top, left = tr * tile - halo, tc * tile - halo
         grid = np.zeros((side, side), dtype=np.float64 if out_type == "double" else np.int64)
-        grid[pdf["row"].to_numpy() - top, pdf["col"].to_numpy() - left] = pdf[value].to_numpy()
+        grid[table["row"].to_numpy() - top, table["col"].to_numpy() - left] = table[value].to_numpy()
         rr, cc = np.arange(top, top + side), np.arange(left, left + side)
         inside = ((rr >= 0) & (rr < rows))[:, None] & ((cc >= 0) & (cc < cols))[None, :]
         res = np.where(inside, kernel(grid, inside), 0)[halo:halo + tile, halo:halo + tile]
         r, c = np.nonzero(res)
-        return pd.DataFrame({"slide_id": sid, "row": (r + top + halo).astype("int32"),
-                             "col": (c + left + halo).astype("int32"), out: res[r, c]})
+        return pa.table({"slide_id": pa.array(np.full(len(r), sid), types[sid_type]), "row": pa.array(r + top + halo, pa.int32()),
+                         "col": pa.array(c + left + halo, pa.int32()), out: pa.array(res[r, c], types[out_type])})
 
     tagged = with_halo(px.select("slide_id", "row", "col", value), levels, tile, halo)
-    sid_type = px.schema["slide_id"].dataType.simpleString()
-    return tagged.groupBy("slide_id", "_tr", "_tc").applyInPandas(
+    return tagged.groupBy("slide_id", "_tr", "_tc").applyInArrow(
         run, f"slide_id {sid_type}, row int, col int, {out} {out_type}")
