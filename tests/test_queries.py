@@ -26,3 +26,21 @@ def test_query_matches_sql(spark, sf, con, name):
 def test_entry_and_registry(spark):
     assert entry(spark).count() > 0
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_map_state_stitching_gives_the_same_rows(spark, sf):
+    """The state-store variant that keeps one entry per waiting tile."""
+    from tessella.queries.tiles import stream_source
+    from tessella.session import scratch_path
+    from tessella.streaming import stitch as ST
+    key, old = "spark.sql.streaming.stateStore.providerClass", None
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        out = scratch_path(spark)
+        ST.run_to_parquet(ST.ordered_stitch_stream_mapstate(stream_source(spark, sf, 3)), out, scratch_path(spark))
+        got = {(r.slide_id, r.seq, r.value) for r in spark.read.schema(ST.OUTPUT).parquet(out).collect()}
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    from tessella.fixtures import view
+    assert got == {(r.slide_id, r.seq, r.value) for r in view(spark, sf, "stream").collect()}
