@@ -65,17 +65,19 @@ def confusion_by_box(gt: DataFrame, pred: DataFrame, boxes: DataFrame, mapping:
     return inside.groupBy("slide_id", "box_id", "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
 
 
-def cm_scores(cm: DataFrame, keys: list[str]) -> DataFrame:
-    """Per class from long cells: tp, fn, fp, f1 = 2tp / (2tp + fn + fp) (0 for 0/0) and Jaccard."""
-    t = cm.select(*keys, F.col("y_true").alias("label"), F.when(F.col("y_true") == F.col("y_pred"), F.col("n"))
-                  .otherwise(0).alias("tp"), F.when(F.col("y_true") != F.col("y_pred"), F.col("n")).otherwise(0).alias("fn"),
-                  F.lit(0).cast("bigint").alias("fp"))
-    p = cm.where("y_true != y_pred").select(*keys, F.col("y_pred").alias("label"), F.lit(0).cast("bigint").alias("tp"),
-                                            F.lit(0).cast("bigint").alias("fn"), F.col("n").alias("fp"))
-    s = t.unionByName(p).groupBy(*keys, "label").agg(*[F.sum(c).alias(c) for c in ("tp", "fn", "fp")])
+def cm_scores(cm: DataFrame, keys: list[str], carry: list[str] = ()) -> DataFrame:
+    """Per class from long cells: tp, fn, fp, f1 = 2tp / (2tp + fn + fp) (0 for 0/0) and Jaccard. A cell feeds
+    its true and its predicted class in one pass; ``carry`` columns are constant per key."""
+    hit, n, none = F.col("y_true") == F.col("y_pred"), F.col("n"), F.lit(0).cast("bigint")
+    true = F.struct(F.col("y_true").alias("label"), F.when(hit, n).otherwise(none).alias("tp"),
+                    F.when(hit, none).otherwise(n).alias("fn"), none.alias("fp"))
+    pred = F.struct(F.col("y_pred").alias("label"), none.alias("tp"), none.alias("fn"), F.when(hit, none).otherwise(n).alias("fp"))
+    s = (cm.select(*keys, *carry, F.explode(F.array(true, pred)).alias("c")).select(*keys, *carry, "c.*")
+         .groupBy(*keys, "label").agg(*[F.sum(c).alias(c) for c in ("tp", "fn", "fp")], *[F.max(c).alias(c) for c in carry]))
     wrong = F.col("fn") + F.col("fp")
-    return s.select("*", F.coalesce(F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + wrong), F.lit(0.0)).alias("f1"),
-                    F.coalesce(F.try_divide(1.0 * F.col("tp"), F.col("tp") + wrong), F.lit(0.0)).alias("jaccard"))
+    return s.select(*keys, "label", "tp", "fn", "fp",
+                    F.coalesce(F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + wrong), F.lit(0.0)).alias("f1"),
+                    F.coalesce(F.try_divide(1.0 * F.col("tp"), F.col("tp") + wrong), F.lit(0.0)).alias("jaccard"), *carry)
 
 
 def overall_f1(cm: DataFrame, classes: list[int], keys: list[str]) -> DataFrame:

@@ -3,7 +3,7 @@ preprocessing, configuration building and the prediction post-processing chain."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import common_depth, norm_path, stem, tag_path, without_extension
@@ -29,10 +29,12 @@ def evaluate(gt: DataFrame, pred: DataFrame, mapping: dict[int, int] | None, lab
         cells = M.confusion_by_box(gt, pred, boxes, mapping, labels)
         cm = (cells.rollup("y_true", "y_pred", "slide_id").agg(F.sum("n").alias("n"))
               .where("y_pred IS NOT NULL").select("slide_id", "y_true", "y_pred", "n"))
-    # cells of one slide are as few as the label pairs
-    scores = M.cm_scores(cm, ["slide_id"])
-    overall = M.overall_f1(cm, classes or labels, ["slide_id"]).select(F.col("slide_id").alias("_s"), F.col("f1").alias("overall_f1"))
-    return scores.join(overall, F.col("slide_id").eqNullSafe(F.col("_s"))).drop("_s")
+    # the window runs over the cells of a slide, which are as few as the label pairs; pixels are read once
+    w = Window.partitionBy("slide_id")
+    chosen = F.col("y_true").isin(classes or labels) & F.col("y_pred").isin(classes or labels)
+    right = F.sum(F.when(chosen & (F.col("y_true") == F.col("y_pred")), F.col("n")).otherwise(0)).over(w)
+    overall = F.try_divide(1.0 * right, F.sum(F.when(chosen, F.col("n")).otherwise(0)).over(w))
+    return M.cm_scores(cm.withColumn("overall_f1", overall), ["slide_id"], ["overall_f1"])
 
 
 def tsr_report(classes: DataFrame, bulk_first: DataFrame, bulk_second: DataFrame, tumour: int = 8, stroma: int = 1) -> DataFrame:

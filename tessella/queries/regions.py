@@ -147,7 +147,7 @@ def _(spark, d):
 
 
 @query("top_hotspots", with_views("scores") + """,
-s0 AS (SELECT slide_id, row, col, s0 * 100 + s1 AS score FROM scores WHERE s0 > 60), r AS (
+s0 AS (SELECT slide_id, row, col, s0 * 100 + s1 AS score FROM scores), r AS (
  SELECT slide_id, 0 AS rank, NULL::INT AS row, NULL::INT AS col, NULL::INT AS score, list(struct_pack(r := s0.row, c := s0.col, v := s0.score)) AS left_
  FROM s0 GROUP BY slide_id
  UNION ALL
@@ -156,7 +156,7 @@ s0 AS (SELECT slide_id, row, col, s0 * 100 + s1 AS score FROM scores WHERE s0 >
   FROM r WHERE rank < 10 AND len(left_) > 0))
 SELECT slide_id, rank, row, col, score FROM r WHERE rank > 0""")
 def _(spark, d):
-    s = view(spark, d, "scores").where("s0 > 60").select("slide_id", "row", "col", (F.col("s0") * 100 + F.col("s1")).alias("score"))
+    s = view(spark, d, "scores").select("slide_id", "row", "col", (F.col("s0") * 100 + F.col("s1")).alias("score"))
     return H.top_hotspots(s, 6, 10)
 
 

@@ -211,11 +211,11 @@ def _(spark, d):
 
 
 @query("score_threshold", DET + """SELECT slide_id, CAST(r AS INT) AS row, CAST(c AS INT) AS col, max(det_id) AS idx FROM det, (SELECT unnest(range(100)) AS r), (SELECT unnest(range(100)) AS c)
- WHERE conf >= 0.9 AND r >= (2 * y + side) // 2 - 12 AND r < (2 * y + side) // 2 + 12 AND c >= (2 * x + side) // 2 - 12 AND c < (2 * x + side) // 2 + 12 GROUP BY ALL""")
+ WHERE conf >= 0.6 AND r >= (2 * y + side) // 2 - 12 AND r < (2 * y + side) // 2 + 12 AND c >= (2 * x + side) // 2 - 12 AND c < (2 * x + side) // 2 + 12 GROUP BY ALL""")
 def _(spark, d):
     dt = view(spark, d, "det").select("slide_id", F.col("det_id").alias("idx"), F.col("conf").alias("score"), F.col("y").alias("y0"), F.col("x").alias("x0"),
                                       (F.col("y") + F.col("side")).alias("y1"), (F.col("x") + F.col("side")).alias("x1"), F.array("conf", 1 - F.col("conf")).alias("scores"))
-    return B.score_threshold(dt, 100, 100, 0.9).select("slide_id", "row", "col", "idx")
+    return B.score_threshold(dt, 100, 100).select("slide_id", "row", "col", "idx")
 
 
 @query("nms")
