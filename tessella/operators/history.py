@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import prefix_scan
 
-_CHUNK = F.floor(F.col("epoch") / 1024)
+
+def _chunk() -> Column:
+    return F.floor(F.col("epoch") / 1024)
 
 
 def epoch_means(batches: DataFrame, metrics: list[str]) -> DataFrame:
@@ -17,10 +19,10 @@ def epoch_means(batches: DataFrame, metrics: list[str]) -> DataFrame:
 def early_stopping(epochs: DataFrame, patience: int, loss: str = "validation_loss") -> DataFrame:
     """Per epoch up to the stop: best loss so far, whether it is a new (strict) best, epochs since the best.
     The run stops at the first epoch whose count reaches ``patience``."""
-    e = prefix_scan(epochs, ["run"], ["epoch"], _CHUNK, "_rn", {"_prev": ("min", loss, "before")})
+    e = prefix_scan(epochs, ["run"], ["epoch"], _chunk(), "_rn", {"_prev": ("min", loss, "before")})
     best = F.col("_prev").isNull() | (F.col(loss) < F.col("_prev"))
     e = e.withColumn("is_best", best.cast("int")).withColumn("_at", F.when(best, F.col("_rn")))
-    e = prefix_scan(e, ["run"], ["epoch"], _CHUNK, None, {"_last": ("max", "_at"), "best_loss": ("min", loss)})
+    e = prefix_scan(e, ["run"], ["epoch"], _chunk(), None, {"_last": ("max", "_at"), "best_loss": ("min", loss)})
     e = e.withColumn("no_improve", F.col("_rn") - F.col("_last"))
     stop = e.where(F.col("no_improve") >= patience).groupBy("run").agg(F.min("epoch").alias("_stop"))
     return (e.join(stop, "run", "left").where("_stop IS NULL OR epoch <= _stop")
@@ -30,7 +32,7 @@ def early_stopping(epochs: DataFrame, patience: int, loss: str = "validation_los
 
 def metric_transitions(epochs: DataFrame, metric: str) -> DataFrame:
     """Epochs at which the metric differs from the row before: ``change`` is 1 (rise) or -1 (fall)."""
-    e = prefix_scan(epochs, ["run"], ["epoch"], _CHUNK, None, {"_prev": ("last", metric, "before")})
+    e = prefix_scan(epochs, ["run"], ["epoch"], _chunk(), None, {"_prev": ("last", metric, "before")})
     return (e.where(F.col(metric) != F.col("_prev"))
             .select("run", "epoch", F.signum(F.col(metric) - F.col("_prev")).cast("int").alias("change")))
 
