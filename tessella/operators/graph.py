@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Table
 
 
-LOCAL_EDGES = 500_000  # an edge table up to this size is solved slide by slide inside tasks
-
-
 def min_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """Smallest member of each node's component, for nodes 0..n-1 and edges a-b (array union by minimum)."""
     root = np.arange(n)
@@ -30,12 +26,6 @@ def min_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = nxt
 
 
-def _solve_group(key, pdf):
-    nodes, at = np.unique(np.concatenate([pdf["a"].to_numpy(), pdf["b"].to_numpy()]), return_inverse=True)
-    root = min_roots(at[:len(pdf)], at[len(pdf):], len(nodes))
-    return pd.DataFrame({"k": key[0], "node": nodes, "root": nodes[root]})
-
-
 def _contract(edges: DataFrame, key: str) -> DataFrame:
     """One large-star and one small-star step on ``(key, a, b)`` with a > b.
 
@@ -52,31 +42,22 @@ def _contract(edges: DataFrame, key: str) -> DataFrame:
             .union(low2.select(key, "a", F.col("m").alias("b"))).distinct())
 
 
-def connected_roots(edges: DataFrame, key: str = "slide_id", max_rounds: int = 60,
-                    local_edges: int = LOCAL_EDGES) -> DataFrame:
+def connected_roots(edges: DataFrame, key: str = "slide_id") -> DataFrame:
     """``(key, node, root)`` for every node of an edge table ``(key, a, b)``; root is the smallest node of
     the component.
 
-    The edges are written once and counted. A table of at most ``local_edges`` rows is solved inside tasks,
-    one group per key; a larger one by contraction rounds over the whole cluster, each written to the shared
-    folder with a fingerprint that tells when nothing changes. Not converging is an error.
+    Contraction rounds over the whole cluster, whatever the size, each written to the shared folder with a
+    fingerprint that tells when nothing changes. A replaced round is dropped.
     """
     norm = (edges.where("a != b")
             .select(key, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     stamp = {"n": F.count(F.lit(1)), "h": F.bit_xor(F.xxhash64(key, "a", "b"))}
     cur = Table(norm, **stamp)
-    if cur.metrics["n"] <= local_edges:
-        kt, nt = (norm.schema[c].dataType.simpleString() for c in (key, "a"))
-        return (cur.df.groupBy(key).applyInPandas(_solve_group, f"k {kt}, node {nt}, root {nt}")
-                .withColumnRenamed("k", key))
-    for _ in range(max_rounds):
+    done = not cur.metrics["n"]
+    while not done:
         nxt = Table(_contract(cur.df, key), **stamp)
         done = nxt.metrics == cur.metrics
         cur.drop()
         cur = nxt
-        if done:
-            break
-    else:
-        raise RuntimeError(f"components did not converge in {max_rounds} rounds")
     stars = cur.df.select(key, F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.union(stars.select(key, F.col("root").alias("node"), "root").distinct())

