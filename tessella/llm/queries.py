@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_files
+from . import near_duplicates, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), carry=lambda p: p.mapInArrow(crc_of_ids, digest))
 
 
+@query("op8_ngram_join")
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its shingle set and its near-duplicate component."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op9_token_files")
 def token_file_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as read back from the token files."""
