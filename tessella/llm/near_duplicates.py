@@ -112,20 +112,21 @@ def _ordered(s: np.ndarray, order: int, frequent=None) -> np.ndarray:
 
 
 def _postings(words: int, t_num: int, t_den: int, frequent):
-    """``token, part, n`` and the node of every first-order prefix token, once per set and task. The tokens of a
-    frequent one are dealt over as many parts as its count asks for."""
+    """Every first-order prefix token, once per set and task, with the set's node and size and the token's place in
+    it. The sets of a frequent token are dealt over as many parts as its count asks for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, cnt = frequent.value
         seen = set()
         for chunk in chunks(batches):
             nodes = chunk.column("node").to_numpy(zero_copy_only=False)
-            toks, node, size = [], [], []
+            toks, pos, node, size = [], [], [], []
             for s, d in zip(shingle_sets(chunk.column("text"), words), nodes, strict=True):
                 if not len(s) or (key := _signature(s)) in seen:
                     continue
                 seen.add(key)
                 p = _ordered(s, 0, (tok, cnt))[:prefix_size(len(s), t_num, t_den)]
                 toks.append(p)
+                pos.append(np.arange(len(p), dtype=np.int32))
                 node.append(np.full(len(p), d, np.int64))
                 size.append(np.full(len(p), len(s), np.int32))
             if not toks:
@@ -138,7 +139,7 @@ def _postings(words: int, t_num: int, t_den: int, frequent):
                 part = (mix(node.view(np.uint64)) % parts.astype(np.uint64)).astype(np.int32)
                 part[parts > 1] += 1  # 0: not split, so a token alone in its part has no partner
             yield pa.RecordBatch.from_pydict({"token": pa.array(t.view(np.int64)), "part": pa.array(part), "node": pa.array(node),
-                                              "n": pa.array(np.concatenate(size))})
+                                              "n": pa.array(np.concatenate(size)), "pos": pa.array(np.concatenate(pos))})
     return run
 
 
@@ -180,16 +181,16 @@ def _similar(x: np.ndarray, y: np.ndarray, t_num: int, t_den: int) -> bool:
     return t_den * both >= t_num * (len(x) + len(y) - both)
 
 
-def _sized(t_num: int, t_den: int) -> str:
-    return f"{t_den} * least(n_a, n_b) >= {t_num} * greatest(n_a, n_b)"
+def _possible(t_num: int, t_den: int) -> str:
+    """The sizes allow the threshold, and the shared token lies in both prefixes that the two sizes ask for."""
+    least = f"({t_num} * (n_a + n_b) + {t_num + t_den - 1}) DIV {t_num + t_den}"
+    return (f"{t_den} * least(n_a, n_b) >= {t_num} * greatest(n_a, n_b) AND pos_a <= n_a - {least} AND pos_b <= n_b - {least}")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, t_num: int, t_den: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar. Only texts that a pair asks for are shuffled further."""
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    held = materialize(texts.join(asked, "node", "left_semi"))
-    both = (pairs.join(held.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(held.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b"))
+    """The pairs ``(a, b)`` that are similar."""
+    both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b"))
     return both.mapInArrow(_verify(words, t_num, t_den), "a long, b long")
 
 
@@ -225,18 +226,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den:
         texts = base.where("doc_id IS NOT NULL").withColumn("node", F.col("doc_id")).unionByName(lost)
     texts = texts.select("node", "text")
 
-    posts = texts.mapInArrow(_postings(words, t_num, t_den, frequent), "token long, part int, node long, n int")
+    posts = texts.mapInArrow(_postings(words, t_num, t_den, frequent), "token long, part int, node long, n int, pos int")
     posts = posts.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("token", "part"))).where("_m > 1 OR part > 0").drop("_m")
     own_class = sets.where("n > 0").select(own.alias("doc"), "h1", "h2").join(classes.select("h1", "h2", "node"), ["h1", "h2"])
     moved = materialize(own_class.where("doc != node").select(F.col("doc").alias("a"), F.col("node").alias("b")).distinct())
     # copies of a class fall to its node
-    shared = materialize(posts.select("token", "node", "n").join(moved.withColumnRenamed("a", "node"), "node", "left")
-                         .select("token", F.coalesce("b", "node").alias("node"), "n").distinct())
-
-    hub = shared.groupBy("token").agg(F.min(F.struct("node", "n")).alias("hub"), F.max("node").alias("last")).where("hub.node != last")
-    first = (shared.join(hub, "token").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("hub.n").alias("n_b"))
-             .where("a != b").where(_sized(t_num, t_den)).select("a", "b").distinct())
+    shared = materialize(posts.select("token", "node", "n", "pos").join(moved.withColumnRenamed("a", "node"), "node", "left")
+                         .select("token", F.coalesce("b", "node").alias("node"), "n", "pos").distinct())
+
+    possible = _possible(t_num, t_den)
+    hub = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("hub"), F.max("node").alias("last")).where("hub.node != last")
+    first = (shared.join(hub, "token").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"),
+                                              F.col("hub.n").alias("n_b"), F.col("hub.pos").alias("pos_b"))
+             .where("a != b").where(possible).select("a", "b").distinct())
     known = materialize(first)
+    # the texts that any pair can ask for: classes that share a prefix token with another
+    asked = shared.join(hub.select("token"), "token", "left_semi").select("node").distinct()
+    texts = materialize(texts.join(asked, "node", "left_semi"))
     links = materialize(_links(known, texts, words, t_num, t_den).union(moved))
     comp = materialize(_roots(links))
 
@@ -248,10 +254,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den:
     left = left.join(big, "token").withColumn("parts", F.expr(f"cast(members DIV {GROUP} AS int) + 1"))
     # a hot token is dealt in blocks: each probe goes to every block, each member to its own
     probe = (left.where("comp != big").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("token", "block", F.col("node").alias("x"), F.col("comp").alias("c_x"), F.col("n").alias("n_a")))
+             .select("token", "block", F.col("node").alias("x"), F.col("comp").alias("c_x"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a")))
     member = left.select("token", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("block"), F.col("node").alias("y"),
-                         F.col("comp").alias("c_y"), F.col("n").alias("n_b"))
-    rest = (probe.join(member, ["token", "block"]).where("c_x != c_y").where(_sized(t_num, t_den))
+                         F.col("comp").alias("c_y"), F.col("n").alias("n_b"), F.col("pos").alias("pos_b"))
+    rest = (probe.join(member, ["token", "block"]).where("c_x != c_y").where(possible)
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
     rest = Table(rest.join(known.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"), n=F.count(F.lit(1)))
     if rest.metrics["n"]:
