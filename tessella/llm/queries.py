@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import near_duplicates, packing, token_files
+from . import decontaminate, near_duplicates, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,15 @@ def crc_of_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), crc], [*keep, "ids_crc32"])
 
 
+@query("op3_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.array_sort("items"), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(items, 256).alias("items_sha256"),
+                        decontaminate.is_contaminated().alias("contaminated"))
+
+
 @query("op5_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
