@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_duplicates, packing, token_files
+from . import decontaminate, language, near_duplicates, packing, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,11 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_file_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as read back from the token files."""
     return token_files.write_and_read(table(spark, sf_dir, "documents"), then=crc_of_ids, schema="ids_crc32 long")
+
+
+@query("op10_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language.held_out().alias("held_out"))
+    model = language.train(docs.where("NOT held_out"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
