@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialize
 from .fm_index import FMIndex
@@ -17,8 +18,7 @@ WINDOW = 13
 SHARD_BYTES = 1 << 22
 BENCHMARK_BYTES = 32 << 20  # of item text held by a task at a time; more items take more passes
 _LOCATE = 1 << 19
-_SCHEMA = ("doc_id long, text string, n_words long, spans array<struct<word_start:long,word_end:long,byte_start:long,byte_end:long>>, "
-           "items array<string>")
+_FOUND = "n_words long, spans array<struct<word_start:long,word_end:long,byte_start:long,byte_end:long>>, items array<string>"
 
 
 def words_of(col: pa.Array):
@@ -116,7 +116,7 @@ def merged_spans(mask: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.flatnonzero(mask & ~np.append(False, link)), np.flatnonzero(mask & ~np.append(link, False)) + 1
 
 
-def _scan(shared, merge: bool):
+def _scan(shared, merge: bool, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bench = shared.value
         ids = bench[-1]
@@ -142,11 +142,11 @@ def _scan(shared, merge: bool):
                 before = shard.column("spans").to_pylist(), shard.column("items").to_pylist()
                 out_spans = [join_spans([*(tuple(s.values()) for s in old), *new]) for old, new in zip(before[0], out_spans, strict=True)]
                 out_items = [sorted({*old, *new}) for old, new in zip(before[1], out_items, strict=True)]
-            kind = pa.list_(pa.struct([(k, pa.int64()) for k in ("word_start", "word_end", "byte_start", "byte_end")]))
-            names = ("word_start", "word_end", "byte_start", "byte_end")
+            ends = ("word_start", "word_end", "byte_start", "byte_end")
+            kind = pa.list_(pa.struct([(k, pa.int64()) for k in ends]))
             for chunk in pa.Table.from_pydict({
-                    "doc_id": shard.column("doc_id"), "text": col, "n_words": pa.array([0 if c is None else int(n_words[c]) for c in code], pa.int64()),
-                    "spans": pa.array([[dict(zip(names, s, strict=True)) for s in x] for x in out_spans], kind),
+                    **{c: shard.column(c) for c in names}, "n_words": pa.array([0 if c is None else int(n_words[c]) for c in code], pa.int64()),
+                    "spans": pa.array([[dict(zip(ends, s, strict=True)) for s in x] for x in out_spans], kind),
                     "items": pa.array(out_items, pa.list_(pa.string()))}).to_batches(max_chunksize=2000):
                 yield chunk
     return run
@@ -165,11 +165,12 @@ def join_spans(spans: list[tuple[int, int, int, int]]) -> list[tuple[int, int, i
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs`` (``doc_id, text``): n_words, n_hit, spans to remove (words and bytes of the UTF-8 text, merged), items found, text.
+    """Each row of ``docs`` (with a column ``text``) and its n_words, n_hit, spans to remove (words and bytes of the UTF-8 text,
+    merged) and items found, in place of columns of these names.
 
     Words are runs of ASCII letters (lower-cased), digits and characters beyond ASCII. An item's windows are its
     runs of ``window`` words, or all of it if it has fewer; items without words have none. Null or empty texts
-    have no words. Items without id mark words but are not listed. Other columns are ignored; an empty table on
+    have no words. Items without id mark words but are not listed. Other columns pass through; an empty table on
     either side is fine. A pass holds at most ``BENCHMARK_BYTES`` of benchmark text; a larger benchmark takes
     several passes over what the pass before wrote.
     """
@@ -177,12 +178,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
     size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-size // BENCHMARK_BYTES))
-    out = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    names = [c for c in docs.columns if c.lower() not in ("n_words", "n_hit", "spans", "items")]
+    out = docs.select(*names)
+    schema = StructType([*out.schema.fields, *StructType.fromDDL(_FOUND).fields])
     for k in range(passes):
         part = bench if passes == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
         rows = part.collect()
         shared = spark.sparkContext.broadcast(phrases([r["item_id"] for r in rows], [r["text"] for r in rows], window))
-        out = out.mapInArrow(_scan(shared, k > 0), _SCHEMA)
+        out = out.mapInArrow(_scan(shared, k > 0, names), schema)
         if k < passes - 1:
             out = materialize(out)
     return out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["word_end"] - s["word_start"]))

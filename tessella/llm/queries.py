@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, near_duplicates, packing, token_files
+from . import decontaminate, language, near_duplicates, nearest, packing, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,7 +39,7 @@ def crc_of_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @query("op3_decontamination")
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     items = F.array_join(F.array_sort("items"), ",")
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(items, 256).alias("items_sha256"),
                         decontaminate.is_contaminated().alias("contaminated"))
@@ -70,3 +70,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language.held_out().alias("held_out"))
     model = language.train(docs.where("NOT held_out"))
     return language.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
+@query("op4_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels"))).select("doc_id", "quality", "toxic", "keep")
+
+
+@query("op2_nearest")
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector, among all."""
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

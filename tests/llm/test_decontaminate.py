@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
 from tessella.llm import decontaminate
 from tessella.llm.fm_index import FMIndex
 from tessella.llm.queries import QUERIES
@@ -63,7 +64,7 @@ def test_odd_rows(spark, monkeypatch, passes):
     docs = [(1, None), (2, ""), (3, "the cat sat"), (3, "the cat sat"), (None, "The CAT, sat on the mat " * 2000), (5, "x"), (6, "x y x y x y")]
     items = [(1, "the cat"), (2, "cat sat on"), (3, None), (4, "!!"), (None, "the mat"), (6, "x y x"), (7, "x y x"),
              (8, " ".join("the cat sat on".split() * 5))]
-    d = spark.createDataFrame([(*r, 1, "s", []) for r in docs], "doc_id long, text string, n_words int, items string, spans array<int>")
+    d = spark.createDataFrame([(*r, 1, "s", []) for r in docs], "doc_id long, text string, n_words int, items string, spans array<int>").withColumn("extra", F.lit(1))
     b = spark.createDataFrame([(*r, 2) for r in items], "item_id long, text string, n_hit int")
     if passes > 1:
         monkeypatch.setattr(decontaminate, "BENCHMARK_BYTES", 40)
