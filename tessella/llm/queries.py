@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, near_duplicates, nearest, packing, quality, token_files
+from . import decontaminate, edit_counts, language, lm_score, near_duplicates, nearest, packing, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,15 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every twentieth vector, among all."""
     return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op1_pseudo_likelihood")
+def pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The masked pseudo-likelihood of every document under a network trained on all of them."""
+    return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+@query("op6_edit_counts")
+def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after personal data in it are replaced."""
+    return edit_counts.count_edited(edit_counts.with_redactions(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")

@@ -103,6 +103,18 @@ class Encoder:
             counts[i] = m
         return np.concatenate([*parts, ids[last:]]), counts
 
+    def piece_counts(self, buf: np.ndarray, starts: np.ndarray, whole: bool = False) -> np.ndarray:
+        """How many ids each piece of one text has; ``whole``: the text is one piece and may spell a special token."""
+        if not len(starts):
+            return np.zeros(0, np.int64)
+        if whole:
+            return self.encode_list([buf.tobytes().decode("utf-8", "replace")])[1]
+        if self.lower:
+            buf = LOWER[buf]
+        ends = np.append(starts[1:], len(buf))
+        slots = self._slots(buf, hash_spans(buf, starts, ends), starts, ends)
+        return self.len[slots]
+
     def _slots(self, buf, hashes, starts, ends) -> np.ndarray:
         """The cache entry of every piece; new pieces are encoded once and entered."""
         if len(self.len) > _CACHE_ENTRIES:
