@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _TOTAL = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on columns of one name in which null matches null; the keys are those of ``left``."""
+    named = right.select(*[F.col(k).alias(f"_at_{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_at_{i}")) for i, k in enumerate(keys)]
+    return left.join(named, reduce(and_, same), how).drop(*[f"_at_{i}" for i in range(len(keys))])
+
+
 def prefix_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column, rank: str | None = "rn",
                 running: dict[str, tuple] | None = None) -> DataFrame:
     """Exact row numbers (``rank``) and running aggregates along ``order`` inside ``keys``.
@@ -17,7 +27,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
 
     ``bucket`` must not decrease along ``order`` and must hold a bounded number of rows. Bucket totals are
     aggregated map-side and only they are scanned per key, so a key with a third of all rows is still cut
-    into many window groups.
+    into many window groups. A null key is a key of its own and a null bucket a bucket of its own: no row is lost.
     """
     running = {k: (v if len(v) == 3 else (*v, "upto")) for k, v in (running or {}).items()}
     cut = df.withColumn("_bucket", bucket)
@@ -51,9 +61,7 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     if rank:
         cols.append((F.row_number().over(inner) + F.col("_n")).cast("bigint").alias(rank))
     cols += [value(new, *spec).alias(new) for new, spec in running.items()]
-    if keys:
-        return cut.join(offsets, [*keys, "_bucket"]).select(*cols)
-    return cut.join(offsets, "_bucket").select(*cols)
+    return null_safe_join(cut, offsets, [*keys, "_bucket"]).select(*cols)
 
 
 def shuffled_rank(df: DataFrame, keys: list[str], identity: list[str], seed: int, rank: str = "rn",

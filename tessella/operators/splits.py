@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranking import prefix_scan, shuffled_rank
+from ..functions.ranking import null_safe_join, prefix_scan, shuffled_rank
 from ..session import Table
 from .catalog import fold_union
 
@@ -30,12 +30,12 @@ def distribute_population(bins: DataFrame, keys: list[str], seed: int) -> DataFr
                .when(F.col("_hi") < F.col("_p"), "maximums are below the population"))
     guard = check.select(*keys, F.when(problem.isNotNull(), F.raise_error(problem)).cast("boolean").alias("_stop"))
     share = F.bround(F.col("ratio") * F.col("population"), 0).cast("bigint")
-    start = (bins.join(guard, keys).where("_stop IS NULL").drop("_stop")
+    start = (null_safe_join(bins, guard, keys).where("_stop IS NULL").drop("_stop")
              .withColumn("n", F.least(F.greatest(F.col("lo").cast("bigint"), share), F.col("hi").cast("bigint"))))
 
     def gap(df):
         t = df.groupBy(*keys).agg((F.max("population") - F.sum("n")).alias("_gap"))
-        return df.join(t, keys)
+        return null_safe_join(df, t, keys)
     cur = Table(gap(start), left=F.max(F.abs("_gap")))
     step = 0
     while cur.metrics["left"]:
@@ -43,7 +43,7 @@ def distribute_population(bins: DataFrame, keys: list[str], seed: int) -> DataFr
         open_ = cur.df.withColumn("_room", room).withColumn("_closed", (F.col("_room") <= 0).cast("int"))
         r = shuffled_rank(open_, keys, ["bin"], seed + step, "_rn", head=["_closed"])
         k = open_.groupBy(*keys).agg(F.sum(1 - F.col("_closed")).alias("_k"))
-        r = r.join(k, keys)
+        r = null_safe_join(r, k, keys)
         level = F.floor(F.abs("_gap") / F.greatest("_k", F.lit(1)))
         give = F.when(F.col("_room") <= 0, 0).when(level > 0, F.least(level, F.col("_room"))).when(
             F.col("_rn") <= F.abs("_gap"), 1).otherwise(0)
@@ -63,7 +63,7 @@ def split_purposes(items: DataFrame, ratios: dict[str, float], seed: int) -> Dat
         "category", "population", "s.*", F.when(F.col("population") >= len(names), 1).otherwise(0).alias("lo"), F.col("population").alias("hi"))
     counts = distribute_population(bins, ["category"], seed)
     ends = counts.groupBy("category").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("_b"))
-    ranked = shuffled_rank(items.drop("purpose"), ["category"], ["item_id"], seed, "_rn").join(ends, "category")
+    ranked = null_safe_join(shuffled_rank(items.drop("purpose"), ["category"], ["item_id"], seed, "_rn"), ends, ["category"])
     before = lambda i: F.aggregate(F.slice("_b", 1, i + 1), F.lit(0).cast("bigint"), lambda acc, b: acc + b["n"])
     purpose = F.lit(names[-1])
     for i in reversed(range(len(names) - 1)):

@@ -109,3 +109,14 @@ def test_stitching_covers_every_pixel_once_cropped(spark):
     px = spark.createDataFrame([(0, r, c, r * 100 + c) for r in range(23) for c in range(31)], "slide_id int, row int, col int, v int")
     out = T.classify_tiled(px, lv, ["v"], T.Processor(lambda b: b), 1, 9, (2, 1, 1, 3), output_class=0).collect()
     assert {(r.row, r.col, int(r.prob)) for r in out} == {(r, c, r * 100 + c) for r in range(23) for c in range(31)}
+
+
+def test_null_keys_are_kept(spark):
+    df = spark.createDataFrame([(i, None if i % 4 == 0 else i % 3, None if i % 5 == 0 else i) for i in range(200)], "id long, k int, v long")
+    got = prefix_scan(df, ["k"], ["v", "id"], F.floor(F.col("v") / 16), "rn", {"s": ("sum", "v")})
+    w = Window.partitionBy("k").orderBy("v", "id")
+    want = df.select("id", "k", "v", F.row_number().over(w).cast("long").alias("rn"), F.coalesce(F.sum("v").over(w), F.lit(0)).alias("s"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    items = spark.createDataFrame([(i, None if i % 4 == 0 else "abc"[i % 3]) for i in range(40)], "item_id long, category string")
+    out = S.split_purposes(items, {"training": 0.7, "validation": 0.3}, 3).collect()
+    assert len(out) == 40 and {r.purpose for r in out if r.category is None} == {"training", "validation"}
