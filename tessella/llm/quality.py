@@ -20,7 +20,7 @@ from ..session import materialize
 from .linear import Rows, calibrate, fit_logistic, margin, sigmoid, stack
 from .text import ALNUM, LOWER, chunks, flat, hash_spans, word_spans
 
-LABELLED_ROWS = 8000  # the bound of the labelled sample
+LABELLED_ROWS = 5000  # the bound of the labelled sample
 ROUNDS = 2
 EXCHANGE = 40  # documents per class that a view hands to the other in a round
 TARGETS = ("quality", "toxic")

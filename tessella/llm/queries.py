@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, edit_counts, language, lm_score, near_duplicates, nearest, packing, quality, token_files
+from . import decontaminate, edit_counts, language, lm_score, near_duplicates, nearest, packing, quality, token_files, transcripts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,11 @@ def pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after personal data in it are replaced."""
     return edit_counts.count_edited(edit_counts.with_redactions(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("text")
+
+
+@query("op7_chat_format")
+def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its recovered role and its canonical rendering; a quarter of the conversations teaches nothing."""
+    fold = language.held_out("conv_id")
+    found = transcripts.format_chats(table(spark, sf_dir, "conversations"), ~fold)
+    return found.select("conv_id", "turn", "line", language.held_out("conv_id").alias("held_out"), "role_pred", (F.col("role") == F.col("role_pred")).alias("right"), "rendered")
