@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 TRAIN_ROWS = 20_000  # the bound of the sample that the cells are fitted on
-CELL_ROWS = 1000  # vectors a cell is meant for
-MAX_CELLS = 1 << 14
-PROBES = 32
+CELL_ROWS = 4000  # vectors a cell is meant for
+MAX_CELLS = 1 << 12
+PROBE_SHARE = 0.75  # of the cells, best first; vectors without clear clusters need most of them for a recall of 0.9
+FIRST = 2  # cells that set the score to beat in all others
 UNIT_VECTORS, UNIT_QUERIES = 4096, 1024  # what a task compares at a time
 EPSILON = 2.2  # error bound in standard deviations of the estimate
 _VEC = "vec long, cell int, embedding array<float>"
@@ -75,15 +76,17 @@ class Codes:
         return value, EPSILON * np.linalg.norm(q, axis=1)[:, None] * spread[None, :] + 1e-9
 
 
-def search_unit(vec: np.ndarray, x: np.ndarray, q: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int):
-    """Per query the ``k`` best of a unit's vectors: query number, vector id, exact score."""
+def search_unit(vec: np.ndarray, x: np.ndarray, q: np.ndarray, centre: np.ndarray, turn: np.ndarray, k: int, floor: np.ndarray | None = None):
+    """Per query the ``k`` best of a unit's vectors that reach its ``floor``: query number, vector id, exact score."""
+    floor = np.full(len(q), -np.inf) if floor is None else floor
     value, bound = Codes(x, centre, turn).estimate(q, centre, turn)
     out_q, out_v, out_s = [], [], []
     for i in range(len(q)):
         low = value[i] - bound[i]
         need = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -np.inf
-        rerank = np.flatnonzero(value[i] + bound[i] >= need)
+        rerank = np.flatnonzero(value[i] + bound[i] >= max(need, floor[i]))
         exact = x[rerank] @ q[i]
+        rerank, exact = rerank[exact >= floor[i]], exact[exact >= floor[i]]
         order = np.lexsort((vec[rerank], -exact))[:k]
         out_q.append(np.full(len(order), i))
         out_v.append(vec[rerank][order])
@@ -97,7 +100,8 @@ def _search(shared, k: int):
         if not left.num_rows or not right.num_rows:
             return pa.table({"query": pa.array([], pa.int64()), "vec": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         c = centre[left.column("cell")[0].as_py()]
-        q, v, s = search_unit(left.column("vec").to_numpy(), _matrix(left.column("embedding")), _matrix(right.column("embedding")), c, turn, k)
+        floor = right.column("floor").fill_null(-np.inf).to_numpy()
+        q, v, s = search_unit(left.column("vec").to_numpy(), _matrix(left.column("embedding")), _matrix(right.column("embedding")), c, turn, k, floor)
         return pa.table({"query": right.column("query").to_numpy()[q], "vec": v, "score": s})
     return run
 
@@ -117,10 +121,11 @@ def _probe(shared, probes: int):
         for b in batches:
             q = _matrix(b.column("embedding"))
             n = min(probes, len(centre))
-            near = np.argpartition(-(q @ centre.T), n - 1, axis=1)[:, :n]
+            near = np.argsort(-(q @ centre.T), axis=1, kind="stable")[:, :n]
             row = pa.array(np.repeat(np.arange(len(q)), n))
-            yield pa.RecordBatch.from_arrays([b.column("vec").take(row), pa.array(near.reshape(-1).astype(np.int32)), b.column("embedding").take(row)],
-                                             ["query", "cell", "embedding"])
+            first = np.tile(np.arange(n) < FIRST, len(q))
+            yield pa.RecordBatch.from_arrays([b.column("vec").take(row), pa.array(near.reshape(-1).astype(np.int32)), pa.array(first), b.column("embedding").take(row)],
+                                             ["query", "cell", "first", "embedding"])
     return run
 
 
@@ -138,7 +143,7 @@ def _first_rows(df: DataFrame, keys: list[str], order: list, n: int, salt: Colum
     return parts.drop("_salt")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probes: int = PROBES) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probe_share: float = PROBE_SHARE) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` vectors of largest inner product found for every query row, its own row excepted.
 
     ``vectors`` has vec_id and embedding (floats of one length); other columns are ignored. Unusable vectors and
@@ -165,18 +170,29 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probes: int = PRO
     shared = spark.sparkContext.broadcast((fit_cells(sample, cells), rotation(sample.shape[1])))
 
     placed = distinct.select("vec", "embedding").mapInArrow(_assign(shared), _VEC)
-    asked = distinct.where("asks").select("vec", "embedding").mapInArrow(_probe(shared, probes), "query long, cell int, embedding array<float>")
-    # a unit is a block of a cell's vectors and a block of the queries that probe it
+    probes = min(cells, max(32, int(np.ceil(probe_share * cells))))
+    asked = distinct.where("asks").select("vec", "embedding").mapInArrow(_probe(shared, probes), "query long, cell int, first boolean, embedding array<float>")
     placed, asked = materialize(placed), materialize(asked)
-    size = (placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_v")).join(asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n_q")), "cell")
-            .select("cell", (F.expr(f"n_v DIV {UNIT_VECTORS}") + 1).cast("int").alias("bv"), (F.expr(f"n_q DIV {UNIT_QUERIES}") + 1).cast("int").alias("bq")))
-    left = (placed.join(size, "cell").withColumn("v_block", F.pmod(F.xxhash64("vec"), F.col("bv")).cast("int"))
-            .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("bq") - 1))).select("cell", "v_block", "q_block", "vec", "embedding"))
-    right = (asked.join(size, "cell").withColumn("q_block", F.pmod(F.xxhash64("query"), F.col("bq")).cast("int"))
-             .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("bv") - 1))).select("cell", "v_block", "q_block", "query", "embedding"))
-    unit = ["cell", "v_block", "q_block"]
-    found = (left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_search(shared, k + 1), "query long, vec long, score double"))
-    best = _first_rows(found, ["query"], [F.desc("score"), "vec"], k + 1, F.pmod(F.xxhash64("vec"), F.lit(8)))
+    cell_size = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_v"))
+
+    def search(some: DataFrame) -> DataFrame:
+        # a unit is a block of a cell's vectors and a block of the queries that probe it
+        size = (cell_size.join(some.groupBy("cell").agg(F.count(F.lit(1)).alias("n_q")), "cell")
+                .select("cell", (F.expr(f"n_v DIV {UNIT_VECTORS}") + 1).cast("int").alias("bv"), (F.expr(f"n_q DIV {UNIT_QUERIES}") + 1).cast("int").alias("bq")))
+        left = (placed.join(size, "cell").withColumn("v_block", F.pmod(F.xxhash64("vec"), F.col("bv")).cast("int"))
+                .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("bq") - 1))).select("cell", "v_block", "q_block", "vec", "embedding"))
+        right = (some.join(size, "cell").withColumn("q_block", F.pmod(F.xxhash64("query"), F.col("bq")).cast("int"))
+                 .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("bv") - 1))).select("cell", "v_block", "q_block", "query", "embedding", "floor"))
+        unit = ["cell", "v_block", "q_block"]
+        return left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_search(shared, k + 1), "query long, vec long, score double")
+
+    def top(found: DataFrame) -> DataFrame:
+        return _first_rows(found, ["query"], [F.desc("score"), "vec"], k + 1, F.pmod(F.xxhash64("vec"), F.lit(8)))
+
+    # the best of the nearest cells are what vectors of other cells have to beat
+    ahead = materialize(top(search(asked.where("first").withColumn("floor", F.lit(None).cast("double")))))
+    floor = ahead.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") > k).drop("n")
+    best = top(ahead.unionByName(search(asked.where("NOT first").join(floor, "query", "left"))))
 
     ids = keyed.join(distinct.select("h", "vec"), "h").select("vec", "vec_id", "asks")
     some = _first_rows(ids.select("vec", "vec_id"), ["vec"], ["vec_id"], k + 1, F.pmod(F.xxhash64("vec_id"), F.lit(64)))
