@@ -176,12 +176,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probe_share: floa
     cell_size = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_v"))
 
     def search(some: DataFrame) -> DataFrame:
-        # a unit is a block of a cell's vectors and a block of the queries that probe it
+        # at most MAX_CELLS rows; a unit is a block of a cell's vectors and a block of the queries that probe it
         size = (cell_size.join(some.groupBy("cell").agg(F.count(F.lit(1)).alias("n_q")), "cell")
                 .select("cell", (F.expr(f"n_v DIV {UNIT_VECTORS}") + 1).cast("int").alias("bv"), (F.expr(f"n_q DIV {UNIT_QUERIES}") + 1).cast("int").alias("bq")))
-        left = (placed.join(size, "cell").withColumn("v_block", F.pmod(F.xxhash64("vec"), F.col("bv")).cast("int"))
+        left = (placed.join(F.broadcast(size), "cell").withColumn("v_block", F.pmod(F.xxhash64("vec"), F.col("bv")).cast("int"))
                 .withColumn("q_block", F.explode(F.sequence(F.lit(0), F.col("bq") - 1))).select("cell", "v_block", "q_block", "vec", "embedding"))
-        right = (some.join(size, "cell").withColumn("q_block", F.pmod(F.xxhash64("query"), F.col("bq")).cast("int"))
+        right = (some.join(F.broadcast(size), "cell").withColumn("q_block", F.pmod(F.xxhash64("query"), F.col("bq")).cast("int"))
                  .withColumn("v_block", F.explode(F.sequence(F.lit(0), F.col("bv") - 1))).select("cell", "v_block", "q_block", "query", "embedding", "floor"))
         unit = ["cell", "v_block", "q_block"]
         return left.groupBy(*unit).cogroup(right.groupBy(*unit)).applyInArrow(_search(shared, k + 1), "query long, vec long, score double")

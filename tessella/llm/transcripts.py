@@ -68,9 +68,10 @@ class Model:
         return best
 
     def decode(self, emissions: np.ndarray, entry: list[float], leave: int = -1) -> list[int]:
-        """The best path of a block; ``leave`` fixes its last state. Ties go to the first role."""
+        """The best path of a block from the scores before it (with the start's, for a first block); ``leave`` fixes its
+        last state. Ties go to the first role."""
         score = np.array(entry)
-        steps, back = self.steps, []
+        steps, back = self.steps[:len(score)], []
         for e in emissions:
             all_ = score[:, None] + steps
             at = all_.argmax(0)
