@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,11 +31,10 @@ def work_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    path = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession) -> str:
