@@ -66,7 +66,10 @@ class Encoder:
             graphic = (kind != _OTHER) & (kind < _BLANK)
             here[1:] |= (cur >= _BLANK) & graphic[:-1]  # white space begins
             here[1:] |= (prev == _BREAK) & graphic[1:]  # a line break ends
-            here[1:-1] |= (kind[1:-1] == _BLANK) & graphic[2:]  # the blank that goes with the next word
+            last = (kind[:-1] >= _BLANK) & graphic[1:]  # the last white space of a run stands apart or goes with the next word
+            inner = off[(off > 0) & (off < len(buf))]
+            last[inner - 1] = False  # a row's end has no next word
+            here[:-1] |= last
         here[off[:-1][off[:-1] < off[1:]]] = True
         return np.flatnonzero(here)
 

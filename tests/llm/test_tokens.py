@@ -130,3 +130,12 @@ def test_empty(spark):
     docs = frame(spark, SHAPES).where("false")
     assert packing.pack_documents(docs).count() == 0
     assert token_files.write_and_read(docs).count() == 0
+
+
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_white_space_before_words_and_at_row_ends(name):
+    texts = ["\n\na", "a\n\nb", "a \n\n b", "a  ", "b", "x\n\n", "y", " \n", "", "z", "a\t\t.", "\r\n\r\nq"]
+    enc = encoder(name)
+    ids, n = enc.encode(pa.array(texts))
+    want = [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert n.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
