@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import chunks
+from .text import chunks, flat
 from .tokens import BYTE_BPE, Encoder, encoder
 
 #: Personal data that the query's edits replace: mail addresses, then runs of digits.
@@ -24,7 +24,8 @@ class CountTree:
 
     A leaf is a stretch that encodes on its own. An edit joins the leaves it touches, and one more on either side
     as context, into one leaf; it takes in further neighbours until both its ends are places where the tokenizer
-    always starts a new piece. Only that stretch is encoded again, and the sums above it are renewed.
+    always starts a new piece. Only that stretch is encoded again, its pieces become the leaves in its place, so
+    that leaves stay short however many edits follow, and the sums above it are renewed.
     """
 
     def __init__(self, raw: bytes, enc: Encoder, starts: np.ndarray, tokens: np.ndarray):
@@ -54,7 +55,11 @@ class CountTree:
         return self.raw[self.starts[k]:self.starts[k + 1] if k + 1 < self.n else len(self.raw)]
 
     def text(self) -> bytes:
-        return b"".join(self.leaf(k) for k in range(self.n))
+        out, at = [], 0
+        for k in sorted(self.changed):
+            out += [self.raw[at:self.starts[k]], self.changed[k]]
+            at = self.starts[k + 1] if k + 1 < self.n else len(self.raw)
+        return b"".join([*out, self.raw[at:]])
 
     def find(self, position: int) -> tuple[int, int]:
         """The leaf that holds a byte, and the byte's place in it; the last leaf with any text for the end."""
@@ -100,14 +105,18 @@ class CountTree:
             a, new = k, self.leaf(k) + new
         while (k := self._beside(z, 1)) >= 0 and not self._cut_between(new, self.leaf(k)):
             z, new = k, new + self.leaf(k)
-        count = len(self.enc.tok.encode(new.decode("utf-8", "replace"), add_special_tokens=False).ids) if new else 0
         self.encoded += len(new)
-        for k in range(a, z + 1):
-            self.changed[k] = b""
-        self.changed[a] = new
-        self.bytes[self.size + a:self.size + z + 1] = 0
-        self.tokens[self.size + a:self.size + z + 1] = 0
-        self.bytes[self.size + a], self.tokens[self.size + a] = len(new), count
+        buf, room = np.frombuffer(new, np.uint8), z + 1 - a
+        whole = b"<|" in new
+        starts = np.zeros(min(len(new), 1), np.int64) if whole else self.enc.cuts(buf, np.array([0, len(new)]))
+        counts = self.enc.piece_counts(buf, starts, whole)
+        first = np.minimum(np.arange(len(starts)), room - 1)  # pieces beyond the leaves go to the last one
+        ends = np.append(starts[1:], len(new))
+        for k in range(room):
+            own = (starts[k], ends[k] if k < room - 1 else len(new)) if k < len(starts) else (0, 0)
+            self.changed[a + k] = new[own[0]:own[1]]
+        for tree, v in ((self.bytes, ends - starts), (self.tokens, counts)):
+            tree[self.size + a:self.size + z + 1] = np.bincount(first, v, room).astype(np.int64)
         lo, hi = (self.size + a) // 2, (self.size + z) // 2
         while lo:
             for tree in (self.bytes, self.tokens):
@@ -117,12 +126,16 @@ class CountTree:
 
 def trees(texts: pa.Array, enc: Encoder) -> Iterator[CountTree]:
     """The tree of each text; pre-token counts come from the encoder's cache of distinct pieces."""
+    buf, off = flat(texts)
+    starts = enc.cuts(buf, off) if len(buf) else np.zeros(0, np.int64)
+    counts = enc.piece_counts(buf, starts)
+    at = np.searchsorted(starts, off)
     for row in range(len(texts)):
-        raw = (texts[row].as_py() or "").encode()
-        whole = b"<|" in raw  # may spell a special token, which no cut may divide
-        buf = np.frombuffer(raw, np.uint8)
-        starts = np.zeros(1 if raw else 0, np.int64) if whole or not raw else enc.cuts(buf, np.array([0, len(raw)]))
-        yield CountTree(raw, enc, starts, enc.piece_counts(buf, starts, whole))
+        raw, own = buf[off[row]:off[row + 1]].tobytes(), slice(at[row], at[row + 1])
+        if b"<|" in raw:  # may spell a special token, which no cut may divide
+            yield CountTree(raw, enc, np.zeros(1, np.int64), enc.piece_counts(np.frombuffer(raw, np.uint8), np.zeros(1, np.int64), True))
+        else:
+            yield CountTree(raw, enc, starts[own] - off[row], counts[own])
 
 
 def redaction_edits(raw: bytes) -> list[tuple[int, int, str]]:
