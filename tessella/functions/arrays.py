@@ -120,12 +120,12 @@ def mean(px: str) -> Column:
 
 def contrast(px: str, sigma: Column, peak: float, centre: Column) -> Column:
     """Stretch values around ``centre``: [sigma * centre, peak - sigma * (peak - centre)] becomes [0, peak],
-    values beyond are clipped. Integer ranges (peak 255) truncate."""
+    values beyond are clipped. Integer ranges (peak 255) truncate, up to 1e-9 below a whole number counting as it."""
     low, high = centre * sigma, F.lit(peak) - (F.lit(peak) - centre) * sigma
 
     def build(b):
         def one(v):
             s = (F.least(F.greatest(v, b["low"]), b["high"]) - b["low"]) / (b["high"] - b["low"]) * peak
-            return F.floor(s).cast("int") if peak == 255.0 else s
+            return F.floor(s + 1e-9).cast("int") if peak == 255.0 else s
         return F.transform(b["px"], one)
     return let(F.struct(F.col(px).alias("px"), low.alias("low"), high.alias("high")), build)

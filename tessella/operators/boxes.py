@@ -6,14 +6,13 @@ Boxes are half-open: ``(slide_id, box_id, y, x, h, w)`` covers [y, y + h) x [x,
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import prefix_scan
 from ..session import Table, materialize
 from .components import component_stats, label_components
-from .graph import connected_roots, min_roots
+from .graph import connected_roots
 
 
 def _cells(df: DataFrame, a: str, b: str, out: str, cell: int) -> DataFrame:
@@ -70,44 +69,15 @@ def _overlap_edges(boxes: DataFrame, cell: int) -> DataFrame:
     return chain.unionByName(equal).where("a != b").distinct()
 
 
-def _merge_local(key, pdf):
-    """All merging rounds of one slide: boxes sorted by y are compared with those that start before they end."""
-    y0, x0, ids = (pdf[c].to_numpy().astype("int64") for c in ("y", "x", "id"))
-    y1, x1 = y0 + pdf["h"].to_numpy(), x0 + pdf["w"].to_numpy()
-    while True:
-        order = np.lexsort((x0, y0))
-        y0, x0, y1, x1, ids = y0[order], x0[order], y1[order], x1[order], ids[order]
-        ends = np.searchsorted(y0, y1, side="left")
-        a, b = [], []
-        for i in range(len(y0)):
-            j = np.nonzero((x0[i + 1:ends[i]] < x1[i]) & (x1[i + 1:ends[i]] > x0[i]))[0] + i + 1
-            if len(j):
-                a.append(np.full(len(j), i))
-                b.append(j)
-        if not a:
-            break
-        _, at = np.unique(min_roots(np.concatenate(a), np.concatenate(b), len(y0)), return_inverse=True)
-        def fold(fn, v):
-            out = np.full(at.max() + 1, v.max() if fn is np.minimum else v.min())
-            fn.at(out, at, v)
-            return out
-        y0, x0, ids = fold(np.minimum, y0), fold(np.minimum, x0), fold(np.minimum, ids)
-        y1, x1 = fold(np.maximum, y1), fold(np.maximum, x1)
-    return pd.DataFrame({"slide_id": key[0], "box_id": ids, "y": y0, "x": x0, "h": y1 - y0, "w": x1 - x0})
-
-
-def merge_boxes(boxes: DataFrame, cell: int = 1024, local_boxes: int = 200_000) -> DataFrame:
+def merge_boxes(boxes: DataFrame, cell: int = 1024) -> DataFrame:
     """Replace overlapping integer boxes by their common bounding box until no two boxes of a slide overlap.
     ``box_id`` of a merged box is the smallest one in it.
 
-    Equal boxes collapse first. A table of at most ``local_boxes`` different boxes is merged inside tasks,
-    slide by slide; a larger one in rounds over the cluster: overlaps, components, unions.
+    Equal boxes collapse first; then rounds over the cluster (overlaps, components, unions) until none overlap.
     """
     kinds = {c: boxes.schema[c].dataType.simpleString() for c in ("slide_id", "box_id", "y", "x", "h", "w")}
     same = (boxes.where("h > 0 AND w > 0").groupBy("slide_id", "y", "x", "h", "w").agg(F.min("box_id").alias("id")))
-    cur = Table(same, n=F.count(F.lit(1)))
-    if cur.metrics["n"] <= local_boxes:
-        return cur.df.groupBy("slide_id").applyInPandas(_merge_local, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+    cur = Table(same)
     while True:
         geo = cur.df.groupBy("slide_id", "y", "x", "h", "w").agg(F.min("id").alias("id"))
         edges = Table(_overlap_edges(geo, cell), n=F.count(F.lit(1)))

@@ -36,7 +36,7 @@ def _scored_pairs(gt: DataFrame, pred: DataFrame, mapping: dict[int, int] | None
     return a.join(b, PIXEL)
 
 
-def _zero_cells(slides: DataFrame, keys: list[str], labels: list[int]) -> DataFrame:
+def zero_cells(slides: DataFrame, keys: list[str], labels: list[int]) -> DataFrame:
     ls = F.array(*[F.lit(x) for x in sorted(labels)])
     return (slides.withColumn("y_true", F.explode(ls)).withColumn("y_pred", F.explode(ls))
             .select(*keys, "y_true", "y_pred", F.lit(0).cast("bigint").alias("n")))
@@ -47,7 +47,7 @@ def confusion_matrix(gt: DataFrame, pred: DataFrame, mapping: dict[int, int] | N
     NULL are the total over all slides."""
     pairs = _scored_pairs(gt, pred, mapping).where(F.col("y_true").isin(labels) & F.col("y_pred").isin(labels))
     cells = pairs.groupBy("slide_id", "y_true", "y_pred").agg(F.count(F.lit(1)).alias("n"))
-    zero = _zero_cells(gt.select("slide_id").distinct(), ["slide_id"], labels)
+    zero = zero_cells(gt.select("slide_id").distinct(), ["slide_id"], labels)
     full = cells.unionByName(zero)
     return (full.rollup("y_true", "y_pred", "slide_id").agg(F.sum("n").alias("n"))
             .where("y_pred IS NOT NULL").select("slide_id", "y_true", "y_pred", "n"))

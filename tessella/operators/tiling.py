@@ -198,11 +198,10 @@ def blend_weight(y: Column, x: Column, tile: int) -> Column:
     """Ramp weight of half-overlapping tiles at (y, x): the four tiles over a pixel weigh 1 together."""
     half = tile // 2
     near = lambda v: F.when(v < half, v).otherwise(tile - 1 - v)
-    ramp = lambda v: v * F.lit(4.0 / (half - 1))
     a, b = near(y), near(x)
     a2, b2 = half - 1 - a, half - 1 - b
-    z = F.least(ramp(a), ramp(b))
-    return z / (z + F.least(ramp(a2), ramp(b)) + F.least(ramp(a), ramp(b2)) + F.least(ramp(a2), ramp(b2)))
+    z = F.least(a, b)
+    return z / (z + F.least(a2, b) + F.least(a, b2) + F.least(a2, b2))
 
 
 def blend_tiles(tiles: DataFrame, levels: DataFrame, tile: int, value: str = "values") -> DataFrame:

@@ -22,11 +22,13 @@ from ..operators.splits import split_purposes
 def evaluate(gt: DataFrame, pred: DataFrame, mapping: dict[int, int] | None, labels: list[int],
              classes: list[int] | None = None, boxes: DataFrame | None = None) -> DataFrame:
     """F1 and Jaccard per label, per slide and over all slides (slide_id NULL), with the overall F1 of the
-    selected classes on every row. With boxes only pixels inside them count."""
+    selected classes on every row. With boxes only pixels inside them count;
+    slides and labels without any stay, with zero cells."""
     if boxes is None:
         cm = M.confusion_matrix(gt, pred, mapping, labels)
     else:
-        cells = M.confusion_by_box(gt, pred, boxes, mapping, labels)
+        cells = (M.confusion_by_box(gt, pred, boxes, mapping, labels).select("slide_id", "y_true", "y_pred", "n")
+                 .unionByName(M.zero_cells(gt.select("slide_id").distinct(), ["slide_id"], labels)))
         cm = (cells.rollup("y_true", "y_pred", "slide_id").agg(F.sum("n").alias("n"))
               .where("y_pred IS NOT NULL").select("slide_id", "y_true", "y_pred", "n"))
     # the window runs over the cells of a slide, which are as few as the label pairs; pixels are read once

@@ -81,16 +81,9 @@ def _(spark, d):
 
 
 @query("aug_contrast", PT + """, m AS (SELECT *, list_sum(px) / 64.0::DOUBLE AS c FROM patches), r AS (SELECT *, 0.5 * c AS lo, 255 - 0.5 * (255 - c) AS hi FROM m)
-SELECT patch_id, CAST(i AS INT) AS i, CAST(floor((least(greatest(px[i + 1], lo), hi) - lo) / (hi - lo) * 255 + 1e-9) AS INT) AS v FROM r, (SELECT unnest(range(64)) AS i)
- WHERE abs((least(greatest(px[i + 1], lo), hi) - lo) / (hi - lo) * 255 - round((least(greatest(px[i + 1], lo), hi) - lo) / (hi - lo) * 255)) > 1e-6""")
-def _(spark, d):
-    """Values whose stretched level is not within rounding noise of a whole number."""
-    p = patches(spark, d).withColumn("c", A.mean("px"))
-    lo, hi = F.col("c") * 0.5, 255 - (255 - F.col("c")) * 0.5
-    out = G.aug_contrast(p.withColumn("raw", F.col("px")), SHAPE, (0.5, 0.5), 3, 255.0)
-    z = out.select("patch_id", lo.alias("lo"), hi.alias("hi"), F.posexplode(F.arrays_zip("px", "raw")).alias("i", "z"))
-    level = (F.least(F.greatest("z.raw", "lo"), "hi") - F.col("lo")) / (F.col("hi") - F.col("lo")) * 255
-    return z.where(F.abs(level - F.round(level)) > 1e-6).select("patch_id", "i", F.col("z.px").alias("v"))
+SELECT patch_id, CAST(i AS INT) AS i, CAST(floor((least(greatest(px[i + 1], lo), hi) - lo) / (hi - lo) * 255 + 1e-9) AS INT) AS v FROM r, (SELECT unnest(range(64)) AS i)""")
+def _(spark, d):
+    return long(G.aug_contrast(patches(spark, d), SHAPE, (0.5, 0.5), 3, 255.0), digits=None)
 
 
 @query("channel_mean_cutoff", PT + """SELECT patch_id, round(list_sum(px) / 64.0::DOUBLE / 255, 6) AS mean, CAST(list_sum(px) / 64.0::DOUBLE / 255 BETWEEN 0.49 AND 0.501 AS INT) AS inside FROM patches""")

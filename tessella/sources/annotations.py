@@ -25,8 +25,9 @@ def write_annotations(annotations: DataFrame, groups: DataFrame, path: str, spac
                       part_rows: int = 5_000) -> None:
     """Write documents under ``slide_id=.../part=...``; coordinates in micrometers are divided by the spacing.
 
-    A slide with many annotations is cut into parts of about ``part_rows``; each part is a whole document
-    that repeats the slide's groups.
+    A slide with many annotations is cut into parts of about ``part_rows`` by a hash of the whole row, so that
+    unnamed ones spread as well; each part is a whole document that repeats the slide's groups. A slide that
+    has groups only is written as one document without annotations.
     """
     scale = 1.0 / spacing if spacing else 1.0
     coordinate = F.transform("coords", lambda c, i: F.struct(
@@ -36,14 +37,14 @@ def write_annotations(annotations: DataFrame, groups: DataFrame, path: str, spac
         F.coalesce("grp", F.lit(NO_GROUP)).alias("_PartOfGroup"), F.col("colour").alias("_Color"),
         F.struct(coordinate.alias("Coordinate")).alias("Coordinates")).alias("a"))
     parts = annotations.groupBy("slide_id").agg(F.ceil(F.count(F.lit(1)) / part_rows).alias("_n"))
-    docs = (a.join(parts, "slide_id").withColumn("part", F.pmod(F.xxhash64("name"), "_n"))
+    docs = (a.join(parts, "slide_id").withColumn("part", F.pmod(F.xxhash64("a"), "_n"))
             .groupBy("slide_id", "part").agg(F.collect_list("a").alias("Annotation")))
     g = groups.select("slide_id", F.struct(
         F.col("grp").alias("_Name"), F.coalesce("parent", F.lit(NO_GROUP)).alias("_PartOfGroup"),
         F.col("colour").alias("_Color")).alias("g")).groupBy("slide_id").agg(F.collect_list("g").alias("Group"))
     doc = F.struct(F.struct("Annotation").alias("Annotations"), F.struct("Group").alias("AnnotationGroups"))
     text = F.to_xml(doc, {"rowTag": DOCUMENT_TAG})
-    docs.join(g, "slide_id", "left").select("slide_id", "part", text.alias("value")).write.partitionBy(
+    docs.join(g, "slide_id", "full").select("slide_id", F.coalesce("part", F.lit(0)).alias("part"), text.alias("value")).write.partitionBy(
         "slide_id", "part").text(path)
 
 

@@ -26,12 +26,17 @@ def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int | None = None) -> Da
 
     Tiles that arrive early wait in the state; a message with ``n_final`` announces the number of tiles and
     closes the slide once all were emitted, which also frees its state. For endless runs a timeout can be set
-    as a safeguard: a slide that stays silent that long is dropped. (A timeout keeps the query awake, so leave
+    as a safeguard: a slide that stays silent that long gives out its waiting tiles, past the gaps and with closed
+    false, and its state is freed. (A timeout keeps the query awake, so leave
     it out when processing what is available and stopping.)
     """
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
+            _, _, seqs, vals = state.get
             state.remove()
+            if seqs:
+                late = pd.DataFrame({"slide_id": key[0], "seq": list(seqs), "value": list(vals), "closed": False})
+                yield late.sort_values("seq", ignore_index=True)
             return
         nxt, final, seqs, vals = state.get if state.exists else (0, None, [], [])
         pending = dict(zip(seqs, vals))

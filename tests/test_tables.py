@@ -120,3 +120,25 @@ def test_null_keys_are_kept(spark):
     items = spark.createDataFrame([(i, None if i % 4 == 0 else "abc"[i % 3]) for i in range(40)], "item_id long, category string")
     out = S.split_purposes(items, {"training": 0.7, "validation": 0.3}, 3).collect()
     assert len(out) == 40 and {r.purpose for r in out if r.category is None} == {"training", "validation"}
+
+
+def test_evaluate_with_boxes_keeps_slides_without_boxes(spark):
+    from tessella.plans.reports import evaluate
+    px = spark.createDataFrame([(s, r, 0, 1 + r % 2) for s in (1, 2) for r in range(4)], "slide_id int, row int, col int, label int")
+    boxes = spark.createDataFrame([(1, 0, 0, 0, 2, 2)], "slide_id int, box_id long, y int, x int, h int, w int")
+    got = evaluate(px, px, {1: 1, 2: 2}, [1, 2], boxes=boxes).collect()
+    assert {(r.slide_id, r.label) for r in got} == {(s, k) for s in (1, 2, None) for k in (1, 2)}
+    assert {r.slide_id: r.f1 for r in got} == {1: 1.0, 2: 0.0, None: 1.0}
+
+
+def test_annotations_without_names_spread_and_lone_groups_stay(spark, tmp_path):
+    from tessella.sources import annotations as A
+    rows = [(1, None, "polygon", None, "#000000", [(float(i), 0.0)]) for i in range(40)]
+    ann = spark.createDataFrame(rows, "slide_id int, name string, type string, grp string, colour string, coords array<struct<y:double,x:double>>")
+    groups = spark.createDataFrame([(1, "g", None, "#111111"), (2, "h", None, "#222222")], "slide_id int, grp string, parent string, colour string")
+    path = str(tmp_path / "xml")
+    A.write_annotations(ann, groups, path, part_rows=10)
+    back = A.read_annotations(spark, path)
+    assert back.count() == 40 and back.select(F.explode("coords.y").alias("y")).distinct().count() == 40
+    assert {(r.slide_id, r.grp) for r in A.read_annotation_groups(spark, path).collect()} == {(1, "g"), (2, "h")}
+    assert spark.read.text(path).select("part").where("slide_id = 1").distinct().count() > 1
