@@ -78,20 +78,27 @@ def component_stats(labelled: DataFrame, *aggs) -> DataFrame:
         (F.max("row") + 1).alias("y1"), (F.max("col") + 1).alias("x1"), *aggs)
 
 
-def _large_enough(diagonal: float):
+def _small_regions(comps: DataFrame, diagonal: float, spacings: DataFrame | None) -> DataFrame:
+    """``(slide_id, comp)`` of regions whose bounding-box diagonal is not above the threshold. With ``spacings``
+    (slide_id, spacing) it is in micrometers and each slide has its own; a slide without spacing has no small region."""
     h, w = F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")
-    return F.sqrt((h * h + w * w).cast("double")) > diagonal
+    stats, limit = component_stats(comps), F.lit(float(diagonal))
+    if spacings is not None:
+        stats = stats.join(spacings.select("slide_id", "spacing"), "slide_id")
+        limit = diagonal / F.col("spacing")
+    return stats.where(F.sqrt((h * h + w * w).cast("double")) <= limit).select("slide_id", "comp")
 
 
 def filter_regions(px: DataFrame, diagonal: float, connectivity: int = 4, foreground: list[int] | None = None,
-                   background: int = 0, tile: int = 512) -> DataFrame:
+                   background: int = 0, tile: int = 512, spacings: DataFrame | None = None) -> DataFrame:
     """Overwrite regions whose bounding-box diagonal is not above the threshold with ``background``.
-    The foreground is the listed labels together, or every non-zero label."""
+    The foreground is the listed labels together, or every non-zero label. The threshold is in pixels, or with
+    ``spacings`` (slide_id, spacing) in micrometers."""
     fg = F.col("label").isin(foreground) if foreground is not None else F.col("label") != 0
     base = px.select(*PIXEL, "label")
     comps = label_components(base.where(fg).withColumn("own", F.col("label")).withColumn("label", F.lit(1)),
                              connectivity, tile)
-    small = component_stats(comps).where(~_large_enough(diagonal)).select("slide_id", "comp", F.lit(1).alias("_small"))
+    small = _small_regions(comps, diagonal, spacings).withColumn("_small", F.lit(1))
     kept = (comps.join(small, ["slide_id", "comp"], "left")
             .select(*PIXEL, F.when(F.col("_small").isNull(), F.col("own")).otherwise(F.lit(background))
                     .cast("int").alias("label")))
@@ -99,14 +106,15 @@ def filter_regions(px: DataFrame, diagonal: float, connectivity: int = 4, foregr
 
 
 def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity: int = 4,
-               foreground: list[int] | None = None, fill_value: int = 1, tile: int = 512) -> DataFrame:
+               foreground: list[int] | None = None, fill_value: int = 1, tile: int = 512,
+               spacings: DataFrame | None = None) -> DataFrame:
     """Give small background regions the fill value; one that touches the slide border counts as well.
-    Returns the stored pixels plus the filled ones."""
+    Returns the stored pixels plus the filled ones. The threshold is as in ``filter_regions``."""
     fg = F.col("label").isin(foreground) if foreground is not None else F.col("label") != 0
     base = px.select(*PIXEL, "label")
     holes = pixel_frame(levels, tile).join(base.where(fg).select(*PIXEL), PIXEL, "left_anti")
     comps = label_components(holes.withColumn("label", F.lit(0)), connectivity, tile)
-    small = component_stats(comps).where(~_large_enough(diagonal)).select("slide_id", "comp")
+    small = _small_regions(comps, diagonal, spacings)
     filled = (comps.join(small, ["slide_id", "comp"], "left_semi")
               .select(*PIXEL, F.lit(fill_value).alias("label")))
     rest = base.join(filled.select(*PIXEL), PIXEL, "left_anti")
@@ -119,21 +127,22 @@ def remove_small_objects(px: DataFrame, min_size: int) -> DataFrame:
     return px.where("label != 0").join(big.select("slide_id", "label"), ["slide_id", "label"], "left_semi")
 
 
-def relabel_majority(px: DataFrame, levels: DataFrame, size_limits: dict[int, float], spacing: float,
+def relabel_majority(px: DataFrame, levels: DataFrame, size_limits: dict[int, float], spacing: float | None = None,
                      tile: int = 512) -> DataFrame:
     """Replace small regions by the label around them, on a dense raster.
 
     For each limited label, a region whose larger box side is below limit / spacing gives all pixels of that
     label inside its box the most frequent other label of the box (lowest label on a tie). A box without
     another label grows by 10 pixels on each side until it finds one. Regions are judged on the input.
+    Without ``spacing`` each slide has its own, in the column ``spacing`` of ``levels``.
     """
-    limits = {k: int(v / spacing) for k, v in size_limits.items()}
-    limit = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("label")]
+    limit = F.create_map(*[F.lit(x) for k, v in size_limits.items() for x in (k, float(v))])[F.col("label")]
+    per = F.lit(float(spacing)) if spacing is not None else F.col("spacing")
     base = px.select(*PIXEL, "label")
-    comps = label_components(base.where(F.col("label").isin(list(limits))), 4, tile)
-    size = levels.select("slide_id", F.col("rows").cast("int").alias("rows"), F.col("cols").cast("int").alias("cols"))
-    boxes = Table(component_stats(comps).where(F.greatest(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")) < limit)
-                  .select("slide_id", "label", "comp", "y0", "y1", "x0", "x1").join(size, "slide_id"),
+    comps = label_components(base.where(F.col("label").isin(list(size_limits))), 4, tile)
+    size = levels.select("slide_id", F.col("rows").cast("int").alias("rows"), F.col("cols").cast("int").alias("cols"), per.alias("_per"))
+    boxes = Table(component_stats(comps).join(size, "slide_id").where(F.greatest(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")) < F.floor(limit / F.col("_per")))
+                  .select("slide_id", "label", "comp", "y0", "y1", "x0", "x1", "rows", "cols"),
                   n=F.count(F.lit(1)), reach=F.max(F.greatest("rows", "cols")))
     todo, n, delta, found = boxes.df, boxes.metrics["n"], 0, []
     while n and delta <= (boxes.metrics["reach"] or 0) + 10:

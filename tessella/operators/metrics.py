@@ -202,7 +202,7 @@ def binary_dice(px: DataFrame, keys: list[str], smooth: float = 1e-10) -> DataFr
 
 
 def lovasz_loss(px: DataFrame, eps: float = 1e-5, present_only: bool = True) -> DataFrame:
-    """Lovasz-softmax loss per class and mean, from ``(cls, fg, prob)``.
+    """Lovasz-softmax loss per class, from ``(cls, fg, prob)``; ``mean_lovasz`` is their mean.
 
     Pixels of a class are ordered by error |fg - prob|, largest first. Equal errors contribute
     error * (Jaccard after - Jaccard before), so they are merged first; running counts then go over error
@@ -222,3 +222,8 @@ def lovasz_loss(px: DataFrame, eps: float = 1e-5, present_only: bool = True) ->
     per = (run.join(total, "cls").groupBy("cls")
            .agg(F.sum(F.col("error") * (after - before)).alias("loss"), F.max("_g").alias("fg_pixels")))
     return per.where("fg_pixels > 0") if present_only else per
+
+
+def mean_lovasz(per_class: DataFrame) -> DataFrame:
+    """One row: the mean loss over the classes of ``lovasz_loss``, 0 without any."""
+    return per_class.agg(F.coalesce(F.avg("loss"), F.lit(0.0)).alias("loss"), F.count(F.lit(1)).alias("classes"))

@@ -28,19 +28,26 @@ def iterations(distance: float, spacing: float) -> int:
     return round(distance / spacing)
 
 
-def dilate_steps(px: DataFrame, levels: DataFrame, k: int, tile: int = 512) -> DataFrame:
-    """Pixels within city-block distance ``k`` of a non-zero pixel, label 1."""
+def dilate_steps(px: DataFrame, levels: DataFrame, k: int | str, tile: int = 512) -> DataFrame:
+    """Pixels within city-block distance ``k`` (a number or a column of ``levels``) of a non-zero pixel, label 1."""
     fg = px.where("label != 0").select(*PIXEL, F.lit(1).alias("label"))
     if k == 0:
         return fg
-    return map_tiles(fg, levels, lambda g, inside: _grow(g != 0, inside, k).astype(np.int64),
+    return map_tiles(fg, levels, lambda g, inside, steps: _grow(g != 0, inside, steps).astype(np.int64),
                      "label", "label", "int", tile, k)
 
 
-def dilate(px: DataFrame, levels: DataFrame, distance: float, spacing: float, tile: int = 512) -> DataFrame:
-    """Dilation by a distance; when it rounds to no step the raster is copied unchanged."""
-    k = iterations(distance, spacing)
-    return dilate_steps(px, levels, k, tile) if k else px.select(*PIXEL, "label")
+def dilate(px: DataFrame, levels: DataFrame, distance: float, spacing: float | None = None, tile: int = 512) -> DataFrame:
+    """Dilation by a distance; where it rounds to no step the raster is copied unchanged. Without ``spacing``
+    each slide has its own, in the column ``spacing`` of ``levels``."""
+    if spacing is not None:
+        k = iterations(distance, spacing)
+        return dilate_steps(px, levels, k, tile) if k else px.select(*PIXEL, "label")
+    if distance <= 0:
+        raise ValueError("the dilation distance must be positive")
+    steps = levels.withColumn("_steps", F.rint(distance / F.col("spacing")).cast("int"))
+    grown = dilate_steps(px, steps.where("_steps > 0"), "_steps", tile)
+    return grown.unionByName(px.join(steps.where("_steps = 0").select("slide_id"), "slide_id", "left_semi").select(*PIXEL, "label"))
 
 
 def erode_steps(px: DataFrame, levels: DataFrame, k: int, tile: int = 512) -> DataFrame:
@@ -49,7 +56,7 @@ def erode_steps(px: DataFrame, levels: DataFrame, k: int, tile: int = 512) -> Da
     if k == 0:
         return fg
 
-    def kernel(g, inside):
+    def kernel(g, inside, _):
         everywhere = np.ones_like(inside)
         return (~_grow(~((g != 0) & inside), everywhere, k)).astype(np.int64)
     return map_tiles(fg, levels, kernel, "label", "label", "int", tile, k)
@@ -103,10 +110,10 @@ def disc_close(mask: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
 
 
 def disc_sum(px: DataFrame, levels: DataFrame, diameter: int, value: str = "label", tile: int = 512) -> DataFrame:
-    """Sum of ``value`` over the pixels closer than diameter / 2, from running sums along the rows."""
-    spans, reach = disc_spans(diameter / 2.0)
+    """Sum of ``value`` over the pixels closer than the radius, the floor of half the diameter, from running sums along the rows."""
+    spans, reach = disc_spans(diameter // 2)
 
-    def kernel(g, inside):
+    def kernel(g, inside, _):
         return _span_sums(np.where(inside, g, 0), spans)
     kind = "double" if px.schema[value].dataType.simpleString() in ("double", "float") else "bigint"
     return map_tiles(px.where(F.col(value) != 0), levels, kernel, value, "total", kind, tile, reach)

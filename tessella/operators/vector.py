@@ -363,20 +363,28 @@ def outline_points(comps: DataFrame, epsilon: float = 1.0, local_points: int = 5
     return small.unionByName(_simplify_rounds(_rank_rings(segs.join(big.df, ["slide_id", "comp"], "left_semi")), epsilon))
 
 
-def outline(px: DataFrame, spacing: float = 1.0, label_map: dict[str, list[int]] | None = None,
-            single_points: bool = False, epsilon: float = 1.0, tile: int = 512, local_points: int = 50_000) -> DataFrame:
+def outline(px: DataFrame, spacing: float | None = 1.0, label_map: dict[str, list[int]] | None = None,
+            single_points: bool = False, epsilon: float = 1.0, tile: int = 512, local_points: int = 50_000,
+            spacings: DataFrame | None = None) -> DataFrame:
     """Regions as annotations: per group the 4-connected regions of its labels become polygons; a contour of
     fewer than three points becomes a dot at their mean, kept only with ``single_points``. Without a map all
-    non-zero labels form one group without name."""
+    non-zero labels form one group without name. Coordinates are multiplied by ``spacing``, or without it by the
+    spacing of each slide in ``spacings`` (slide_id, spacing)."""
+    if spacing is None and spacings is None:
+        raise ValueError("give one spacing or one per slide")
     parts = []
     for name, labels in (label_map or {None: None}).items():
         fg = F.col("label").isin(labels) if labels is not None else F.col("label") != 0
         comps = label_components(px.where(fg).select(*PIXEL, F.lit(1).alias("label")), 4, tile)
         pts = outline_points(comps, epsilon, local_points)
         poly = pts.groupBy("slide_id", "comp").agg(F.sort_array(F.collect_list(F.struct("pos", "y", "x"))).alias("_p"))
-        mean = lambda k: F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p[k]) / F.size("_p") * spacing
+        if spacing is None:
+            poly = poly.join(spacings.select("slide_id", F.col("spacing").alias("_s")), "slide_id", "left")
+        else:
+            poly = poly.withColumn("_s", F.lit(float(spacing)))
+        mean = lambda k: F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p[k]) / F.size("_p") * F.col("_s")
         dot = F.array(F.struct(mean("y").alias("y"), mean("x").alias("x")))
-        full = F.transform("_p", lambda p: F.struct((p["y"] * spacing).alias("y"), (p["x"] * spacing).alias("x")))
+        full = F.transform("_p", lambda p: F.struct((p["y"] * F.col("_s")).alias("y"), (p["x"] * F.col("_s")).alias("x")))
         is_dot = F.size("_p") < 3
         out = poly.select("slide_id", "comp", F.lit(name).cast("string").alias("grp"),
                           F.when(is_dot, "dot").otherwise("polygon").alias("type"),
@@ -392,6 +400,6 @@ def hull_outline(px: DataFrame, levels: DataFrame, label: int, alpha: float, min
     from .components import remove_small_objects
     cleaned = remove_small_objects(px, min_size).where(F.col("label") == label)
     spans, reach = disc_spans(1.0 / alpha)
-    closed = map_tiles(cleaned.withColumn("label", F.lit(1)), levels, lambda g, inside: disc_close(g != 0, spans).astype(np.int64),
+    closed = map_tiles(cleaned.withColumn("label", F.lit(1)), levels, lambda g, inside, _: disc_close(g != 0, spans).astype(np.int64),
                        "label", "label", "int", tile, 2 * reach)
     return rescale_levels(outline(closed, 1.0, None, False, epsilon, tile), input_level, level_offset, output_level)

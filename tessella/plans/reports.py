@@ -112,20 +112,20 @@ def postprocess_chain(probs: DataFrame, levels: DataFrame, output_class: int, zo
                       min_diagonal: float | None = None, dilation: float | None = None, fill_diagonal: float | None = None,
                       outline_epsilon: float | None = None, tile: int = 512) -> DataFrame:
     """Soft scores to a cleaned mask (or its outlines): pick a class, zoom, threshold, drop small regions,
-    dilate, fill small holes, outline. Every step is optional; lengths are in micrometers."""
+    dilate, fill small holes, outline. Every step is optional; lengths are in micrometers of each slide's own
+    spacing, a column of ``levels``."""
     px = probs.select(*R.PIXEL, F.col("probs")[output_class].alias("label"))
     if zoom:
         px = R.zoom_raster(px, levels, zoom, order=1, tile=tile).withColumnRenamed("value", "label")
         levels = R.zoom_shape(levels, zoom)
-    spacing = levels.select(F.min("spacing")).first()[0] if any((min_diagonal, dilation, fill_diagonal, outline_epsilon)) else None
     if low is not None:
         px = R.threshold(px, low).where("label = 1")
     if min_diagonal:
-        px = C.filter_regions(px, min_diagonal / spacing, tile=tile).where("label != 0")
+        px = C.filter_regions(px, min_diagonal, tile=tile, spacings=levels).where("label != 0")
     if dilation:
-        px = MO.dilate(px, levels, dilation, spacing, tile)
+        px = MO.dilate(px, levels, dilation, tile=tile)
     if fill_diagonal:
-        px = C.fill_holes(px, levels, fill_diagonal / spacing, tile=tile)
+        px = C.fill_holes(px, levels, fill_diagonal, tile=tile, spacings=levels)
     if outline_epsilon is not None:
-        return V.outline(px, spacing, None, True, outline_epsilon, tile)
+        return V.outline(px, None, None, True, outline_epsilon, tile, spacings=levels)
     return px

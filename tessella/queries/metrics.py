@@ -259,18 +259,31 @@ def _(spark, d):
     return M.binary_dice(p, ["slide_id"]).withColumn("dice", F.round("dice", 6))
 
 
-@query("lovasz_loss", with_views("scores", "px").rstrip() + """,
+LOVASZ = with_views("scores", "px").rstrip() + """,
 e AS (SELECT k AS cls, CAST(label = k AS INT) AS fg, abs(CAST(label = k AS INT) - [s0, s1, s2, s3][k + 1] / 101.0::DOUBLE) AS err
  FROM scores JOIN px USING (slide_id, row, col), (SELECT unnest([0, 1, 2, 3]) AS k)),
 o AS (SELECT cls, fg, err, row_number() OVER w AS i, sum(fg) OVER w AS f, sum(fg) OVER (PARTITION BY cls) AS g FROM e
  WINDOW w AS (PARTITION BY cls ORDER BY err DESC, fg ROWS UNBOUNDED PRECEDING)),
-j AS (SELECT *, 1 - (g - f) / (g + (i - f) + 1e-5) AS jac FROM o)
-SELECT CAST(cls AS INT) AS cls, round(sum(err * d), 6)::DOUBLE AS loss FROM (SELECT *, jac - coalesce(lag(jac) OVER (PARTITION BY cls ORDER BY i), 0) AS d FROM j) GROUP BY cls""")
-def _(spark, d):
+j AS (SELECT *, 1 - (g - f) / (g + (i - f) + 1e-5) AS jac FROM o),
+per_class AS (SELECT cls, sum(err * d) AS loss FROM (SELECT *, jac - coalesce(lag(jac) OVER (PARTITION BY cls ORDER BY i), 0) AS d FROM j) GROUP BY cls)
+"""
+
+
+def class_scores(spark, d):
     s = view(spark, d, "scores").join(view(spark, d, "px"), ["slide_id", "row", "col"])
     long = s.select("label", F.posexplode(F.array("s0", "s1", "s2", "s3")).alias("cls", "s")).select(
         "cls", (F.col("label") == F.col("cls")).cast("int").alias("fg"), (F.col("s") / 101.0).alias("prob"))
-    return M.lovasz_loss(long).select("cls", F.round("loss", 6).alias("loss"))
+    return long
+
+
+@query("lovasz_loss", LOVASZ + "SELECT CAST(cls AS INT) AS cls, round(loss, 6)::DOUBLE AS loss FROM per_class")
+def _(spark, d):
+    return M.lovasz_loss(class_scores(spark, d)).select("cls", F.round("loss", 6).alias("loss"))
+
+
+@query("mean_lovasz_loss", LOVASZ + "SELECT round(avg(loss), 6)::DOUBLE AS loss, count(*) AS classes FROM per_class")
+def _(spark, d):
+    return M.mean_lovasz(M.lovasz_loss(class_scores(spark, d))).select(F.round("loss", 6).alias("loss"), "classes")
 
 
 # ---- epochs ----

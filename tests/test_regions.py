@@ -8,6 +8,7 @@ from tessella.operators import boxes as B
 from tessella.operators import components as C
 from tessella.operators import graph, morphology as M
 from tessella.operators import vector as V
+from tessella.plans import reports as P
 
 RNG = np.random.default_rng(5)
 GRID = (RNG.random((2, 24, 30)) < 0.62).astype(int) * (1 + (RNG.random((2, 24, 30)) < 0.3))
@@ -79,6 +80,47 @@ def test_morphology_is_independent_of_tiles(spark):
         M.iterations(0, 0.5)
 
 
+def test_slides_keep_their_own_spacing(spark):
+    g = np.zeros((13, 13), int)
+    g[6, 6] = 1
+    lv = frame(spark, [g, g, g]).withColumn("spacing", F.element_at(F.array(F.lit(0.5), F.lit(1.0), F.lit(8.0)), F.col("slide_id") + 1))
+    n = {r.slide_id: r["count"] for r in M.dilate(to_df(spark, [g] * 3).where("label != 0"), lv, 2.0, tile=5).groupBy("slide_id").count().collect()}
+    assert n == {0: 41, 1: 13, 2: 1}
+    h = np.zeros((16, 16), int)
+    h[1:4, 1:4] = 1
+    h[6:14, 6:14] = 1
+    h[9:11, 9:11] = 0
+    grids, steps = [h, h], dict(min_diagonal=2.5, dilation=0.5, fill_diagonal=1.5, tile=5)
+    px = to_df(spark, grids).select("slide_id", "row", "col", F.array(F.col("label") * 0.9).alias("probs"))
+    lv = frame(spark, grids).withColumn("spacing", F.when(F.col("slide_id") == 0, 0.5).otherwise(1.0))
+    for eps in (None, 1.0):
+        key = lambda df: sorted(map(str, df.collect()))
+        both = key(P.postprocess_chain(px, lv, 0, outline_epsilon=eps, **steps))
+        alone = [key(P.postprocess_chain(px.where(f"slide_id = {s}"), lv.where(f"slide_id = {s}"), 0, outline_epsilon=eps, **steps)) for s in (0, 1)]
+        assert both == sorted(alone[0] + alone[1]) and len(alone[0]) != len(alone[1])
+
+
+def test_relabel_limits_follow_each_slide(spark):
+    g = np.full((8, 8), 2)
+    g[3:6, 3:6] = 1
+    lv = frame(spark, [g, g]).withColumn("spacing", F.when(F.col("slide_id") == 0, 0.5).otherwise(1.0))
+    out = C.relabel_majority(to_df(spark, [g, g]), lv, {1: 3.0}, tile=4).where("label = 1").groupBy("slide_id").count().collect()
+    assert [tuple(r) for r in out] == [(1, 9)]
+
+
+@pytest.mark.parametrize("diameter", [4, 5, 7])
+def test_disc_sum_floors_the_radius(spark, diameter):
+    g = (RNG.random((11, 14)) < 0.3).astype(int)
+    got = {(r.row, r.col): r.total for r in M.disc_sum(to_df(spark, [g]).where("label != 0"), frame(spark, [g]), diameter, tile=6).collect()}
+    want = {}
+    for r in range(11):
+        for c in range(14):
+            n = sum(int(g[y, x]) for y in range(11) for x in range(14) if np.hypot(y - r, x - c) < diameter // 2)
+            if n:
+                want[r, c] = n
+    assert got == want
+
+
 def test_fill_holes_counts_border_holes(spark):
     g = np.ones((8, 8), int)
     g[0, 0] = g[3, 3] = 0
