@@ -18,13 +18,13 @@ def label(spark, d):
 
 
 @query("read_region", PX + """SELECT w.ann_id AS req_id, CAST(y AS INT) AS y, CAST(x AS INT) AS x, coalesce(px.label, 0) AS label, coalesce(px.pred, 0) AS pred FROM
- (SELECT p_partkey AS ann_id, CAST(p_partkey % 7 AS INT) AS slide_id, CAST(p_partkey * 11 % 50 AS INT) AS r0, CAST(p_partkey * 7 % 50 AS INT) AS c0 FROM part) w,
+ (SELECT p_partkey AS ann_id, CAST(p_partkey % (SELECT max(o_orderkey) // 2500 + 1 FROM orders) AS INT) AS slide_id, CAST(p_partkey * 11 % 50 AS INT) AS r0, CAST(p_partkey * 7 % 50 AS INT) AS c0 FROM part) w,
  (SELECT unnest(range(5)) AS y), (SELECT unnest(range(7)) AS x)
  LEFT JOIN px ON px.slide_id = w.slide_id AND px.row = w.r0 + y AND px.col = w.c0 + x""")
 def _(spark, d):
-    k = F.col("p_partkey")
-    req = table(spark, d, "part").select(k.alias("req_id"), (k % 7).cast("int").alias("slide_id"), (k * 11 % 50).cast("int").alias("row0"),
-                                         (k * 7 % 50).cast("int").alias("col0"), F.lit(5).alias("h"), F.lit(7).alias("w"))
+    req = spark.sql("""SELECT p_partkey AS req_id, CAST(p_partkey % (SELECT floor(max(o_orderkey) / 2500) + 1 FROM {orders}) AS INT) AS slide_id,
+     CAST(p_partkey * 11 % 50 AS INT) AS row0, CAST(p_partkey * 7 % 50 AS INT) AS col0, 5 AS h, 7 AS w FROM {part}""",
+                    part=table(spark, d, "part"), orders=table(spark, d, "orders"))
     return R.read_region(view(spark, d, "px"), req, ["label", "pred"])
 
 
