@@ -78,15 +78,15 @@ def _(spark, d):
 
 
 @query("construct_labels", PX + """SELECT w.ann_id AS win_id, CAST(y AS INT) AS y, CAST(x AS INT) AS x, coalesce(px.label, 0) AS label FROM
- (SELECT p_partkey AS ann_id, CAST(p_partkey % 7 AS INT) AS slide_id, CAST(p_partkey * 11 % 60 - 5 AS INT) AS r0, CAST(p_partkey * 7 % 60 - 5 AS INT) AS c0 FROM part) w,
+ (SELECT p_partkey AS ann_id, CAST(p_partkey % (SELECT max(o_orderkey) // 2500 + 1 FROM orders) AS INT) AS slide_id, CAST(p_partkey * 11 % 60 - 5 AS INT) AS r0, CAST(p_partkey * 7 % 60 - 5 AS INT) AS c0 FROM part) w,
  (SELECT unnest(range(6)) AS y), (SELECT unnest(range(9)) AS x)
  LEFT JOIN px ON px.slide_id = w.slide_id AND px.row = w.r0 + y AND px.col = w.c0 + x""")
 def _(spark, d):
     mask = label(spark, d)
     fill = T.tile_fill(T.tile_label_counts(mask, 4, [1, 2, 3]), level0(spark, d), 4)
-    k = F.col("p_partkey")
-    win = table(spark, d, "part").select(k.alias("win_id"), (k % 7).cast("int").alias("slide_id"), (k * 11 % 60 - 5).cast("int").alias("row0"),
-                                         (k * 7 % 60 - 5).cast("int").alias("col0"), F.lit(6).alias("h"), F.lit(9).alias("w"))
+    win = spark.sql("""SELECT p_partkey AS win_id, CAST(p_partkey % (SELECT floor(max(o_orderkey) / 2500) + 1 FROM {orders}) AS INT) AS slide_id,
+     CAST(p_partkey * 11 % 60 - 5 AS INT) AS row0, CAST(p_partkey * 7 % 60 - 5 AS INT) AS col0, 6 AS h, 9 AS w FROM {part}""",
+                    part=table(spark, d, "part"), orders=table(spark, d, "orders"))
     return T.construct_labels(win, fill, mask, 4)
 
 
