@@ -1,6 +1,7 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word of a document from both sides.
 
-The vocabulary is closed and bounded: the most frequent words of the whole corpus, and hash buckets for the rest.
+The network knows the most frequent words of the whole corpus, more of them the larger the corpus, and hash buckets.
+A word of a bucket has its exact share of the bucket's occurrences, from the table of all word counts (joined by Spark).
 Words fall into classes of similar total frequency; the network predicts the class of the masked word from three
 words on either side, and the word's share of its class (from corpus counts) does the rest. Training is data
 parallel: every task trains a copy on all its documents and the copies are averaged, weighted by their words.
@@ -20,7 +21,8 @@ from ..session import materialize
 from . import sums
 from .text import ALNUM, LOWER, chunks, flat, hash_spans, word_spans
 
-WORDS, BUCKETS = 8192, 1024
+WORDS, BUCKETS = 8192, 1024  # at least so many words of their own; they grow with the square root of all distinct words
+GROWTH = 16
 SIDE = 3
 WIDTH, HIDDEN, CLASSES = 16, 24, 64
 ROUNDS = 2
@@ -35,6 +37,7 @@ class Vocabulary:
     def __init__(self, hashes: np.ndarray, counts: np.ndarray, bucket_counts: np.ndarray):
         order = np.argsort(hashes)
         self.hashes = hashes[order]
+        self.bucket_counts = np.maximum(bucket_counts, 1).astype(np.float64)
         self.count = np.concatenate([[0], counts[order], bucket_counts]).astype(np.float64) + 1
         self.count[0] = 0
         by = np.argsort(-self.count, kind="stable")
@@ -49,9 +52,17 @@ class Vocabulary:
     def __len__(self) -> int:
         return len(self.count)
 
+    def rare(self, ids: np.ndarray) -> np.ndarray:
+        """Which ids are buckets."""
+        return ids > len(self.hashes)
+
+    def bucket_log(self, ids: np.ndarray) -> np.ndarray:
+        """The log of all occurrences in the bucket of each id that is one."""
+        return np.log(self.bucket_counts[ids - len(self.hashes) - 1])
+
     def ids(self, h: np.ndarray) -> np.ndarray:
         n = len(self.hashes)
-        out = n + 1 + (h % np.uint64(BUCKETS)).astype(np.int64)
+        out = n + 1 + (h % np.uint64(len(self.bucket_counts))).astype(np.int64)
         if n:
             at = np.minimum(np.searchsorted(self.hashes, h), n - 1)
             known = self.hashes[at] == h
@@ -143,9 +154,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted()
 
 
-def corpus_vocabulary(docs: DataFrame, words: int = WORDS) -> Vocabulary:
-    """Counts of every word of every text; the driver gets ``words`` of them and the sums of the buckets."""
-    counts = materialize(docs.select("text").mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
+def word_counts(docs: DataFrame) -> DataFrame:
+    """h, n: the count of every word of every text, by its hash."""
+    return materialize(docs.select("text").mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
+
+
+def corpus_vocabulary(docs: DataFrame, words: int | None = None, counts: DataFrame | None = None) -> Vocabulary:
+    """The driver gets ``words`` of all word counts (by default a number that follows the distinct words) and the sums of the buckets."""
+    counts = word_counts(docs) if counts is None else counts
+    words = max(WORDS, int(GROWTH * counts.count() ** 0.5)) if words is None else words
     top = counts.orderBy(F.desc("n"), "h").limit(words).toArrow()
     h = top.column("h").to_numpy().view(np.uint64)
     rest = np.zeros(BUCKETS)
@@ -200,9 +217,9 @@ def _train_part(shared, round_: int):
     return run
 
 
-def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray]:
-    """The vocabulary and the weights learned from all texts."""
-    vocabulary = corpus_vocabulary(docs)
+def train(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None) -> tuple[Vocabulary, np.ndarray]:
+    """The vocabulary and the weights learned from all texts; ``counts`` are their word counts, if they are known."""
+    vocabulary = corpus_vocabulary(docs, counts=counts)
     weights = Network(len(vocabulary)).flat
     for r in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
@@ -213,7 +230,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray
 
 
 def log_probs(vocabulary: Vocabulary, net: Network, tables: np.ndarray, h: np.ndarray, rows: np.ndarray, block: int = 1 << 15) -> np.ndarray:
-    """The log-probability of every word given its neighbours on both sides."""
+    """The log-probability of every word, or of its bucket, given its neighbours on both sides."""
     ids = vocabulary.ids(h)
     line, place = _padded(ids, rows)
     around, out = np.array(_OFFSETS), np.empty(len(ids))
@@ -228,10 +245,12 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_tokens, log_likelihood (the sum over all words) and mean_log_prob of every row of ``doc_id, text``.
 
     Words are those of the contamination rule. Null and wordless texts have 0 tokens, sum 0 and a null mean.
+    A word outside the network's vocabulary has the probability of its bucket times count(word) / count(bucket).
     Repeated rows are scored alike; other columns are ignored; an empty table gives no rows.
     """
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(train(base, rounds))
+    counts = word_counts(base)
+    shared = docs.sparkSession.sparkContext.broadcast(train(base, rounds, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, weights = shared.value
@@ -240,8 +259,16 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         for chunk in chunks(batches):
             h, rows = _words(chunk.column("text"))
             n = np.bincount(rows, minlength=chunk.num_rows)
+            ids = vocabulary.ids(h)
+            rare = np.flatnonzero(vocabulary.rare(ids))
             s = np.bincount(rows, log_probs(vocabulary, net, tables, h, rows), chunk.num_rows)
-            yield pa.RecordBatch.from_pydict({"doc_id": chunk.column("doc_id"), "n_tokens": pa.array(n, pa.int64()), "log_likelihood": pa.array(s, pa.float64()),
-                                              "mean_log_prob": pa.array(s / np.maximum(n, 1), pa.float64(), mask=n == 0)})
-
-    return base.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_prob double")
+            s -= np.bincount(rows[rare], vocabulary.bucket_log(ids[rare]), chunk.num_rows)
+            at = np.searchsorted(rows[rare], np.arange(chunk.num_rows + 1))
+            yield pa.RecordBatch.from_pydict({"doc_id": chunk.column("doc_id"), "n": pa.array(n, pa.int64()), "s": pa.array(s, pa.float64()),
+                                              "rare": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h[rare].view(np.int64)))})
+
+    scored = materialize(base.mapInArrow(run, "doc_id long, n long, s double, rare array<long>").withColumn("row", F.monotonically_increasing_id()))
+    rare = (scored.select("row", F.explode("rare").alias("h")).join(counts, "h")
+            .select("row", F.lit(None).cast("bigint").alias("doc_id"), F.lit(0).cast("bigint").alias("n"), F.log(F.col("n").cast("double")).alias("s")))
+    total = scored.drop("rare").select("row", "doc_id", "n", "s").unionByName(rare).groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sum("s").alias("log_likelihood"))
+    return total.orderBy("row").select("doc_id", "n_tokens", "log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("mean_log_prob"))

@@ -140,6 +140,22 @@ def test_lm_scores(spark, sf):
     assert lm_score.pseudo_likelihood(odd.where("false"), 1).count() == 0
 
 
+def test_lm_rare_words_have_their_own_share(spark, monkeypatch):
+    """Two words of one bucket differ by the log of their counts."""
+    monkeypatch.setattr(lm_score, "WORDS", 1)
+    monkeypatch.setattr(lm_score, "GROWTH", 0)
+    monkeypatch.setattr(lm_score, "BUCKETS", 1)
+    words = ["kept"] * 40 + ["often"] * 8 + ["once"] + ["twice"] * 2
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "doc_id long, text string")
+    got = {r.text: r.mean_log_prob for r in lm_score.pseudo_likelihood(docs, 1).join(docs, "doc_id").collect()}
+    assert got["often"] - got["once"] == pytest.approx(np.log(8)) and got["twice"] - got["once"] == pytest.approx(np.log(2))
+
+
+def test_lm_vocabulary_grows(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"x{i}y{j}" for j in range(1000))) for i in range(400)], "doc_id long, text string")
+    assert len(lm_score.corpus_vocabulary(docs).hashes) == int(16 * 400_000 ** 0.5)
+
+
 @pytest.mark.parametrize("block", [2048, 3])
 def test_blocks_do_not_change_the_path(spark, sf, monkeypatch, block):
     monkeypatch.setattr(transcripts, "BLOCK", block)
