@@ -2,9 +2,9 @@
 
 The network knows the most frequent words of the whole corpus, more of them the larger the corpus, and hash buckets.
 A word of a bucket has its exact share of the bucket's occurrences, from the table of all word counts (joined by Spark).
-Words fall into classes of similar total frequency; the network predicts the class of the masked word from three
-words on either side, and the word's share of its class (from corpus counts) does the rest. Training is data
-parallel: every task trains a copy on all its documents and the copies are averaged, weighted by their words.
+Words fall into classes of similar total frequency. From three words on either side the network predicts the class of
+the masked word, and by a second softmax the word inside the class: the hidden layer times the word's output
+embedding, on top of the log of its share of the class (from corpus counts). Training is data parallel: every task trains a copy on all its documents and the copies are averaged, weighted by their words.
 """
 
 from __future__ import annotations
@@ -48,6 +48,12 @@ class Vocabulary:
         with np.errstate(divide="ignore"):
             self.log_share = np.log(self.count) - np.log(per[self.cls])
         self.log_share[0] = 0
+        # words in the order of their classes: places, first place of each class, and shares
+        self.slot = np.empty(len(by), np.int64)
+        self.slot[by] = np.arange(len(by))
+        self.bounds = np.searchsorted(self.cls[by], np.arange(CLASSES + 1))
+        self.offset = self.log_share[by].astype(np.float32)
+        self.offset[self.slot[0]] = -1e9  # the edge of a document is never predicted
 
     def __len__(self) -> int:
         return len(self.count)
@@ -71,14 +77,17 @@ class Vocabulary:
 
 
 class Network:
-    """tanh(sum of embeddings x place matrices) into class logits; all weights lie in one flat vector."""
+    """tanh(sum of embeddings x place matrices) into class logits and word logits; all weights lie in one flat vector.
+
+    The words' output embeddings start at 0, lie in the order of classes and stand beside ``parts``.
+    """
 
     def __init__(self, vocabulary: int, flat_weights: np.ndarray | None = None, seed: int = 23):
-        self.shapes = [(vocabulary, WIDTH), (2 * SIDE, WIDTH, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,)]
+        self.shapes = [(vocabulary, WIDTH), (2 * SIDE, WIDTH, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,), (vocabulary, HIDDEN)]
         size = sum(int(np.prod(s)) for s in self.shapes)
         if flat_weights is None:
             rng = np.random.default_rng(seed)
-            flat_weights = np.concatenate([(rng.standard_normal(int(np.prod(s))) * (0.3 if len(s) > 1 else 0)) for s in self.shapes])
+            flat_weights = np.concatenate([*((rng.standard_normal(int(np.prod(s))) * (0.3 if len(s) > 1 else 0)) for s in self.shapes[:-1]), np.zeros(vocabulary * HIDDEN)])
         self.flat = np.array(flat_weights, np.float32)
         self.squares = np.full(size, 1e-3, np.float32)
         self.parts, self.places = [], []
@@ -88,39 +97,72 @@ class Network:
             self.parts.append(self.flat[at:at + n].reshape(s))
             self.places.append((at, n))
             at += n
+        self.words = self.parts.pop()
+        self.word_squares = self.squares[self.places.pop()[0]:].reshape(self.words.shape)
 
     def tables(self) -> np.ndarray:
         """Each word's contribution to the hidden layer from each place."""
         emb, place, _, _, _ = self.parts
         return np.einsum("vw,kwh->kvh", emb, place).astype(np.float32)
 
-    def class_log_probs(self, tables: np.ndarray, context: np.ndarray) -> np.ndarray:
-        _, _, bias, out, out_bias = self.parts
-        hidden = np.tile(bias, (len(context), 1))
+    def hidden(self, tables: np.ndarray, context: np.ndarray) -> np.ndarray:
+        hidden = np.tile(self.parts[2], (len(context), 1))
         for k in range(2 * SIDE):
             hidden += tables[k][context[:, k]]
-        logits = np.tanh(hidden) @ out + out_bias
+        return np.tanh(hidden, out=hidden)
+
+    def class_log_probs(self, tables: np.ndarray, context: np.ndarray) -> np.ndarray:
+        return self.classes(self.hidden(tables, context))
+
+    def classes(self, hidden: np.ndarray) -> np.ndarray:
+        """Log-probabilities of all classes."""
+        logits = hidden @ self.parts[3] + self.parts[4]
         logits -= logits.max(1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
-    def step(self, context: np.ndarray, target: np.ndarray, rate: float = 0.08) -> None:
-        """One step of adaptive gradient descent on a batch."""
+    def word_log_probs(self, vocabulary: Vocabulary, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """The log-probability of each target word inside its class, over all words of the class."""
+        out = np.empty(len(target))
+        for some, lo, hi in _by_class(vocabulary, target):
+            logits = hidden[some] @ self.words[lo:hi].T + vocabulary.offset[lo:hi]
+            logits -= logits.max(1, keepdims=True)
+            mine = logits[np.arange(len(some)), vocabulary.slot[target[some]] - lo]
+            out[some] = mine - np.log(np.exp(logits, out=logits).sum(1))
+        return out
+
+    def step(self, vocabulary: Vocabulary, context: np.ndarray, target: np.ndarray, rate: float = 0.08) -> None:
+        """One step of adaptive gradient descent on a batch of words and their neighbours."""
         emb, place, bias, out, out_bias = self.parts
         n = len(target)
-        x = emb[context]
-        hidden = np.tanh(np.einsum("nkw,kwh->nh", x, place, optimize=True) + bias)
+        x = emb[context].reshape(n, -1)
+        hidden = np.tanh(x @ place.reshape(-1, HIDDEN) + bias)
         logits = hidden @ out + out_bias
         logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits)
+        p = np.exp(logits, out=logits)
         p /= p.sum(1, keepdims=True)
-        p[np.arange(n), target] -= 1
+        p[np.arange(n), vocabulary.cls[target]] -= 1
         p /= n
-        d_hidden = (p @ out.T) * (1 - hidden * hidden)
-        d_place = np.einsum("nkw,nh->kwh", x, d_hidden, optimize=True)
-        d_x = np.einsum("nh,kwh->nkw", d_hidden, place, optimize=True).reshape(-1, WIDTH)
-        word, back = np.unique(context.reshape(-1), return_inverse=True)
-        d_emb = np.zeros((len(word), WIDTH), np.float32)
-        np.add.at(d_emb, back, d_x)
+        d_hidden = p @ out.T
+        for some, lo, hi in _by_class(vocabulary, target):
+            words, h = self.words[lo:hi], hidden[some]
+            z = h @ words.T + vocabulary.offset[lo:hi]
+            z -= z.max(1, keepdims=True)
+            np.exp(z, out=z)
+            z /= z.sum(1, keepdims=True)
+            z[np.arange(len(some)), vocabulary.slot[target[some]] - lo] -= 1
+            d_hidden[some] += z @ words / n
+            grad = z.T @ h / len(some)
+            sq = self.word_squares[lo:hi]
+            sq += grad * grad
+            words -= rate * grad / np.sqrt(sq)
+        d_hidden *= 1 - hidden * hidden
+        d_place = (x.T @ d_hidden).reshape(place.shape)
+        d_x = (d_hidden @ place.reshape(-1, HIDDEN).T).reshape(-1, WIDTH)
+        flat_context = context.reshape(-1)
+        order = np.argsort(flat_context, kind="stable")
+        ordered = flat_context[order]
+        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        word, d_emb = ordered[first], np.add.reduceat(d_x[order], first, axis=0)
         for (at, size), part, grad in zip(self.places[1:], self.parts[1:], (d_place, d_hidden.sum(0), hidden.T @ p, p.sum(0)), strict=True):
             sq = self.squares[at:at + size].reshape(part.shape)
             sq += grad * grad
@@ -130,6 +172,16 @@ class Network:
         emb[word] -= rate * d_emb / np.sqrt(sq[word])
 
 
+def _by_class(vocabulary: Vocabulary, target: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
+    """For each class among the targets: which they are, and the first and last place of the class."""
+    cls = vocabulary.cls[target].astype(np.int16)
+    order = np.argsort(cls, kind="stable")
+    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+    for c in range(CLASSES):
+        if cuts[c] < cuts[c + 1]:
+            yield order[cuts[c]:cuts[c + 1]], int(vocabulary.bounds[c]), int(vocabulary.bounds[c + 1])
+
+
 def _words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     buf, off = flat(col)
     buf = LOWER[buf]
@@ -194,7 +246,7 @@ def _train_part(shared, round_: int):
             c, t = np.concatenate(context), np.concatenate(target)
             order = np.random.default_rng(len(t)).permutation(len(t))
             for i in range(0, len(t), _BATCH):
-                net.step(c[order[i:i + _BATCH]], t[order[i:i + _BATCH]])
+                net.step(vocabulary, c[order[i:i + _BATCH]], t[order[i:i + _BATCH]])
 
         for chunk in chunks(batches):
             h, rows = _words(chunk.column("text"))
@@ -204,7 +256,7 @@ def _train_part(shared, round_: int):
             line, place = _padded(ids, rows)
             pick = np.arange((5 * round_ + chunk.num_rows) % min(STRIDE, len(ids)), len(ids), STRIDE)
             context.append(line[place[pick][:, None] + around])
-            target.append(vocabulary.cls[ids[pick]])
+            target.append(ids[pick])
             held += len(pick)
             seen += len(ids)
             if held >= 1 << 16:
@@ -235,9 +287,9 @@ def log_probs(vocabulary: Vocabulary, net: Network, tables: np.ndarray, h: np.nd
     line, place = _padded(ids, rows)
     around, out = np.array(_OFFSETS), np.empty(len(ids))
     for i in range(0, len(ids), block):
-        p = net.class_log_probs(tables, line[place[i:i + block][:, None] + around])
+        hidden = net.hidden(tables, line[place[i:i + block][:, None] + around])
         some = ids[i:i + block]
-        out[i:i + block] = p[np.arange(len(some)), vocabulary.cls[some]] + vocabulary.log_share[some]
+        out[i:i + block] = net.classes(hidden)[np.arange(len(some)), vocabulary.cls[some]] + net.word_log_probs(vocabulary, hidden, some)
     return out
 
 

@@ -151,6 +151,34 @@ def test_lm_rare_words_have_their_own_share(spark, monkeypatch):
     assert got["often"] - got["once"] == pytest.approx(np.log(8)) and got["twice"] - got["once"] == pytest.approx(np.log(2))
 
 
+def test_lm_context_tells_words_of_one_class(spark):
+    """Equally frequent words, each of which always follows one other word; a wrong one is told by its neighbours only."""
+    rng = np.random.default_rng(5)
+    pairs = [(f"left{i}", f"right{i}") for i in range(200)]
+    docs = spark.createDataFrame([(d, " ".join(w for i in rng.permutation(200)[:100] for w in pairs[i])) for d in range(400)], "doc_id long, text string").repartition(2)
+    vocabulary, weights = lm_score.train(docs, 6)
+    net = lm_score.Network(len(vocabulary), weights)
+    import pyarrow as pa
+
+    def scored(text):
+        return lm_score.log_probs(vocabulary, net, net.tables(), *lm_score._words(pa.array([text])))[3]
+
+    ids = vocabulary.ids(lm_score._words(pa.array([" ".join(b for _, b in pairs)]))[0])
+    cls, inside = vocabulary.cls[ids], []
+    for i in range(200):
+        other = next((j for j in range(200) if j != i and cls[j] == cls[i]), None)
+        if other is not None:
+            around = f"{pairs[(i + 7) % 200][0]} {pairs[(i + 7) % 200][1]} {pairs[i][0]} %s {pairs[(i + 9) % 200][0]} {pairs[(i + 9) % 200][1]}"
+            share = vocabulary.log_share[ids[i]] - vocabulary.log_share[ids[other]]
+            inside.append(scored(around % pairs[i][1]) - scored(around % pairs[other][1]) - share)
+    assert len(inside) > 50 and np.mean(inside) > 0.5
+    # all words together have probability 1
+    every = np.arange(1, len(vocabulary))
+    hidden = np.repeat(net.hidden(net.tables(), np.array([[1, 2, 3, 4, 5, 6]])), len(every), 0)
+    p = np.exp(net.classes(hidden[:1])[0][vocabulary.cls[every]] + net.word_log_probs(vocabulary, hidden, every))
+    assert p.sum() == pytest.approx(np.exp(net.classes(hidden[:1])[0][np.unique(vocabulary.cls[every])]).sum(), abs=1e-4)
+
+
 def test_lm_vocabulary_grows(spark):
     docs = spark.createDataFrame([(i, " ".join(f"x{i}y{j}" for j in range(1000))) for i in range(400)], "doc_id long, text string")
     assert len(lm_score.corpus_vocabulary(docs).hashes) == int(16 * 400_000 ** 0.5)
