@@ -4,7 +4,8 @@ The network knows the most frequent words of the whole corpus, more of them the
 A word of a bucket has its exact share of the bucket's occurrences, from the table of all word counts (joined by Spark).
 Words fall into classes of similar total frequency. From three words on either side the network predicts the class of
 the masked word, and by a second softmax the word inside the class: the hidden layer times the word's output
-embedding, on top of the log of its share of the class (from corpus counts). Training is data parallel: every task trains a copy on all its documents and the copies are averaged, weighted by their words.
+embedding, on top of the log of its share of the class (from corpus counts). Training is data parallel: every task trains a copy on all its documents and the copies are averaged, weighted by their
+words; over the rounds every word of every document is predicted once.
 """
 
 from __future__ import annotations
@@ -26,8 +27,7 @@ GROWTH = 16
 SIDE = 3
 WIDTH, HIDDEN, CLASSES = 16, 24, 64
 ROUNDS = 2
-STRIDE = 16  # in a round, every document trains on one position in so many, at a place that depends on the round
-_BATCH = 2048
+_BATCH = 4096
 _OFFSETS = [k for k in range(-SIDE, SIDE + 1) if k]
 
 
@@ -235,7 +235,16 @@ def _padded(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, place
 
 
-def _train_part(shared, round_: int):
+def _targets(h: np.ndarray, rows: np.ndarray, round_: int, rounds: int) -> np.ndarray:
+    """The positions a round predicts: in each document every ``rounds``-th, from a start of its own, so that the rounds
+    together predict every word once."""
+    new = np.ones(len(rows), bool)
+    new[1:] = rows[1:] != rows[:-1]
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    return np.flatnonzero((np.arange(len(h)) - first + (h[first] % np.uint64(rounds)).astype(np.int64)) % rounds == round_)
+
+
+def _train_part(shared, round_: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, start = shared.value
         net, seen = Network(len(vocabulary), start), 0
@@ -254,11 +263,11 @@ def _train_part(shared, round_: int):
                 continue
             ids = vocabulary.ids(h)
             line, place = _padded(ids, rows)
-            pick = np.arange((5 * round_ + chunk.num_rows) % min(STRIDE, len(ids)), len(ids), STRIDE)
+            pick = _targets(h, rows, round_, rounds)
             context.append(line[place[pick][:, None] + around])
             target.append(ids[pick])
             held += len(pick)
-            seen += len(ids)
+            seen += len(pick)
             if held >= 1 << 16:
                 flush()
                 context, target, held = [], [], 0
@@ -275,7 +284,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, counts: DataFrame | None = None
     weights = Network(len(vocabulary)).flat
     for r in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast((vocabulary, weights))
-        got = sums.total(docs.select("text").mapInArrow(_train_part(shared, r), sums.SCHEMA))
+        got = sums.total(docs.select("text").mapInArrow(_train_part(shared, r, rounds), sums.SCHEMA))
         if len(got):
             weights = (got[:-1] / got[-1]).astype(np.float32)
     return vocabulary, weights

@@ -179,6 +179,14 @@ def test_lm_context_tells_words_of_one_class(spark):
     assert p.sum() == pytest.approx(np.exp(net.classes(hidden[:1])[0][np.unique(vocabulary.cls[every])]).sum(), abs=1e-4)
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 6])
+def test_lm_rounds_predict_every_word_once(rounds):
+    import pyarrow as pa
+    h, rows = lm_score._words(pa.array(["one", "a b c d e f g h", None, "x y", *[f"w{i} short text" for i in range(50)]]))
+    got = [lm_score._targets(h, rows, r, rounds) for r in range(rounds)]
+    assert sorted(np.concatenate(got).tolist()) == list(range(len(h)))
+
+
 def test_lm_vocabulary_grows(spark):
     docs = spark.createDataFrame([(i, " ".join(f"x{i}y{j}" for j in range(1000))) for i in range(400)], "doc_id long, text string")
     assert len(lm_score.corpus_vocabulary(docs).hashes) == int(16 * 400_000 ** 0.5)
