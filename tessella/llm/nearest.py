@@ -20,7 +20,7 @@ from ..session import materialize
 TRAIN_ROWS = 20_000  # the bound of the sample that the cells are fitted on
 CELL_ROWS = 4000  # vectors a cell is meant for
 MAX_CELLS = 1 << 12
-PROBE_SHARE = 0.75  # of the cells, best first; vectors without clear clusters need most of them for a recall of 0.9
+PROBE_PAIRS = 1 << 16  # of a query and a cell that a task looks at a time
 FIRST = 2  # cells that set the score to beat in all others
 UNIT_VECTORS, UNIT_QUERIES = 4096, 1024  # what a task compares at a time
 EPSILON = 2.2  # error bound in standard deviations of the estimate
@@ -115,17 +115,42 @@ def _assign(shared):
     return run
 
 
-def _probe(shared, probes: int):
+def _probe(shared):
+    """The ``FIRST`` cells of each query, or with a floor (null: none) all others that can hold a vector that reaches it:
+    an inner product is at most the centre's plus the query's length times the radius of the cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, radius = shared.value
+        for batch in batches:
+            step = max(1, PROBE_PAIRS // len(centre))
+            for b in (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
+                q = _matrix(b.column("embedding"))
+                score = q @ centre.T
+                near = np.argsort(-score, axis=1, kind="stable")[:, :FIRST]
+                visit = np.zeros(score.shape, bool)
+                np.put_along_axis(visit, near, True, 1)
+                if radius is not None:
+                    floor = b.column("floor").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                    length = np.linalg.norm(q, axis=1)[:, None]
+                    slack = 1e-9 * length * (np.linalg.norm(centre, axis=1) + radius)[None, :]
+                    visit = ~visit & (score + length * radius[None, :] + slack >= floor[:, None])
+                row, cell = np.nonzero(visit)
+                row = pa.array(row)
+                floors = b.column("floor").take(row)
+                yield pa.RecordBatch.from_arrays([b.column("query").take(row), pa.array(cell.astype(np.int32)), floors, b.column("embedding").take(row)],
+                                                 ["query", "cell", "floor", "embedding"])
+    return run
+
+
+def _radius(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centre, _ = shared.value
+        most = np.full(len(centre), -1.0)
         for b in batches:
-            q = _matrix(b.column("embedding"))
-            n = min(probes, len(centre))
-            near = np.argsort(-(q @ centre.T), axis=1, kind="stable")[:, :n]
-            row = pa.array(np.repeat(np.arange(len(q)), n))
-            first = np.tile(np.arange(n) < FIRST, len(q))
-            yield pa.RecordBatch.from_arrays([b.column("vec").take(row), pa.array(near.reshape(-1).astype(np.int32)), pa.array(first), b.column("embedding").take(row)],
-                                             ["query", "cell", "first", "embedding"])
+            cell = b.column("cell").to_numpy()
+            if len(cell):
+                np.maximum.at(most, cell, np.linalg.norm(_matrix(b.column("embedding")) - centre[cell], axis=1))
+        held = np.flatnonzero(most >= 0)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(held.astype(np.int32)), "radius": pa.array(most[held])})
     return run
 
 
@@ -143,7 +168,7 @@ def _first_rows(df: DataFrame, keys: list[str], order: list, n: int, salt: Colum
     return parts.drop("_salt")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probe_share: float = PROBE_SHARE) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` vectors of largest inner product found for every query row, its own row excepted.
 
     ``vectors`` has vec_id and embedding (floats of one length); other columns are ignored. Unusable vectors and
@@ -170,9 +195,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probe_share: floa
     shared = spark.sparkContext.broadcast((fit_cells(sample, cells), rotation(sample.shape[1])))
 
     placed = distinct.select("vec", "embedding").mapInArrow(_assign(shared), _VEC)
-    probes = min(cells, max(32, int(np.ceil(probe_share * cells))))
-    asked = distinct.where("asks").select("vec", "embedding").mapInArrow(_probe(shared, probes), "query long, cell int, first boolean, embedding array<float>")
-    placed, asked = materialize(placed), materialize(asked)
+    placed = materialize(placed)
+    # a cell without vectors has no radius and is never visited
+    radius = np.full(cells, -np.inf)
+    for r in placed.mapInArrow(_radius(shared), "cell int, radius double").groupBy("cell").agg(F.max("radius").alias("radius")).collect():
+        radius[r["cell"]] = r["radius"]
+    asked = distinct.where("asks").select(F.col("vec").alias("query"), "embedding")
+    probed = "query long, cell int, floor double, embedding array<float>"
+    ahead_of, others = (spark.sparkContext.broadcast((shared.value[0], x)) for x in (None, radius))
     cell_size = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n_v"))
 
     def search(some: DataFrame) -> DataFrame:
@@ -189,10 +219,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, probe_share: floa
     def top(found: DataFrame) -> DataFrame:
         return _first_rows(found, ["query"], [F.desc("score"), "vec"], k + 1, F.pmod(F.xxhash64("vec"), F.lit(8)))
 
-    # the best of the nearest cells are what vectors of other cells have to beat
-    ahead = materialize(top(search(asked.where("first").withColumn("floor", F.lit(None).cast("double")))))
+    # the best of the nearest cells are what vectors of other cells have to beat; a cell is left out when none of its vectors can
+    ahead = materialize(top(search(materialize(asked.withColumn("floor", F.lit(None).cast("double")).mapInArrow(_probe(ahead_of), probed)))))
     floor = ahead.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("floor")).where(F.col("n") > k).drop("n")
-    best = top(ahead.unionByName(search(asked.where("NOT first").join(floor, "query", "left"))))
+    best = top(ahead.unionByName(search(materialize(asked.join(floor, "query", "left").mapInArrow(_probe(others), probed)))))
 
     ids = keyed.join(distinct.select("h", "vec"), "h").select("vec", "vec_id", "asks")
     some = _first_rows(ids.select("vec", "vec_id"), ["vec"], ["vec_id"], k + 1, F.pmod(F.xxhash64("vec_id"), F.lit(64)))

@@ -79,6 +79,44 @@ def test_nearest_query_and_odd_rows(spark, sf):
     assert nearest.nearest(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_nearest_in_many_cells(spark, monkeypatch):
+    """100 small cells of vectors without clusters, against brute force."""
+    monkeypatch.setattr(nearest, "CELL_ROWS", 25)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((2500, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in nearest.nearest(df, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    x, hits = x.astype(float), 0
+    for q in range(0, 2500, 20):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20].tolist()) & got[q])
+    assert hits >= 0.9 * 20 * 125
+
+
+def test_nearest_leaves_out_only_cells_below_the_floor():
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    x, q = rng.standard_normal((4000, 8)).astype(np.float32).astype(float), rng.standard_normal((30, 8)).astype(np.float32)
+    centre = nearest.fit_cells(x, 160)
+    cell = nearest.nearest_cell(x, centre)
+    radius = np.full(160, -np.inf)
+    np.maximum.at(radius, cell, np.linalg.norm(x - centre[cell], axis=1))
+    score = q.astype(float) @ x.T
+    floor = np.sort(score, axis=1)[:, -20]
+    rows = pa.RecordBatch.from_pydict({"query": np.arange(30), "embedding": pa.array(q.tolist(), pa.list_(pa.float32())), "floor": floor})
+
+    class Shared:
+        value = (centre, None)
+    visited = {(r["query"], r["cell"]) for b in nearest._probe(Shared)([rows]) for r in b.to_pylist()}
+    Shared.value = (centre, radius)
+    visited |= {(r["query"], r["cell"]) for b in nearest._probe(Shared)([rows]) for r in b.to_pylist()}
+    assert {(i, int(cell[j])) for i, j in zip(*np.nonzero(score >= floor[:, None]), strict=True)} <= visited
+    assert len(visited) < 30 * 160
+
+
 def test_one_bit_bounds_hold():
     rng = np.random.default_rng(1)
     x, q = rng.standard_normal((500, 64)), rng.standard_normal((20, 64))
