@@ -16,6 +16,7 @@ from .text import LOWER, chunks, flat
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
+STRETCH, CHUNK = 1 << 18, 1 << 19  # bytes that are counted at a time, and of the rows that are judged at a time
 TRAIN_ROWS = 1600  # the bound of the labelled sample, over all languages
 #: Families by ISO 639-1 code. A language that is not listed is a family of its own.
 FAMILIES = {"germanic": ("en", "de", "nl", "sv", "da", "no", "is"), "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl"),
@@ -27,33 +28,48 @@ def features(col: pa.Array) -> Rows:
     """Byte trigrams and bytes of each whole lower-cased text with all but letters blanked, hashed, as square roots of shares."""
     buf, off = flat(col)
     n = len(off) - 1
-    keep = LOWER[buf]
+    found = [_stretch(buf, off, a) for a in range(0, len(buf), STRETCH)] or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    uniq, counts = found[0]
+    if len(found) > 1:
+        uniq, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([c for _, c in found])).astype(np.int64)
+    at = np.searchsorted(uniq // DIMENSIONS, np.arange(n + 1))
+    total = np.maximum(np.bincount(uniq // DIMENSIONS, counts, n), 1)
+    return Rows(at, uniq % DIMENSIONS, np.sqrt(counts / total[uniq // DIMENSIONS]))
+
+
+def _stretch(buf: np.ndarray, off: np.ndarray, a: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features of ``STRETCH`` bytes of a column from ``a`` on as keys (row and feature), and how often each occurs."""
+    size = min(STRETCH, len(buf) - a)
+    keep = LOWER[buf[a:a + size + 2]]
     letter = ((keep >= 97) & (keep <= 122)) | (keep >= 128)
     x = np.where(letter, keep, 32).astype(np.int64)
-    row = np.repeat(np.arange(n), np.diff(off))
-    if len(x) >= 3:
-        gram = (x[:-2] * 65537 + x[1:-1] * 257 + x[2:]) * 0x9E3779B1 >> 7
-        inside = (row[:-2] == row[2:]) & (letter[:-2] | letter[1:-1] | letter[2:])
-        key = row[:-2][inside] * DIMENSIONS + 256 + gram[inside] % (DIMENSIONS - 256)
+    first = int(np.searchsorted(off, a, "right")) - 1
+    row = np.repeat(np.arange(len(off) - 1), np.diff(np.clip(off, a, a + len(x)))) - first
+    grams = min(size, len(x) - 2)
+    if grams > 0:
+        gram = (x[:grams] * 65537 + x[1:grams + 1] * 257 + x[2:grams + 2]) * 0x9E3779B1 >> 7
+        inside = (row[:grams] == row[2:grams + 2]) & (letter[:grams] | letter[1:grams + 1] | letter[2:grams + 2])
+        key = row[:grams][inside] * DIMENSIONS + 256 + gram[inside] % (DIMENSIONS - 256)
     else:
         key = np.zeros(0, np.int64)
-    key = np.concatenate([key, row[letter] * DIMENSIONS + x[letter]])
-    if n * DIMENSIONS < 8 * len(key) + (1 << 20):
-        counts = np.bincount(key, minlength=n * DIMENSIONS)
+    single = letter[:size]
+    key = np.concatenate([key, row[:size][single] * DIMENSIONS + x[:size][single]])
+    if (row[-1] + 1) * DIMENSIONS < 2 * len(key):
+        counts = np.bincount(key)
         uniq = np.flatnonzero(counts)
         counts = counts[uniq]
     else:
         uniq, counts = np.unique(key, return_counts=True)
-    at = np.searchsorted(uniq // DIMENSIONS, np.arange(n + 1))
-    total = np.maximum(np.bincount(uniq // DIMENSIONS, counts, n), 1)
-    return Rows(at, uniq % DIMENSIONS, np.sqrt(counts / total[uniq // DIMENSIONS]))
+    return uniq + first * DIMENSIONS, counts
 
 
 def has_letter(col: pa.Array) -> np.ndarray:
     """Whether each text has a Unicode letter; texts with an ASCII letter are not decoded."""
     buf, off = flat(col)
     ascii_letter = (LOWER[buf] >= 97) & (LOWER[buf] <= 122)
-    total = np.concatenate([[0], np.cumsum(ascii_letter)])
+    total = np.zeros(len(buf) + 1, np.int32)
+    np.cumsum(ascii_letter, out=total[1:])
     out = total[off[1:]] > total[off[:-1]]
     for i in np.flatnonzero(~out & (off[1:] > off[:-1])):
         out[i] = any(ch.isalpha() for ch in buf[off[i]:off[i + 1]].tobytes().decode("utf-8", "replace"))
@@ -125,7 +141,7 @@ class Hierarchy:
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Features of whole training texts and of a short piece of each, so that short texts are learned too."""
-    for chunk in chunks(batches):
+    for chunk in chunks(batches, limit=CHUNK):
         lang = chunk.column("lang")
         whole = chunk.column("text").to_pylist()
         cut = [t[len(t) // 3:len(t) // 3 + 20 + 17 * (len(t) % 13)] for t in whole]
@@ -158,19 +174,19 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> Hierarchy | None:
     return Hierarchy(stack([x.take(order)]), [langs[i] for i in order])
 
 
-def identify(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
-    """``docs`` with lang_pred and score (0 to 1) from the column ``text`` alone, in place of columns of these names.
+def identify(docs: DataFrame, model: Hierarchy | None, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with lang_pred and score (0 to 1; or by other names) from the column ``text`` alone, in place of columns of these names.
 
     ``und`` with score 0 where the text is null or has no letter, or where no language was learned. The whole
     text counts. Other columns pass through; an empty table stays empty.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    kept = docs.select(*names)
+    others = [c for c in docs.columns if c.lower() not in names]
+    kept = docs.select(*others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, limit=CHUNK):
             col = chunk.column("text")
             lang, score = [UNKNOWN] * chunk.num_rows, np.zeros(chunk.num_rows)
             if m is not None:
@@ -178,9 +194,9 @@ def identify(docs: DataFrame, model: Hierarchy | None) -> DataFrame:
                 best, share = m.predict(features(col))
                 lang = [m.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
                 score = np.where(known, share, 0.0)
-            yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*others, *names])
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -80,10 +80,10 @@ def _slots(plan) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
-def _cut(tokenizer: str, end_id: int, capacity: int):
+def _cut(tokenizer: str, end_id: int, capacity: int, release: bool):
     kind = pa.binary()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer)
         seen = np.zeros(capacity + 1, np.int64)
         for chunk in chunks(batches):
@@ -106,18 +106,24 @@ def _cut(tokenizer: str, end_id: int, capacity: int):
                 "start": pa.array(start, pa.int64()), "length": pa.array(length, pa.int64()),
                 "ids": pa.array([bytes(raw[4 * a:4 * (a + m)]) for a, m in zip(first.tolist(), length.tolist(), strict=True)], kind),
                 "part": pa.array(np.full(len(doc), part), pa.int32()), "nth": pa.array(nth, pa.int64())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from cut(batches)
+        if release:
+            encoder.cache_clear()
     return run
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str = WORD_BPE, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str = WORD_BPE, capacity: int = CAPACITY, end_id: int = 0, release: bool = False) -> DataFrame:
     """``doc_id, text`` as pieces: doc_id, piece, start, length, ids (little-endian u32), and where it was cut: part, nth
     (its number among the pieces of its length in that task).
 
     Null text is empty; every document ends with ``end_id``, so none is without a piece. The rows must be
-    written before they are read twice: ``part`` and ``nth`` are those of one run.
+    written before they are read twice: ``part`` and ``nth`` are those of one run. ``release``: a Python worker gives up
+    its encoder with the task, for jobs in which other stages need the memory.
     """
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(_cut(tokenizer, end_id, capacity),
+            .mapInArrow(_cut(tokenizer, end_id, capacity, release),
                         "doc_id long, piece int, start long, length long, ids binary, part int, nth long"))
 
 
@@ -157,14 +163,14 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(run, "part int, length long, nth long, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer: str = WORD_BPE, capacity: int = CAPACITY, carry=None) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str = WORD_BPE, capacity: int = CAPACITY, carry=None, release: bool = False) -> DataFrame:
     """Every piece of ``docs`` with its ids, sequence_id and offset. Sequences have no gaps and no piece overlaps.
 
     ``carry`` maps the pieces to what must be kept beside doc_id, piece, start, length, part and nth (say, a digest
     instead of the ids) before they are joined with their places. Empty table: no rows. Repeated rows are
     pieces of their own; a null doc_id stays null; other columns are ignored.
     """
-    pieces = materialize(cut_pieces(docs, tokenizer, capacity))
+    pieces = materialize(cut_pieces(docs, tokenizer, capacity, release=release))
     places = place_pieces(pieces, capacity)
     rows = carry(pieces) if carry else pieces
     return rows.join(places, ["part", "length", "nth"]).drop("part", "nth")

@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -55,6 +56,14 @@ def test_ngram_join_chains_and_odd_rows(spark):
     assert near_duplicates.near_duplicates(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (1, 0, 3, 2), (3, 2, 1, 0)])
+def test_ngram_join_of_several_texts_under_one_id(spark, order):
+    w, v = " ".join(f"w{i}" for i in range(80)), " ".join(f"v{i}" for i in range(80))
+    docs = [(1, w), (1, v), (2, w + " more"), (3, v + " else")]
+    df = spark.createDataFrame([docs[k] for k in order], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in near_duplicates.near_duplicates(df).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
 def test_nearest_query_and_odd_rows(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float32).astype(float)
@@ -141,6 +150,15 @@ def test_language_odd_rows(spark):
     assert language.identify(odd.where("false"), None).count() == 0
 
 
+def test_language_features_do_not_depend_on_stretches(monkeypatch):
+    texts = ["Ünï cödé " * 300, "", None, "ab", "x", "the quick brown fox " * 50, "1 2 3", "zz" * 4000]
+    whole = language.features(pa.array(texts, pa.string()))
+    for size in (7, 64, 1000):
+        monkeypatch.setattr(language, "STRETCH", size)
+        cut = language.features(pa.array(texts, pa.string()))
+        assert all(np.array_equal(getattr(whole, k), getattr(cut, k)) for k in ("at", "col", "val"))
+
+
 def test_quality_catches_labelled_cases(spark):
     sf = "/root/testdata/sf0.1"
     got = QUERIES["op4_quality"](spark, sf).join(table(spark, sf, "labels").withColumnsRenamed({"quality": "q", "toxic": "t"}), "doc_id")
@@ -270,3 +288,20 @@ def test_pipeline_stages(spark, sf):
     bad = {r.doc_id for r in QUERIES["op3_decontamination"](spark, sf).where("contaminated").collect()}
     assert {r.doc_id for r in clean.collect()} == (keep | {None}) - bad and clean.columns == df.columns
     assert corpus_pipeline.packed(spark, clean, sf).select("doc_id").distinct().count() == clean.count()
+
+
+def test_pipeline_keeps_user_columns_repeats_and_other_texts(spark, sf):
+    docs = table(spark, sf, "documents").limit(120)
+    names = ("lang_pred", "score", "quality", "toxic", "keep", "n_words", "n_hit", "spans", "items", "_id", "_row", "node", "part")
+    wide = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in names])
+    one = wide.where(F.length("text") > 300).orderBy("doc_id").limit(1)
+    text = F.lit("quite another text under the same name that stands in no other document of this table at all")
+    wide = wide.unionByName(one).unionByName(one.withColumn("text", text)).cache()
+    ids = {r.doc_id for r in one.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, wide, sf).cache()
+        assert got.columns == wide.columns and got.schema.simpleString() == wide.schema.simpleString()
+        assert got.exceptAll(wide).count() == 0
+        assert stage(spark, wide.where("false"), sf).count() == 0
+    kept = corpus_pipeline.one_of_each_group(spark, wide, sf).where(F.col("doc_id").isin(*ids)).select("text").collect()
+    assert len(kept) == len({r.text for r in kept}) == 2
