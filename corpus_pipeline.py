@@ -14,42 +14,54 @@ MIN_LANGUAGE_SCORE = 0.3  # below what any of four equally likely languages woul
 ORACLE_SQL = None  # trained models and tokenizers are not SQL; tests hold the stages against brute force
 
 
+def _apart(docs: DataFrame, needed: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
+    """The columns that stages read, and all others inside one, so that no name of a stage's own meets a user's."""
+    others = [c for c in docs.columns if c not in needed]
+    return docs.select(*[c for c in docs.columns if c in needed], F.struct(*(others or [F.lit(0)])).alias("_others"))
+
+
+def _together(found: DataFrame, docs: DataFrame) -> DataFrame:
+    return found.select(*[c if c in found.columns else F.col(f"_others.{c}").alias(c) for c in docs.columns])
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters and those whose language stays unclear."""
-    found = language.identify(docs, language.train(docs.select("doc_id", "text", "lang")))
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    found = language.identify(_apart(docs), language.train(docs.select("doc_id", "text", "lang")))
+    return _together(found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).drop("lang_pred", "score"), docs)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of low quality and toxic ones."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model).where("keep").select(*docs.columns)
+    return _together(quality.score(_apart(docs), model).where("keep").drop("quality", "toxic", "keep"), docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of every near-duplicate group.
+    """Keep the document with the smallest doc_id of every near-duplicate group (rows without doc_id stand behind all others).
 
-    Rows of one doc_id are one document, of which the smallest row stays. Rows without doc_id stand behind all
-    others and are told apart by their text.
+    Rows are told apart by doc_id and text together: different texts under one doc_id are different documents, and
+    of equal rows the smallest stays.
     """
-    own = F.coalesce("doc_id", F.lit(1 << 61) + F.shiftrightunsigned(F.xxhash64("text"), 3))
-    named = docs.withColumn("_id", own)
-    groups = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text"))
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return (named.join(stay, "_id", "left_semi").groupBy("_id").agg(F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("_row"))
-            .select("_row.*").select(*docs.columns))
+    named = _apart(docs).withColumn("_id", F.xxhash64("doc_id", "text"))
+    groups = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text")).distinct()
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_id")
+    member = named.select("_id", "doc_id").distinct().join(groups.select(F.col("doc_id").alias("_id"), "component_id"), "_id")
+    stay = member.groupBy("component_id").agg(F.min_by("_id", order).alias("_id")).select("_id")
+    rows = named.join(stay, "_id", "left_semi")
+    others = [c for c in rows.columns if c != "_id"]
+    return _together(rows.groupBy("_id").agg(F.min(F.struct(*others)).alias("_row")).select("_row.*"), docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of which a twentieth or more is benchmark text; all others stay as they are."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.where(~decontaminate.is_contaminated()).select(*docs.columns)
+    found = decontaminate.contamination(_apart(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _together(found.where(~decontaminate.is_contaminated()).drop("n_words", "n_hit", "spans", "items"), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
     digest = "doc_id long, piece int, start long, length long, part int, nth long, ids_crc32 long"
-    return packing.pack_documents(docs, carry=lambda p: p.mapInArrow(crc_of_ids, digest))
+    return packing.pack_documents(docs, carry=lambda p: p.mapInArrow(crc_of_ids, digest), release=True)
 
 
 STAGES = [("language id", known_language), ("quality classifier", good_quality), ("n-gram Jaccard join", one_of_each_group),
