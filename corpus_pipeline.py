@@ -10,12 +10,14 @@ from tessella.llm.near_duplicates import near_duplicates
 from tessella.llm.queries import crc_of_ids
 from tessella.session import materialize
 
+BATCH_ROWS = 1000  # whole documents that Spark hands to a Python worker at a time; its own default is ten times as many
 MIN_LANGUAGE_SCORE = 0.3  # below what any of four equally likely languages would get by a clear margin
 ORACLE_SQL = None  # trained models and tokenizers are not SQL; tests hold the stages against brute force
 
 
 def _apart(docs: DataFrame, needed: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
     """The columns that stages read, and all others inside one, so that no name of a stage's own meets a user's."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))  # for the session: stages run later than they are declared
     others = [c for c in docs.columns if c not in needed]
     return docs.select(*[c for c in docs.columns if c in needed], F.struct(*(others or [F.lit(0)])).alias("_others"))
 
@@ -61,7 +63,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
     digest = "doc_id long, piece int, start long, length long, part int, nth long, ids_crc32 long"
-    return packing.pack_documents(docs, carry=lambda p: p.mapInArrow(crc_of_ids, digest), release=True)
+    return packing.pack_documents(_apart(docs), carry=lambda p: p.mapInArrow(crc_of_ids, digest), release=True)
 
 
 STAGES = [("language id", known_language), ("quality classifier", good_quality), ("n-gram Jaccard join", one_of_each_group),
