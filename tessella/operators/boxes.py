@@ -6,13 +6,14 @@ Boxes are half-open: ``(slide_id, box_id, y, x, h, w)`` covers [y, y + h) x [x,
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import prefix_scan
 from ..session import Table, materialize
 from .components import component_stats, label_components
-from .graph import connected_roots
+from .graph import min_roots
 
 
 def _cells(df: DataFrame, a: str, b: str, out: str, cell: int) -> DataFrame:
@@ -51,43 +52,132 @@ def patch_boxes(boxes: DataFrame, patches: DataFrame, cell: int = 512) -> DataFr
         (F.col("r_x0") - F.col("l_x0")).alias("x0"), (F.col("r_y1") - F.col("l_y0")).alias("y1"), (F.col("r_x1") - F.col("l_x0")).alias("x1"))
 
 
-def _overlap_edges(boxes: DataFrame, cell: int) -> DataFrame:
-    """Enough overlapping pairs to connect all boxes that overlap: along every pixel row (cut at ``cell``
-    columns) the sorted intervals are swept and each one is tied to the first of its run. A row holds at most
-    cell^2 / 2 different intervals, and every box adds at most one edge per row cell."""
-    rows = (boxes.withColumn("row", F.explode(F.sequence(F.col("y"), F.col("y") + F.col("h") - 1)))
-            .withColumn("_e", F.col("x") + F.col("w")))
-    cut = _cells(rows, "x", "_e", "_cx", cell)
-    cut = (cut.withColumn("_s", F.greatest(F.col("x"), F.col("_cx") * cell)).withColumn("_t", F.least(F.col("_e"), (F.col("_cx") + 1) * cell)))
-    same = cut.groupBy("slide_id", "row", "_cx", "_s", "_t").agg(F.min("id").alias("_lead"))
-    w = Window.partitionBy("slide_id", "row", "_cx").orderBy("_s", "_t", "_lead")
-    far = F.max("_t").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    runs = same.withColumn("_new", F.coalesce(F.col("_s") >= far, F.lit(True)).cast("int")).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    first = F.min("_lead").over(Window.partitionBy("slide_id", "row", "_cx", "_run"))
-    chain = runs.select("slide_id", F.col("_lead").alias("a"), first.alias("b"))
-    equal = cut.join(same, ["slide_id", "row", "_cx", "_s", "_t"]).select("slide_id", F.col("id").alias("a"), F.col("_lead").alias("b"))
-    return chain.unionByName(equal).where("a != b").distinct()
-
-
-def merge_boxes(boxes: DataFrame, cell: int = 1024) -> DataFrame:
+_BOX = ("y", "x", "h", "w")
+PAIRS = 1 << 20  # candidate pairs that a task looks at a time
+
+
+def _log2(c: str) -> Column:
+    return F.length(F.bin(c)) - 1
+
+
+def _on_grid(boxes: DataFrame, levels: list[int]) -> DataFrame:
+    """A row per cell that a box touches on each of ``levels`` whose cells are not smaller than the box: at most four a level."""
+    fits = F.filter(F.array(*[F.lit(v) for v in levels]), lambda v: v >= F.col("level"))
+    df = boxes.withColumn("lv", F.explode(fits))
+    for c, a, n in (("cy", "y", "h"), ("cx", "x", "w")):
+        df = df.withColumn(c, F.explode(F.expr(f"sequence(shiftright({a}, lv), shiftright({a} + {n} - 1, lv))")))
+    return df
+
+
+def _neighbours(asks: DataFrame, targets: DataFrame, levels: list[int]) -> DataFrame:
+    """For every overlapping pair, a row of either box with the rank of the other. A box is entered on the level of its size and looks
+    itself up there and on coarser ones, so the larger box of a pair is always found."""
+    t = _on_grid(targets, levels).where("lv = level").select("slide_id", "lv", "cy", "cx", *[F.col(c).alias(f"t_{c}") for c in (*_BOX, "id", "rank")])
+    pairs = _on_grid(asks, levels).join(t, ["slide_id", "lv", "cy", "cx"]).where(
+        "y < t_y + t_h AND t_y < y + h AND x < t_x + t_w AND t_x < x + w AND NOT (y = t_y AND x = t_x AND h = t_h AND w = t_w)")
+    one = F.struct(*_BOX, "id", F.col("t_rank").alias("rank"))
+    other = F.struct(*[F.col(f"t_{c}").alias(c) for c in (*_BOX, "id")], "rank")
+    return pairs.select("slide_id", F.inline(F.array(one, other)))
+
+
+def _union(df: DataFrame, keys: list, *more: Column) -> DataFrame:
+    """The common bounding box of every group, with its smallest id."""
+    top, west = F.min("y"), F.min("x")
+    return df.groupBy("slide_id", *keys).agg(top.alias("y"), west.alias("x"), (F.max(F.col("y") + F.col("h")) - top).alias("h"),
+                                             (F.max(F.col("x") + F.col("w")) - west).alias("w"), F.min("id").alias("id"), *more)
+
+
+def _collapse(boxes: DataFrame) -> DataFrame:
+    """Merge boxes whose sides agree to a power of two and whose corners lie closer than that: they overlap for sure. What is left is
+    at most one box per cell, so that no place keeps many boxes of one shape."""
+    cell = [F.expr(f"shiftright({a}, length(bin({n})) - 1)").alias(f"_{a}") for a, n in (("y", "h"), ("x", "w"))]
+    merged = _union(boxes, [_log2("h").alias("_h"), _log2("w").alias("_w"), *cell], F.max("fresh").alias("fresh"), F.count(F.lit(1)).alias("_n"))
+    return merged.select("slide_id", *_BOX, "id", (F.col("fresh") | (F.col("_n") > 1)).alias("fresh"))
+
+
+def merge_corners(y: np.ndarray, x: np.ndarray, h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """For each box the smallest number of a box it ends up merged with; half-open integer boxes, merged until none overlap."""
+    group = np.arange(len(y))
+    while True:
+        order = np.argsort(y, kind="stable")
+        last = np.searchsorted(y[order], y[order] + h[order])  # boxes that begin before this one ends
+        later = last - np.arange(len(order)) - 1
+        done = np.concatenate([[0], np.cumsum(later)])
+        a, b, i = [], [], 0
+        while i < len(order):
+            j = max(i + 1, int(np.searchsorted(done, done[i] + PAIRS, "right")) - 1)
+            p = np.repeat(np.arange(i, j), later[i:j])
+            q = np.arange(len(p)) - np.repeat(done[i:j] - done[i], later[i:j]) + p + 1
+            p, q = order[p], order[q]
+            near = (x[p] < x[q] + w[q]) & (x[q] < x[p] + w[p])
+            a.append(p[near])
+            b.append(q[near])
+            i = j
+        if not len(order) or not sum(map(len, a)):
+            return group
+        root = min_roots(np.concatenate(a), np.concatenate(b), len(y))
+        kept, at = np.unique(root, return_inverse=True)
+        low_y, low_x = (np.full(len(kept), np.iinfo(np.int64).max) for _ in "yx")
+        top_y, top_x = (np.full(len(kept), np.iinfo(np.int64).min) for _ in "yx")
+        np.minimum.at(low_y, at, y)
+        np.minimum.at(low_x, at, x)
+        np.maximum.at(top_y, at, y + h)
+        np.maximum.at(top_x, at, x + w)
+        group = at[group]
+        y, x, h, w = low_y, low_x, top_y - low_y, top_x - low_x
+
+
+def _merge_tile(t: pa.Table) -> pa.Table:
+    """Boxes with their corners in one tile; after ``_collapse`` these are no more than its pixels."""
+    y, x, h, w = (t.column(c).to_numpy() for c in _BOX)
+    _, at, n = np.unique(merge_corners(y, x, h, w), return_inverse=True, return_counts=True)
+    first = np.argsort(at, kind="stable")
+    cut = np.cumsum(n) - n
+    top, west = np.minimum.reduceat(y[first], cut), np.minimum.reduceat(x[first], cut)
+    low, east = np.maximum.reduceat((y + h)[first], cut), np.maximum.reduceat((x + w)[first], cut)
+    ids = t.column("id").take(pa.array(first))
+    least = ids.to_numpy() if not ids.null_count and pa.types.is_integer(ids.type) else np.array(ids.to_pylist(), object)
+    fresh = np.maximum.reduceat(t.column("fresh").to_numpy()[first], cut) | (n > 1)
+    return pa.table({"slide_id": t.column("slide_id").take(pa.array(np.zeros(len(n), np.int64))), "y": top, "x": west, "h": low - top, "w": east - west,
+                     "id": pa.array(np.minimum.reduceat(least, cut), ids.type), "fresh": fresh})
+
+
+def merge_boxes(boxes: DataFrame, tile: int = 1024) -> DataFrame:
     """Replace overlapping integer boxes by their common bounding box until no two boxes of a slide overlap.
-    ``box_id`` of a merged box is the smallest one in it.
+    ``box_id`` of a merged box is the smallest one in it; boxes without extent and without slide vanish.
 
-    Equal boxes collapse first; then rounds over the cluster (overlaps, components, unions) until none overlap.
+    Each round is one job. Boxes with their corners in one tile are merged in a task; tiles shift from round to round. Across tiles
+    a box meets the boxes it overlaps on a grid of as many levels as there are sizes, and joins the group of the lowest rank among
+    them and itself. Ranks are hashes that change from round to round, so a chain of boxes breaks into groups everywhere at once.
+    Boxes that met nothing are looked at again only next to boxes that did.
     """
-    kinds = {c: boxes.schema[c].dataType.simpleString() for c in ("slide_id", "box_id", "y", "x", "h", "w")}
-    same = (boxes.where("h > 0 AND w > 0").groupBy("slide_id", "y", "x", "h", "w").agg(F.min("box_id").alias("id")))
-    cur = Table(same)
-    while True:
-        geo = cur.df.groupBy("slide_id", "y", "x", "h", "w").agg(F.min("id").alias("id"))
-        edges = Table(_overlap_edges(geo, cell), n=F.count(F.lit(1)))
-        if not edges.metrics["n"]:
-            return geo.select("slide_id", F.col("id").alias("box_id"), *[F.col(c).cast(kinds[c]).alias(c) for c in ("y", "x", "h", "w")])
-        roots = connected_roots(edges.df).withColumnRenamed("node", "id")
-        m = geo.join(roots, ["slide_id", "id"], "left").withColumn("id", F.coalesce("root", "id"))
-        top, west = F.min("y"), F.min("x")
-        cur = Table(m.groupBy("slide_id", "id").agg(top.alias("y"), west.alias("x"), (F.max(F.col("y") + F.col("h")) - top).alias("h"),
-                                                    (F.max(F.col("x") + F.col("w")) - west).alias("w")))
+    kinds = {c: boxes.schema[c].dataType.simpleString() for c in ("slide_id", "box_id", *_BOX)}
+    start = boxes.where("h > 0 AND w > 0 AND slide_id IS NOT NULL").select("slide_id", F.col("box_id").alias("id"), *[F.col(c).cast("bigint").alias(c) for c in _BOX],
+                                                                           F.lit(True).alias("fresh"))
+    level = F.length(F.bin(F.greatest("h", "w") - 1)) * (F.greatest("h", "w") > 1).cast("int")
+    bit = F.expr("shiftleft(1L, level)")
+    seen = {"all": F.bit_or(bit), "new": F.bit_or(F.when(F.col("fresh"), bit)), "old": F.count_if(~F.col("fresh"))}
+
+    def write(df: DataFrame, turn: int) -> Table:
+        df = _collapse(df)
+        shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        corner = [F.floor((F.col(c) + turn * (tile // 2)) / tile).alias(f"_{c}") for c in ("y", "x")]
+        return Table(df.groupBy("slide_id", *corner).applyInArrow(_merge_tile, shape).withColumn("level", level), **seen)
+
+    cur, turn = write(start, 0), 0
+    while cur.metrics["new"]:
+        bits = {k: [v for v in range(63) if (cur.metrics[k] or 0) >> v & 1] for k in ("all", "new")}
+        ranked = cur.df.withColumn("rank", F.xxhash64(*_BOX, F.lit(turn)))
+        fresh = ranked.where("fresh")
+        met = _neighbours(fresh, ranked, bits["all"])
+        if cur.metrics["old"]:
+            met = met.unionByName(_neighbours(ranked.where("NOT fresh"), fresh, bits["new"]))
+        led = (ranked.select("slide_id", *_BOX, "id", "rank").unionByName(met).groupBy("slide_id", *_BOX)
+               .agg(F.min("id").alias("id"), F.min("rank").alias("rank"), (F.count(F.lit(1)) > 1).alias("fresh")))
+        nxt = write(_union(led, ["rank"], F.max("fresh").alias("fresh")), turn + 1)
+        cur.drop()
+        cur, turn = nxt, turn + 1
+    return cur.df.select("slide_id", F.col("id").cast(kinds["box_id"]).alias("box_id"), *[F.col(c).cast(kinds[c]).alias(c) for c in _BOX])
 
 
 def gt_boxes(gt: DataFrame, spacing: float, overview_spacing: float = 8.0, tile: int = 512, padding: int = 1) -> DataFrame:

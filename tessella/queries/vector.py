@@ -6,6 +6,7 @@ from ..fixtures import SIDE, annotations, levels, table, view, with_views
 from ..operators import boxes as B
 from ..operators import vector as V
 from ..registry import query
+from .regions import components_sql
 
 TILE = 16
 AN = with_views("ann")
@@ -176,12 +177,33 @@ def _(spark, d):
     return B.patch_boxes(b, p, 64)
 
 
-@query("merge_boxes")
+def merged_sql(source: str) -> str:
+    """Every box of ``source`` (slide_id, box_id, y, x, h, w) grows to the bounding box of all boxes it overlaps until none changes;
+    boxes that overlap are equal then. Ends a WITH RECURSIVE list and selects the merged boxes."""
+    return f"""
+grown AS (
+ SELECT 0 AS turn, slide_id, box_id, y::BIGINT AS y0, x::BIGINT AS x0, (y + h)::BIGINT AS y1, (x + w)::BIGINT AS x1, true AS moved FROM ({source})
+ UNION ALL
+ SELECT a.turn + 1, a.slide_id, a.box_id, min(b.y0), min(b.x0), max(b.y1), max(b.x1),
+  min(b.y0) <> a.y0 OR min(b.x0) <> a.x0 OR max(b.y1) <> a.y1 OR max(b.x1) <> a.x1
+ FROM grown a JOIN grown b ON a.slide_id = b.slide_id AND a.y0 < b.y1 AND b.y0 < a.y1 AND a.x0 < b.x1 AND b.x0 < a.x1
+ WHERE (SELECT bool_or(moved) FROM grown) GROUP BY a.turn, a.slide_id, a.box_id, a.y0, a.x0, a.y1, a.x1),
+merged AS (SELECT slide_id, min(box_id) AS box_id, y0::INT AS y, x0::INT AS x, (y1 - y0)::INT AS h, (x1 - x0)::INT AS w
+ FROM grown WHERE turn = (SELECT max(turn) FROM grown) GROUP BY slide_id, y0, x0, y1, x1)
+"""
+
+
+@query("merge_boxes", f"WITH RECURSIVE b AS ({BOX})," + merged_sql("SELECT * FROM b") + "SELECT * FROM merged")
 def _(spark, d):
-    return B.merge_boxes(box_view(spark, d), 256)
+    return B.merge_boxes(box_view(spark, d))
+
+
+GT = """SELECT slide_id, comp AS box_id, trunc((min(row) - 1) * 8)::INT AS y, trunc((min(col) - 1) * 8)::INT AS x,
+ trunc((max(row) + 1 - min(row) + 2) * 8)::INT AS h, trunc((max(col) + 1 - min(col) + 2) * 8)::INT AS w FROM comps GROUP BY slide_id, comp"""
 
 
-@query("gt_boxes")
+@query("gt_boxes", with_views("blocks").rstrip() + "," + components_sql("SELECT slide_id, row, col, 1 AS label FROM blocks WHERE label = 1") + "," + merged_sql(GT)
+       + "SELECT * FROM merged")
 def _(spark, d):
     return B.gt_boxes(blocks(spark, d).where("label = 1"), 1.0, 8.0, TILE)
 

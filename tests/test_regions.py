@@ -157,11 +157,28 @@ def brute_merge(boxes):
             return {tuple(b) for b in boxes}
 
 
-def test_merge_boxes(spark):
-    raw = [tuple(int(v) for v in (*RNG.integers(0, 90, 2), *RNG.integers(1, 12, 2))) for _ in range(70)] + [(3, 3, 2, 2), (3, 3, 2, 2), (3, 5, 2, 2)]
-    df = spark.createDataFrame([(0, i, *b) for i, b in enumerate(raw)], "slide_id int, box_id long, y int, x int, h int, w int")
-    got = {(r.y, r.x, r.h, r.w) for r in B.merge_boxes(df, 16).collect()}
-    assert got == brute_merge(raw)
+@pytest.mark.parametrize("kind", ["small", "mixed", "chain", "lines"])
+def test_merge_boxes(spark, kind):
+    rng = np.random.default_rng(len(kind))
+    if kind == "small":
+        raw = [(*rng.integers(0, 90, 2), *rng.integers(1, 12, 2)) for _ in range(70)] + [(3, 3, 2, 2), (3, 3, 2, 2), (3, 5, 2, 2)]
+    elif kind == "mixed":  # sizes of many levels, negative places, a box 100,000 pixels high
+        raw = [(*rng.integers(-3000, 3000, 2), *(2 ** rng.integers(0, 9, 2) + rng.integers(0, 3, 2))) for _ in range(150)] + [(-50_000, 4000, 100_000, 3), (20_000, 3999, 5, 2)]
+    elif kind == "chain":  # each box meets the next one only
+        raw = [(3 * i, 3 * i, 4, 4) for i in range(120)] + [(5000 + 4 * i, 0, 4, 4) for i in range(20)]
+    else:  # thin boxes that cross
+        raw = [(10 * i, 0, 1, 300) for i in range(20)] + [(500 + 7 * i, 0, 1, 300) for i in range(20)] + [(400, 10 * i, 300, 1) for i in range(20)]
+    raw = [tuple(map(int, b)) for b in raw]
+    df = spark.createDataFrame([(0, i, *b) for i, b in enumerate(raw)] + [(1, 7, 0, 0, 5, 5), (1, 8, 0, 0, 0, 5), (None, 9, 0, 0, 5, 5)],
+                               "slide_id int, box_id long, y int, x int, h int, w int")
+    found = B.merge_boxes(df)
+    assert found.schema.simpleString() == df.schema.simpleString()
+    rows = found.collect()
+    assert {(r.y, r.x, r.h, r.w) for r in rows if r.slide_id == 0} == brute_merge(raw)
+    for r in rows:
+        inside = [i for i, b in enumerate(raw) if b[0] >= r.y and b[1] >= r.x and b[0] + b[2] <= r.y + r.h and b[1] + b[3] <= r.x + r.w]
+        assert r.box_id == (min(inside) if r.slide_id == 0 else 7)
+    assert B.merge_boxes(df.where("false")).count() == 0
 
 
 def brute_nms(rows, conf, iou, top):
