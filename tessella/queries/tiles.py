@@ -136,7 +136,7 @@ _w = f"least({_a}, {_b}) / (least({_a}, {_b}) + least(7 - {_a}, {_b}) + least({_
  (SELECT *, (row // 8 - dy) * 8 AS ty, (col // 8 - dx) * 8 AS tx FROM rgb, (SELECT unnest([0, 1]) AS dy), (SELECT unnest([0, 1]) AS dx)) WHERE ty >= 0 AND tx >= 0 GROUP BY ALL""")
 def _(spark, d):
     lv = level0(spark, d)
-    t = T.read_tiles(rgb(spark, d), T.tile_grid_half(lv, 16), lv, 16, ["r"]).withColumn("values", A.squash("r"))
+    t = T.read_tiles(rgb(spark, d), T.tile_grid_half(lv, 16), lv, 16, ["r"], stride=8).withColumn("values", A.squash("r"))
     out = T.blend_tiles(t, lv, 16)
     out = out.join(rgb(spark, d).select("slide_id", "row", "col"), ["slide_id", "row", "col"], "left_semi")
     return out.withColumn("value", F.round("value", 6))

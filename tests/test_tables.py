@@ -142,3 +142,79 @@ def test_annotations_without_names_spread_and_lone_groups_stay(spark, tmp_path):
     assert back.count() == 40 and back.select(F.explode("coords.y").alias("y")).distinct().count() == 40
     assert {(r.slide_id, r.grp) for r in A.read_annotation_groups(spark, path).collect()} == {(1, "g"), (2, "h")}
     assert spark.read.text(path).select("part").where("slide_id = 1").distinct().count() > 1
+
+
+def paste_tiles(image, tile, lost, interp, model, mode, mask, mask_class, hard, factor):
+    """Tile by tile in order, each kept part over what earlier tiles left there."""
+    rows, cols, n_ch = image.shape
+    total = [a + b for a, b in zip(lost, interp)]
+    sy, sx = tile - total[2] - total[3], tile - total[0] - total[1]
+    wide = np.pad(image, ((tile, 2 * tile), (tile, 2 * tile), (0, 0)), **({"mode": "reflect"} if mode == "reflect" else {}))
+    out = None
+    for y in range(-total[2], rows, sy):
+        for x in range(-total[0], cols, sx):
+            ry, rx = y + total[2], x + total[0]
+            if ry > rows or rx > cols:
+                continue
+            if mask is not None and not (mask[ry:ry + sy, rx:rx + sx] == mask_class).any():
+                continue
+            bottom, right = total[3], total[1]
+            if y >= 0 and y + tile >= rows and ry + tile - total[2] - lost[3] >= rows:
+                bottom = ry + tile - total[2] - rows
+            if x >= 0 and x + tile >= cols and rx + tile - total[0] - lost[1] >= cols:
+                right = rx + tile - total[0] - cols
+            res = model(wide[None, y + tile:y + 2 * tile, x + tile:x + 2 * tile])
+            res = res.argmax(-1)[..., None] + 1.0 if hard else res
+            res = T.rescale(res, factor)[0]
+            if res.shape[0] != tile:
+                res = np.pad(res, ((lost[2], lost[3]), (lost[0], lost[1]), (0, 0)))
+            kept = res[total[2]:tile - bottom, total[0]:tile - right]
+            out = np.full((rows, cols, res.shape[-1]), np.nan) if out is None else out
+            kept = kept[:max(0, rows - ry), :max(0, cols - rx)]
+            out[ry:ry + kept.shape[0], rx:rx + kept.shape[1]] = kept
+    return out if mask is None else out * (mask > 0)[..., None]
+
+
+@pytest.mark.parametrize(("mode", "interp", "factor", "masked", "hard"), [
+    ("constant", (0, 0, 0, 0), 1, False, False), ("constant", (1, 2, 2, 1), 1, False, False), ("reflect", (2, 1, 1, 3), 1, False, True),
+    ("constant", (1, 2, 1, 2), 2, False, False), ("reflect", (1, 1, 1, 1), 2, True, False), ("constant", (0, 3, 0, 4), 1, True, False)])
+def test_tiled_scoring_equals_pasting_tile_by_tile(spark, mode, interp, factor, masked, hard):
+    rng = np.random.default_rng(len(mode) + sum(interp) + factor)
+    tile, lost = 14, (2, 2, 1, 1)
+    image = rng.integers(1, 200, (23, 31, 2)).astype(float)
+    mask = (rng.random((23, 31)) < 0.1).astype(int) * 2 if masked else None
+    if masked:
+        mask[:, 20:] = 0
+        mask[3, 4] = 1
+        mask[15:, :9] = 1
+
+    def model(b):
+        b = np.concatenate([b, b.sum(-1, keepdims=True) / 3], -1)
+        if factor == 1:
+            return b
+        valid = b[:, lost[2]:tile - lost[3], lost[0]:tile - lost[1]]
+        n, h, w, c = valid.shape
+        return valid.reshape(n, h // 2, 2, w // 2, 2, c).mean((2, 4))
+
+    want = paste_tiles(image, tile, lost, interp, model, mode, mask, 1, hard, (factor, factor))
+    px = spark.createDataFrame([(s, r, c, *map(float, image[r, c])) for s in (0, 1) for r in range(23) for c in range(31)], "slide_id int, row int, col int, a double, b double")
+    lv = spark.createDataFrame([(0, 23, 31), (1, 23, 31)], "slide_id int, rows int, cols int")
+    m = spark.createDataFrame([(s, r, c, int(mask[r, c])) for s in (0, 1) for r in range(23) for c in range(31)], "slide_id int, row int, col int, label int") if masked else None
+    got = T.classify_tiled(px, lv, ["a", "b"], T.Processor(model), 3, tile, lost, m, 1, mode, None, 3, interp, (factor, factor), hard).collect()
+    seen = {(r.slide_id, r.row, r.col): r.probs for r in got}
+    assert len(seen) == len(got)
+    for s in (0, 1):
+        for r in range(23):
+            for c in range(31):
+                if np.isnan(want[r, c]).any():
+                    assert (s, r, c) not in seen
+                else:
+                    assert np.allclose(seen[s, r, c], want[r, c])
+
+
+def test_tiled_scoring_shuffles_pixels_once(spark):
+    px = spark.createDataFrame([(0, 1, 1, 1.0)], "slide_id int, row int, col int, v double")
+    lv = spark.createDataFrame([(0, 9, 9)], "slide_id int, rows int, cols int")
+    plan = T.classify_tiled(px, lv, ["v"], T.Processor(lambda b: b), 1, 8, (1, 1, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    after = plan[:plan.index("FlatMapGroupsInArrow")]
+    assert "Exchange" not in after and "collect_list" not in plan
