@@ -219,16 +219,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den:
     classes = materialize(own.groupBy("node").agg(F.min("doc_id").alias("least")))
     posts = base.select("text").mapInArrow(_postings(words, t_num, t_den, frequent), "token long, part int, node long, n int, pos int")
     posts = posts.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("token", "part"))).where("_m > 1 OR part > 0").drop("_m")
-    shared = materialize(posts.select("token", "node", "n", "pos").distinct())
+    shared = materialize(posts.select("token", "node", "n", "pos").distinct().join(classes, "node"))
 
     possible = _possible(t_num, t_den)
-    hub = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("hub"), F.max("node").alias("last")).where("hub.node != last")
+    # the class of the earliest document is the hub of a token: copies are rather like their source than like each other
+    early = F.struct(F.coalesce("least", F.lit((1 << 63) - 1)).alias("least"), "node", "n", "pos")
+    hub = shared.groupBy("token").agg(F.min(early).alias("hub"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("token", "hub")
     first = (shared.join(hub, "token").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"),
                                               F.col("hub.n").alias("n_b"), F.col("hub.pos").alias("pos_b"))
              .where("a != b").where(possible).select("a", "b").distinct())
     known = materialize(first)
     # the texts that any pair can ask for: classes that share a prefix token with another
-    asked = materialize(shared.join(hub.select("token"), "token", "left_semi").select("node").distinct().join(classes, "node"))
+    asked = materialize(shared.join(hub.select("token"), "token", "left_semi").select("node", "least").distinct())
     held = base.join(asked.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
     if asked.where("least IS NULL").limit(1).count():
         held = held.unionByName(base.where("doc_id IS NULL"))
@@ -240,6 +242,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den:
     links = materialize(_links(known, texts, words, t_num, t_den).union(moved))
     comp = materialize(_roots(links))
 
+    shared = shared.drop("least")
     at = (shared.join(comp.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     open_ = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     left = materialize(at.join(open_, "token", "left_semi").distinct())
