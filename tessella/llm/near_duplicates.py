@@ -32,6 +32,7 @@ from .text import LOWER, NON_SPACE, chunks, combine, flat, hash_spans, mix, row_
 WORDS = 5
 FREQUENT_LIMIT = 1 << 18  # tokens whose order is by count; it steers speed, not results
 GROUP = 2000  # members of one token that a task or a row pair is dealt at a time
+_NULL_ID = 1 << 62  # nodes of rows without doc_id start here; doc_ids are below
 _ORDERS = (np.uint64(0), np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
 
@@ -70,13 +71,15 @@ def _profile(words: int):
             tok, n = tok[n > 1], n[n > 1]
             k = len(tok)
             return pa.RecordBatch.from_pydict({
-                "doc_id": pa.nulls(k, pa.int64()), "n": pa.array(n, pa.int64()), "node": pa.array(tok.view(np.int64)), "is_doc": pa.array(np.zeros(k, bool))})
+                "doc_id": pa.nulls(k, pa.int64()), "n": pa.array(n, pa.int64()), "h1": pa.array(tok.view(np.int64)),
+                "h2": pa.nulls(k, pa.int64()), "is_doc": pa.array(np.zeros(k, bool))})
 
         for chunk in chunks(batches):
             sets = shingle_sets(chunk.column("text"), words)
             sig = [_signature(s) for s in sets]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": chunk.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "node": pa.array([a for a, _ in sig], pa.int64()),
+                "doc_id": chunk.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()),
+                "h1": pa.array([a for a, _ in sig], pa.int64()), "h2": pa.array([b for _, b in sig], pa.int64()),
                 "is_doc": pa.array([True] * len(sets), pa.bool_())})
             for s, key in zip(sets, sig, strict=True):
                 if key not in seen:
@@ -115,15 +118,16 @@ def _postings(words: int, t_num: int, t_den: int, frequent):
         tok, cnt = frequent.value
         seen = set()
         for chunk in chunks(batches):
+            nodes = chunk.column("node").to_numpy(zero_copy_only=False)
             toks, pos, node, size = [], [], [], []
-            for s in shingle_sets(chunk.column("text"), words):
+            for s, d in zip(shingle_sets(chunk.column("text"), words), nodes, strict=True):
                 if not len(s) or (key := _signature(s)) in seen:
                     continue
                 seen.add(key)
                 p = _ordered(s, 0, (tok, cnt))[:prefix_size(len(s), t_num, t_den)]
                 toks.append(p)
                 pos.append(np.arange(len(p), dtype=np.int32))
-                node.append(np.full(len(p), key[0], np.int64))
+                node.append(np.full(len(p), d, np.int64))
                 size.append(np.full(len(p), len(s), np.int32))
             if not toks:
                 continue
@@ -194,6 +198,20 @@ def _roots(links: DataFrame) -> DataFrame:
     return connected_roots(links.select(F.lit(0).alias("_k"), "a", "b"), "_k").select("node", "root")
 
 
+def several_texts(docs: DataFrame) -> DataFrame:
+    """The doc_ids of ``docs`` (doc_id, text) that stand at different texts. Mostly there are none; texts are hashed, not moved."""
+    h = F.coalesce(F.xxhash64("text"), F.lit(0))
+    ids = docs.where("doc_id IS NOT NULL").select("doc_id", h.alias("h")).groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+    return materialize(ids.where("lo < hi").select("doc_id"))
+
+
+def row_ids(docs: DataFrame, several: DataFrame) -> DataFrame:
+    """``docs`` with _id: the doc_id, or a hash of doc_id and text (beyond all doc_ids) where the doc_id is null or one of ``several``."""
+    own = F.lit(1 << 61) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 3)
+    marked = docs.join(several.withColumn("_several", F.lit(True)), "doc_id", "left")
+    return marked.withColumn("_id", F.when(F.col("doc_id").isNull() | F.col("_several").isNotNull(), own).otherwise(F.col("doc_id")))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den: int = 4) -> DataFrame:
     """One row per row of ``docs`` (``doc_id, text``): doc_id, n_shingles, component_id.
 
@@ -202,47 +220,65 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den:
     Null or wordless texts have no shingles and no links. Rows with one doc_id are one document with several
     texts: what any of them is linked with belongs together. A null doc_id takes part in links but names no component:
     it is null where a component has no other. Other columns are ignored; an empty table gives no rows. Hashes of 64
-    bits stand for shingles and for sets.
+    bits stand for shingles.
     """
+    base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    several = several_texts(base)
+    if not several.limit(1).count():
+        return _one_text_each(base, words, t_num, t_den)
+    # every text is a document first; then those of one doc_id are brought together
+    named = materialize(row_ids(base, several))
+    found = materialize(_one_text_each(named.select(F.col("_id").alias("doc_id"), "text"), words, t_num, t_den).distinct()
+                        .select(F.col("doc_id").alias("_id"), "n_shingles", F.col("component_id").alias("comp")))
+    rows = named.select("doc_id", "_several", "_id").join(found, "_id")
+    parts = rows.where("_several").select("doc_id", "comp").distinct()
+    same = parts.join(parts.groupBy("doc_id").agg(F.min("comp").alias("low")), "doc_id").select(F.col("comp").alias("a"), F.col("low").alias("b"))
+    rooted = rows.join(_roots(same).withColumnRenamed("node", "comp"), "comp", "left").withColumn("root", F.coalesce("root", "comp"))
+    return (rooted.join(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
+            .select("doc_id", "n_shingles", "component_id"))
+
+
+def _one_text_each(docs: DataFrame, words: int, t_num: int, t_den: int) -> DataFrame:
+    """``near_duplicates`` where no doc_id stands at different texts."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialize(base.mapInArrow(_profile(words), "doc_id long, n long, node long, is_doc boolean"))
+    rows = materialize(base.mapInArrow(_profile(words), "doc_id long, n long, h1 long, h2 long, is_doc boolean"))
     sets = rows.where("is_doc").drop("is_doc")
-    top = (rows.where("NOT is_doc").groupBy(F.col("node").alias("token")).agg(F.sum("n").alias("n"))
+    top = (rows.where("NOT is_doc").groupBy(F.col("h1").alias("token")).agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "token").limit(FREQUENT_LIMIT).toArrow())
     tok = top.column("token").to_numpy().view(np.uint64)
     by = np.argsort(tok)
     frequent = spark.sparkContext.broadcast((tok[by], top.column("n").to_numpy()[by]))
 
-    # the class of a text is a hash of its set, the same in every task, so copies fall together wherever they stand
-    own = sets.where("n > 0")
-    classes = materialize(own.groupBy("node").agg(F.min("doc_id").alias("least")))
-    posts = base.select("text").mapInArrow(_postings(words, t_num, t_den, frequent), "token long, part int, node long, n int, pos int")
+    own = F.coalesce("doc_id", F.lit(_NULL_ID) + F.shiftrightunsigned("h1", 3))
+    classes = materialize(sets.where("n > 0").groupBy("h1", "h2").agg(F.min(own).alias("node"), F.max("n").alias("n")))
+    # the class is found again from the text, so that no text has to be shuffled for it
+    texts = base.withColumn("node", F.col("doc_id"))
+    if sets.where("doc_id IS NULL AND n > 0").limit(1).count():
+        lost = base.where("doc_id IS NULL").mapInArrow(_with_node(words), "doc_id long, text string, node long")
+        texts = base.where("doc_id IS NOT NULL").withColumn("node", F.col("doc_id")).unionByName(lost)
+    texts = texts.select("node", "text")
+
+    posts = texts.mapInArrow(_postings(words, t_num, t_den, frequent), "token long, part int, node long, n int, pos int")
     posts = posts.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("token", "part"))).where("_m > 1 OR part > 0").drop("_m")
-    shared = materialize(posts.select("token", "node", "n", "pos").distinct().join(classes, "node"))
+    own_class = sets.where("n > 0").select(own.alias("doc"), "h1", "h2").join(classes.select("h1", "h2", "node"), ["h1", "h2"])
+    moved = materialize(own_class.where("doc != node").select(F.col("doc").alias("a"), F.col("node").alias("b")).distinct())
+    # copies of a class fall to its node
+    shared = materialize(posts.select("token", "node", "n", "pos").join(moved.withColumnRenamed("a", "node"), "node", "left")
+                         .select("token", F.coalesce("b", "node").alias("node"), "n", "pos").distinct())
 
     possible = _possible(t_num, t_den)
-    # the class of the earliest document is the hub of a token: copies are rather like their source than like each other
-    early = F.struct(F.coalesce("least", F.lit((1 << 63) - 1)).alias("least"), "node", "n", "pos")
-    hub = shared.groupBy("token").agg(F.min(early).alias("hub"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("token", "hub")
+    hub = shared.groupBy("token").agg(F.min(F.struct("node", "n", "pos")).alias("hub"), F.max("node").alias("last")).where("hub.node != last")
     first = (shared.join(hub, "token").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"),
                                               F.col("hub.n").alias("n_b"), F.col("hub.pos").alias("pos_b"))
              .where("a != b").where(possible).select("a", "b").distinct())
     known = materialize(first)
     # the texts that any pair can ask for: classes that share a prefix token with another
-    asked = materialize(shared.join(hub.select("token"), "token", "left_semi").select("node", "least").distinct())
-    held = base.join(asked.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    if asked.where("least IS NULL").limit(1).count():
-        held = held.unionByName(base.where("doc_id IS NULL"))
-    texts = held.mapInArrow(_with_node(words), "node long, text string").join(asked.select("node"), "node", "left_semi")
-    texts = materialize(texts.groupBy("node").agg(F.first("text").alias("text")))
-    # texts of one document belong together
-    several = own.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last")
-    moved = own.join(several.drop("last"), "doc_id").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    asked = shared.join(hub.select("token"), "token", "left_semi").select("node").distinct()
+    texts = materialize(texts.join(asked, "node", "left_semi"))
     links = materialize(_links(known, texts, words, t_num, t_den).union(moved))
     comp = materialize(_roots(links))
 
-    shared = shared.drop("least")
     at = (shared.join(comp.withColumnRenamed("root", "comp"), "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     open_ = at.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     left = materialize(at.join(open_, "token", "left_semi").distinct())
@@ -262,15 +298,15 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, t_num: int = 3, t_den:
         if more.metrics["n"]:
             comp = materialize(_roots(links.union(more.df)))
 
-    rooted = classes.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
-    return (own.join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-            .unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
+    named = sets.withColumn("node", F.when(F.col("n") > 0, own)).join(comp, "node", "left")
+    return named.select("doc_id", F.col("n").alias("n_shingles"),
+                        F.coalesce(F.when(F.col("root") < _NULL_ID, F.col("root")), F.when(F.col("root").isNull(), F.col("doc_id"))).alias("component_id"))
 
 
 def _with_node(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batches):
             h = [_signature(s)[0] for s in shingle_sets(chunk.column("text"), words)]
-            yield pa.RecordBatch.from_pydict({"node": pa.array(h, pa.int64()), "text": chunk.column("text")})
+            node = _NULL_ID + (np.array(h, np.int64).view(np.uint64) >> np.uint64(3)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"doc_id": chunk.column("doc_id"), "text": chunk.column("text"), "node": pa.array(node)})
     return run
