@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import decontaminate, language, packing, quality
-from tessella.llm.near_duplicates import near_duplicates
+from tessella.llm.near_duplicates import near_duplicates, row_ids, several_texts
 from tessella.llm.queries import crc_of_ids
 from tessella.session import materialize
 
@@ -44,7 +44,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows are told apart by doc_id and text together: different texts under one doc_id are different documents, and
     of equal rows the smallest stays.
     """
-    named = _apart(docs).withColumn("_id", F.xxhash64("doc_id", "text"))
+    named = _apart(docs)
+    named = row_ids(named, several_texts(named)).drop("_several")
     groups = near_duplicates(named.select(F.col("_id").alias("doc_id"), "text")).distinct()
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_id")
     member = named.select("_id", "doc_id").distinct().join(groups.select(F.col("doc_id").alias("_id"), "component_id"), "_id")
