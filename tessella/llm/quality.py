@@ -1,8 +1,10 @@
 """Quality and toxicity by co-training: a text view and a page-metadata view teach each other, then vote.
 
 Both views start from a bounded sample of labelled documents. In each round every document is scored by both; the
-documents of which one view is most certain join the training rows of the other. At the end the margins of the
-views are calibrated and combined on labelled rows that trained neither, and all documents are scored.
+documents of which one view is certain, by its calibration on labelled rows that trained neither, are handed to the
+other, up to a documented share of the labelled training rows. Which of them is decided by a hash of the text over all
+documents, so copies count once wherever they lie. At the end the calibrated margins are combined on the same spare
+rows, and all documents are scored.
 """
 
 from __future__ import annotations
@@ -11,8 +13,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
@@ -22,7 +25,8 @@ from .text import ALNUM, LOWER, chunks, flat, hash_spans, word_spans
 
 LABELLED_ROWS = 5000  # the bound of the labelled sample
 ROUNDS = 2
-EXCHANGE = 40  # documents per class that a view hands to the other in a round
+CONFIDENCE = 0.98  # calibrated probability from which a view is certain of a class
+EXCHANGE_SHARE = 0.02  # bound on the texts that a view hands to the other per round and class, as a share of the labelled training rows
 TARGETS = ("quality", "toxic")
 TEXT_DIMENSIONS = 1 << 17
 META_DIMENSIONS = 1 << 9
@@ -93,33 +97,66 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"quality": chunk.column("quality"), "toxic": chunk.column("toxic"), "text": _pack(text), "meta": _pack(meta)})
 
 
+def _limits(curve: tuple[float, float], confidence: float) -> tuple[float, float]:
+    """Margins up to which (class 0) and from which (class 1) a calibrated view is certain; none where it tells nothing."""
+    slope, shift = curve
+    if slope <= 0:
+        return -np.inf, np.inf
+    odds = np.log(confidence / (1 - confidence))
+    return (-odds - shift) / slope, (odds - shift) / slope
+
+
 def _certain(shared, k: int):
-    """The documents of a task of which a view is most certain, per target, view and class; one per text."""
+    """Of a task's documents of which a view is certain, those of the ``k`` smallest text hashes, per target, view and class.
+
+    The smallest of all tasks are the smallest of the whole table, however it is cut. Texts with several metadata
+    are represented by the least.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, best = shared.value, {}
+        (models, limits), best = shared.value, {}
         for chunk in chunks(batches):
             pair = views(chunk)
-            key = [xxhash.xxh3_64_intdigest(t or "") for t in chunk.column("text").to_pylist()]
+            key = np.array([xxhash.xxh3_64_intdigest(t or "") >> 1 for t in chunk.column("text").to_pylist()], np.int64)
             for target in TARGETS:
                 for view in (0, 1):
                     m = margin(pair[view], models[target][view])
-                    for label in (0, 1):
-                        score = m if label else -m
+                    low, high = limits[target][view]
+                    for label, sure in enumerate((m <= low, m >= high)):
                         held = best.setdefault((target, view, label), {})
-                        for i in np.argsort(-score, kind="stable")[:4 * k].tolist():
-                            if key[i] not in held:
-                                held[key[i]] = (float(score[i]), *(p.col[p.at[i]:p.at[i + 1]].astype(np.int32) for p in pair))
-                        for old in sorted(held, key=lambda x: -held[x][0])[k:]:
-                            del held[old]
+                        at = np.flatnonzero(sure)
+                        if len(held) == k:
+                            at = at[key[at] <= max(held)]
+                        # a text beyond the k smallest of this chunk cannot be among those of the task
+                        at = at[key[at] <= np.unique(key[at])[:k][-1]] if len(at) else at
+                        for i in at.tolist():
+                            text, meta = (p.col[p.at[i]:p.at[i + 1]].astype(np.int32) for p in pair)
+                            old = held.get(int(key[i]))
+                            if old is None or meta.tolist() < old[1].tolist():
+                                held[int(key[i])] = (text, meta)
+                        for h in sorted(held)[k:]:
+                            del held[h]
         for (target, view, label), held in best.items():
             if held:
-                score, text, meta = zip(*held.values(), strict=True)
+                text, meta = zip(*held.values(), strict=True)
+                n = len(held)
                 yield pa.RecordBatch.from_pydict({
-                    "target": [target] * len(score), "view": pa.array([view] * len(score), pa.int32()), "label": pa.array([label] * len(score), pa.int32()),
-                    "score": pa.array(score, pa.float64()), "text": pa.array(text, pa.list_(pa.int32())), "meta": pa.array(meta, pa.list_(pa.int32()))})
+                    "target": [target] * n, "view": pa.array([view] * n, pa.int32()), "label": pa.array([label] * n, pa.int32()),
+                    "hash": pa.array(list(held), pa.int64()), "text": pa.array(text, pa.list_(pa.int32())), "meta": pa.array(meta, pa.list_(pa.int32()))})
     return run
 
 
+def pseudo_labels(base: DataFrame, models: dict, limits: dict, most: int) -> dict[tuple[str, int, int], pa.Table]:
+    """Per target, view and class at most ``most`` different texts (hash, text, meta) of which the view is certain, over all documents."""
+    shared = base.sparkSession.sparkContext.broadcast((models, limits))
+    sure = materialize(base.mapInArrow(_certain(shared, most), "target string, view int, label int, hash long, text array<int>, meta array<int>"))
+    once = sure.groupBy("target", "view", "label", "hash").agg(F.min(F.struct("meta", "text")).alias("r"))
+    place = F.row_number().over(Window.partitionBy("target", "view", "label").orderBy("hash"))
+    top = once.withColumn("_n", place).where(F.col("_n") <= most).orderBy("target", "view", "label", "hash").select("target", "view", "label", "hash", "r.text", "r.meta").toArrow()
+    shared.destroy()
+    return {(t, v, c): top.filter((pc.field("target") == t) & (pc.field("view") == v) & (pc.field("label") == c)).select(["hash", "text", "meta"])
+            for t in TARGETS for v in (0, 1) for c in (0, 1)}
+
+
 def _telling(x: Rows, y: np.ndarray, n: int) -> np.ndarray:
     """Features whose log odds between the classes are at least ``_SIGMA`` standard errors from 0."""
     one = x.back(y, n) + 0.5
@@ -157,9 +194,13 @@ class Combined:
         return sigmoid(self.logits(target, pair) @ w[:-1] + w[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = LABELLED_ROWS, rounds: int = ROUNDS, exchange: int = EXCHANGE) -> Combined | None:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = LABELLED_ROWS, rounds: int = ROUNDS, exchange_share: float = EXCHANGE_SHARE,
+          confidence: float = CONFIDENCE) -> Combined | None:
     """Fit on about ``max_rows`` labelled documents at most, chosen by a hash of doc_id; each round looks at every document.
 
+    A view hands over texts of whose class it is certain to ``confidence``, at most ``exchange_share`` of the labelled
+    training rows (and one at least) per class and round; equal texts count once.
+
     Labels are 0 or 1; rows with null labels or ids teach nothing, and several rows of one doc_id count as their
     largest labels. None when nothing is labelled.
     """
@@ -193,25 +234,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = LABELLED_ROWS, rou
                 out[t].append(_fit(stack(x[t, v]), np.concatenate(y[t, v]), given, v))
         return out
 
+    held = tuple(p.take(spare) for p in pair)
+
+    def curves_of(models):
+        return {t: [calibrate(margin(held[v], models[t][v]), label[t][spare]) for v in (0, 1)] for t in TARGETS}
+
     models = fit_all()
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(models)
-        sure = materialize(base.mapInArrow(_certain(shared, exchange), "target string, view int, label int, score double, text array<int>, meta array<int>"))
-        for t in TARGETS:
-            for v in (0, 1):
-                for c in (0, 1):
-                    top = (sure.where((F.col("target") == t) & (F.col("view") == v) & (F.col("label") == c))
-                           .orderBy(F.desc("score"), F.xxhash64("text", "meta")).limit(exchange).toArrow())
-                    if top.num_rows:
-                        x[t, 1 - v].append(_unpack(top.column(("meta", "text")[v])))
-                        y[t, 1 - v].append(np.full(top.num_rows, float(c)))
-        shared.destroy()
+        limits = {t: [_limits(c, confidence) for c in pairs] for t, pairs in curves_of(models).items()}
+        for (t, v, c), found in pseudo_labels(base, models, limits, max(1, int(exchange_share * len(rows)))).items():
+            if found.num_rows:
+                x[t, 1 - v].append(_unpack(found.column(("meta", "text")[v])))
+                y[t, 1 - v].append(np.full(found.num_rows, float(c)))
         models = fit_all()
     out = Combined()
-    out.models = models
-    held = tuple(p.take(spare) for p in pair)
+    out.models, out.curves = models, curves_of(models)
     for t in TARGETS:
-        out.curves[t] = [calibrate(margin(held[v], models[t][v]), label[t][spare]) for v in (0, 1)]
         z = out.logits(t, held)
         out.mixer[t] = fit_logistic(Rows(np.arange(len(z) + 1) * 2, np.tile([0, 1], len(z)), z.reshape(-1)), label[t][spare], 2, l2=1e-3)
     return out

@@ -173,6 +173,25 @@ def test_quality_catches_labelled_cases(spark):
     assert quality.train(odd, table(spark, sf, "labels").where("false")) is None
 
 
+def test_quality_hands_over_each_text_once(spark, sf):
+    """Copies over 64 tasks are one pseudo-label; the answer is that of all documents at once, however they are cut."""
+    docs = table(spark, sf, "documents")
+    one = docs.where("length(text) > 200").orderBy("doc_id").limit(1)
+    many = docs.unionByName(one.withColumn("doc_id", F.explode(F.sequence(F.lit(100000), F.lit(100300)))).select(docs.columns))
+    models = {t: [np.ones(n) for n in (quality.TEXT_DIMENSIONS, quality.META_DIMENSIONS)] for t in quality.TARGETS}
+    for most in (5, 10_000):
+        limits = {t: [(60.0, 60.0), (-np.inf, -np.inf)] for t in quality.TARGETS}  # margins are counts of features here
+        cut = [quality.pseudo_labels(quality._base(d).repartition(n), models, limits, most) for d, n in ((docs, 1), (many, 64))]
+        for key, want in cut[0].items():
+            assert cut[1][key].equals(want) and len(set(want["hash"].to_pylist())) == want.num_rows <= most
+        texts = {r.text for r in docs.collect()}
+        assert cut[0]["toxic", 1, 1].num_rows == min(most, len(texts))
+        assert cut[0]["toxic", 0, 0].num_rows + cut[0]["toxic", 0, 1].num_rows >= min(most, len(texts)) and not cut[0]["toxic", 1, 0].num_rows
+    assert quality._limits((0.0, 1.0), 0.9) == (-np.inf, np.inf)
+    low, high = quality._limits((2.0, 1.0), 0.9)
+    assert 1 / (1 + np.exp(-(2 * high + 1))) == pytest.approx(0.9) and 1 / (1 + np.exp(-(2 * low + 1))) == pytest.approx(0.1)
+
+
 def test_lm_scores(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     vocabulary, weights = lm_score.train(docs)
