@@ -1,5 +1,6 @@
 """Similarity search, near duplicates, language, quality, LM scores, chats and the pipeline on small tables."""
 
+import itertools
 import re
 
 import numpy as np
@@ -274,21 +275,54 @@ def test_blocks_do_not_change_the_path(spark, sf, monkeypatch, block):
     rows = transcripts.format_chats(turns).collect()
     lines = sorted(transcripts.ordered(turns).collect(), key=lambda r: (r.conv_id, r._rank))
     model = transcripts.train(transcripts.ordered(turns))
-    want = {}
+    want, last = {}, None
     for conv in {r.conv_id for r in lines}:
         mine = [r for r in lines if r.conv_id == conv]
         features = {k: np.array([r[k] for r in mine]) for k in transcripts._FEATURES}
-        for r, s in zip(mine, model.decode(model.emissions(features), model.entry()), strict=True):
-            want[conv, r._rank] = model.roles[s]
+        for r, s in zip(mine, model.decode(model.emissions(features), model.moves(features), model.entry()), strict=True):
+            if (conv, r._row, s) != last:
+                want[conv, r._rank] = model.roles[s]
+            last = conv, r._row, s
     assert {(r.conv_id, r.line): r.role_pred for r in rows} == want and len(rows) == len(want)
 
 
+def test_viterbi_finds_the_best_of_all_paths():
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        model = transcripts.Model(["assistant", "system", "user"], rng.integers(0, 9, (2, 4, 3)), {k: rng.integers(0, 9, (3, n)) for k, n in transcripts._SIZES.items()})
+        f = {k: rng.integers(0, n, 6) for k, n in transcripts._SIZES.items()}
+        emit, moves = model.emissions(f), model.moves(f)
+
+        def total(path):
+            return sum(model.steps[k, b, s] + e[s] for e, k, b, s in zip(emit, moves, (3, *path), path))
+        got = model.decode(emit, moves, model.entry())
+        assert total(got) == pytest.approx(max(map(total, itertools.product(range(3), repeat=6))))
+
+
+def test_transcript_in_one_row(spark, sf):
+    """Lines of one row are given to their speakers, with labelled rows that hold no marker at all."""
+    turns = table(spark, sf, "conversations")
+    one = [(900001, 0, None, "Human: hi there\nAI: yes indeed\n\nand more\nHuman: ok then"), (900002, 0, None, "[INSTRUCTION] be brief\nQ: what is it?\nA: a thing  "),
+           (900003, 0, None, "plain words\nof one speaker")]
+    found = transcripts.format_chats(turns.unionByName(spark.createDataFrame(one, "conv_id long, turn int, role string, text string").select(
+        *[F.col(c).cast(t).alias(c) for c, t in turns.select("conv_id", "turn", "role", "text").dtypes])))
+    got = sorted((r.conv_id, r.line, r.role_pred, r.rendered, r.text) for r in found.where("conv_id > 900000").collect())
+    assert [g[:4] for g in got[:6]] == [
+        (900001, 1, "user", "<|user|>\nhi there\n"), (900001, 2, "assistant", "<|assistant|>\nyes indeed\n\nand more\n"), (900001, 5, "user", "<|user|>\nok then\n"),
+        (900002, 1, "system", "<|system|>\nbe brief\n"), (900002, 2, "user", "<|user|>\nwhat is it?\n"), (900002, 3, "assistant", "<|assistant|>\na thing\n")]
+    assert len(got) == 7 and got[6][4] == one[2][3]
+    for conv, _, _, text in one:
+        assert "\n".join(g[4] for g in got if g[0] == conv) == text
+
+
 def test_chat_odd_rows(spark):
     rows = [(1, 0, "user", "Human: hi  "), (1, 1, "assistant", "AI: yes"), (1, 1, "assistant", "AI: yes"), (1, None, None, None), (None, 5, "user", "q: what?"), (None, None, None, ""),
-            (2, 0, "system", "be nice " * 20000)]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("line", F.lit("x"))
+            (2, 0, "system", "be nice " * 20000), (2, 1, "user", "line\n" * 20000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("line", F.lit("x")).withColumn("_row", F.lit("mine")).withColumn("marker", F.col("turn"))
     got = transcripts.format_chats(df).collect()
-    assert len(got) == len(rows) and any(r.rendered == "<|user|>\nhi\n" for r in got)
+    assert len(got) >= len(rows) and any(r.rendered == "<|user|>\nhi\n" for r in got) and {r["_row"] for r in got} == {"mine"}
+    assert sorted((r.conv_id or 0, r.turn or 0) for r in got if r.marker == r.turn) == sorted((r.conv_id or 0, r.turn or 0) for r in got)
+    assert "\n".join(r.text for r in sorted(got, key=lambda r: r.line) if (r.conv_id, r.turn) == (2, 1)) == rows[-1][3]
     assert transcripts.format_chats(df.withColumn("role", F.lit(None).cast("string"))).where("role_pred IS NULL").count() == len(rows)
     assert transcripts.format_chats(df.where("false")).count() == 0
 
