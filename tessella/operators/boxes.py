@@ -5,12 +5,14 @@ Boxes are half-open: ``(slide_id, box_id, y, x, h, w)`` covers [y, y + h) x [x,
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import prefix_scan
 from ..session import Table, materialize
 from .components import component_stats, label_components
 from .graph import min_roots
@@ -235,59 +237,130 @@ def _iou(box: np.ndarray, others: np.ndarray) -> np.ndarray:
     return inter / (area(box) + area(others) - inter)
 
 
+_CORNERS = ("y0", "x0", "y1", "x1")
+WIDE = 16  # sides of its largest box that a cell of suppression spans
+
+
+def _side(level: str, size: int) -> Column:
+    return F.lit(float(size)) * F.pow(F.lit(2.0), F.col(level) + 1)
+
+
+def _home(df: DataFrame, size: int, shift: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """The one cell of a box: on the level of its larger side, by its first corner."""
+    out = df.withColumn("_at", F.col("_lv"))
+    for c, a, s in (("_cy", "y0", shift[0]), ("_cx", "x0", shift[1])):
+        out = out.withColumn(c, F.floor(F.col(a) / _side("_lv", size) + s))
+    return out
+
+
+def _reaching(df: DataFrame, iou: float, span: tuple[int, int], size: int, shift: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
+    """A row per cell that may be home to a box overlapping this one by more than ``iou``. Such boxes have sides of at least ``iou`` times
+    the other's, so levels are near, and first corners at most the rest of a side apart. ``_y``, ``_x`` hold the reach in each direction."""
+    apart = int(np.ceil(np.log2(1 / iou) + 1e-9)) if iou > 0 else span[1] - span[0]
+    out = df.drop("_at", "_cy", "_cx").withColumn(
+        "_at", F.explode(F.sequence(F.greatest(F.col("_lv") - apart, F.lit(span[0])), F.least(F.col("_lv") + apart, F.lit(span[1])))))
+    for c, r, s in (("_cy", "_y", shift[0]), ("_cx", "_x", shift[1])):
+        side = _side("_at", size)
+        low = F.floor((F.col(f"{r}.low") - _slack(iou) * _side("_at", 1)) / side + s)
+        out = out.withColumn(c, F.explode(F.sequence(low, F.floor(F.col(f"{r}.high") / side + s))))
+    return out
+
+
+def _slack(iou: float) -> Column:
+    return F.lit(1 - iou + 1e-6)
+
+
+def _own_reach(iou: float) -> dict[str, Column]:
+    return {r: F.struct(F.col(a).alias("low"), (F.col(a) + _slack(iou) * (F.col(b) - F.col(a))).alias("high")) for r, a, b in (("_y", "y0", "y1"), ("_x", "x0", "x1"))}
+
+
+def _best_first():
+    return [F.desc("conf"), F.asc_nulls_last("det_id"), F.asc("_row")]
+
+
+def _greedy_cell(iou: float):
+    """Detections of one cell that surely stay. Boxes of other cells may or may not stay: what they overlap waits, unless a kept box
+    overlaps it. Behind the first mark other boxes may be hidden, so nothing is decided there."""
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t, sort_keys=[("conf", "descending"), ("det_id", "ascending"), ("_row", "ascending")], null_placement="at_end"))
+        mark = t["_mark"].to_numpy()
+        t = t.slice(0, int(mark.argmax()) if mark.any() else len(mark))
+        own = t["_own"].to_numpy()
+        box = np.stack([t[c].to_numpy() for c in _CORNERS], axis=1) if len(own) else np.empty((0, 4))
+        alive, sure, kept = np.ones(len(own), dtype=bool), own.copy(), []
+        for i in range(int(np.flatnonzero(own)[-1]) + 1 if own.any() else 0):
+            if not alive[i]:
+                continue
+            rest = np.flatnonzero(alive[i + 1:]) + i + 1
+            over = rest[_iou(box[i], box[rest]) > iou]
+            if sure[i]:
+                kept.append(i)
+                alive[over] = False
+            else:
+                sure[over] = False
+        return t.drop_columns(["_own", "_mark"]).take(pa.array(kept, pa.int64()))
+    return run
+
+
 def nms(detections: DataFrame, keys: list[str], conf: float = 0.25, iou: float = 0.45, max_det: int = 1000,
-        chunk: int = 20_000) -> DataFrame:
+        chunk: int = 2048) -> DataFrame:
     """Greedy non-maximum suppression per class: by falling confidence a detection ``(keys, det_id, cls, conf,
     y0, x0, y1, x1)`` stays unless it overlaps a kept one of its class by more than ``iou``; the ``max_det``
-    best of a group stay.
-
-    A group is taken in confidence order, ``chunk`` detections per step; later steps first drop what the at
-    most ``max_det`` kept ones suppress. One step is the rule; only groups beyond ``chunk`` need more.
+    best of a group stay. Of equal confidences the smaller ``det_id`` goes first, null last, then any order of equal rows. Null keys and
+    null classes are groups of their own; a null or NaN confidence takes no part; a box without area or with a null or non-finite corner
+    overlaps nothing.
+
+    Rounds over all groups at once. A cell decides its ``chunk`` best open detections in one task, next to those of other cells that may
+    overlap them; the grid moves from round to round, so that chains over borders come apart. What newly kept ones overlap then leaves,
+    and so does all behind the ``max_det``-th kept one of its group. Neither a crowded place nor equal scores put more than ``chunk``
+    detections of a cell into a task, and kept ones can't crowd. A very low ``iou`` costs copies over more levels of size.
     """
-    cols = detections.columns
-    cand = detections.where(F.col("conf") > conf).withColumn("_o", -F.col("conf"))
-    ranked = Table(prefix_scan(cand, keys, ["_o", "det_id"], F.floor(F.col("_o") * 65536), "_rn")
-                   .withColumn("_step", F.floor((F.col("_rn") - 1) / chunk)), steps=F.max("_step"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in detections.schema)
-
-    def greedy(pdf):
-        pdf = pdf.sort_values(["conf", "det_id"], ascending=[False, True])
-        box, cls = pdf[["y0", "x0", "y1", "x1"]].to_numpy(dtype=float), pdf["cls"].to_numpy()
-        alive, kept = np.ones(len(pdf), dtype=bool), []
-        for i in range(len(pdf)):
-            if not alive[i]:
-                continue
-            kept.append(i)
-            if len(kept) == max_det:
-                break
-            rest = np.nonzero(alive[i + 1:] & (cls[i + 1:] == cls[i]))[0] + i + 1
-            alive[rest[_iou(box[i], box[rest]) > iou]] = False
-        return pdf.iloc[kept][cols]
-
-    def overlap(k):
-        h = F.least(k["y1"], F.col("y1")) - F.greatest(k["y0"], F.col("y0"))
-        w = F.least(k["x1"], F.col("x1")) - F.greatest(k["x0"], F.col("x0"))
-        inter = F.greatest(h, F.lit(0)) * F.greatest(w, F.lit(0))
-        area = (k["y1"] - k["y0"]) * (k["x1"] - k["x0"]) + (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
-        return (k["cls"] == F.col("cls")) & (inter / (area - inter) > iou)
-
-    kept = None
-    for step in range(int(ranked.metrics["steps"] or 0) + 1):
-        part = ranked.df.where(F.col("_step") == step).select(*cols)
-        if kept is not None:
-            had = kept.groupBy(*keys).agg(F.collect_list(F.struct("cls", "y0", "x0", "y1", "x1")).alias("_k"))
-            part = part.join(had, keys, "left").where(F.coalesce(F.size("_k"), F.lit(0)) < max_det).where(
-                ~F.coalesce(F.exists("_k", overlap), F.lit(False))).select(*cols)
-        new = part.groupBy(*keys).applyInPandas(greedy, schema)
-        if kept is None:
-            kept = new
-        else:
-            # what a group may still add is what it lacks to max_det
-            n = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            w = Window.partitionBy(*keys).orderBy(F.desc("conf"), "det_id")
-            fits = new.withColumn("_r", F.row_number().over(w)).join(n, keys, "left").where(
-                F.col("_r") + F.coalesce("_n", F.lit(0)) <= max_det).select(*cols)
-            kept = kept.unionByName(fits)
-        if ranked.metrics["steps"]:
-            kept = materialize(kept)
-    return kept
+    if iou < 0:
+        raise ValueError("iou must not be negative")
+    group = list(dict.fromkeys([*keys, "cls"]))
+    base = materialize(detections.where((F.col("conf") > conf) & ~F.isnan(F.col("conf").cast("double"))).withColumn("_row", F.monotonically_increasing_id()))
+    names = list(dict.fromkeys([*group, "det_id", "conf", "_row"]))
+    boxes = base.select(*names, *[F.col(c).cast("double").alias(c) for c in _CORNERS])
+    finite = " AND ".join(f"coalesce(abs({c}) < double('infinity'), false)" for c in _CORNERS)
+    plain = F.expr(f"{finite} AND y1 > y0 AND x1 > x0") & F.lit(iou < 1)
+    longest = F.greatest(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0"))
+    seen = {"n": F.count(F.lit(1)), "low": F.min("_lv"), "high": F.max("_lv")}
+    open_ = Table(boxes.where(plain).withColumn("_lv", F.floor(F.log2(longest)).cast("int")), **seen)
+    kept, total, turn = [boxes.where(~plain).select(*names)], 0, 0
+    task_cols = [*names, *_CORNERS, "_lv", "_own", "_mark", "_at", "_cy", "_cx"]
+    while open_.metrics["n"]:
+        span = (open_.metrics["low"], open_.metrics["high"])
+        shift = (turn % 2 * 0.5, turn // 2 % 2 * 0.5)
+        cell = [*group, "_at", "_cy", "_cx"]
+        head = (_home(open_.df, WIDE, shift).withColumn("_n", F.row_number().over(Window.partitionBy(*cell).orderBy(*_best_first())))
+                .where(F.col("_n") <= chunk + 1).withColumn("_mark", F.col("_n") > chunk)
+                .withColumn("_home", F.struct("_at", "_cy", "_cx")))
+        for (r, own), c, s in zip(_own_reach(iou).items(), ("_cy", "_cx"), shift):
+            low = (F.col(c) - s) * _side("_lv", WIDE)  # a mark stands for any box of its cell
+            hidden = F.struct(low.alias("low"), (low + _side("_lv", WIDE) + _side("_lv", 1)).alias("high"))
+            head = head.withColumn(r, F.when(F.col("_mark"), hidden).otherwise(own))
+        seen_by = _reaching(head, iou, span, WIDE, shift).withColumn("_own", ~F.col("_mark") & (F.col("_home") == F.struct("_at", "_cy", "_cx"))).select(*task_cols)
+        shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in seen_by.schema if f.name not in ("_own", "_mark"))
+        new = Table(seen_by.groupBy(*cell).applyInArrow(_greedy_cell(iou), shape), n=F.count(F.lit(1)))
+        kept.append(new.df.select(*names))
+        total += new.metrics["n"]
+
+        fine = _reaching(new.df.withColumns(_own_reach(iou)), iou, span, 1).select(*[F.col(c).alias(f"k_{c}") for c in (*cell, *_CORNERS)])
+        h, w = (F.greatest(F.least(b, f"k_{b}") - F.greatest(a, f"k_{a}"), F.lit(0.0)) for a, b in (("y0", "y1"), ("x0", "x1")))
+        area = F.expr("(y1 - y0) * (x1 - x0) + (k_y1 - k_y0) * (k_x1 - k_x0)")
+        over = reduce(lambda p, q: p & q, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in group] + [F.col(c) == F.col(f"k_{c}") for c in ("_at", "_cy", "_cx")])
+        left = _home(open_.df, 1).join(fine, over & (h * w / (area - h * w) > iou), "left_anti").select(*open_.df.columns)
+        if total >= max_det:  # a group may be complete
+            done = _best(reduce(DataFrame.unionByName, kept), keys, max_det).where(F.col("_n") == max_det).select(
+                *[F.col(k).alias(f"k_{k}") for k in keys], F.col("conf").alias("k_conf"))
+            behind = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys], F.col("conf") < F.col("k_conf"))
+            left = left.join(done, behind, "left_anti")
+        nxt = Table(left, **seen)
+        open_.drop()
+        open_, turn = nxt, turn + 1
+    best = _best(reduce(DataFrame.unionByName, kept), keys, max_det).select("_row")
+    return base.join(best, "_row", "left_semi").select(*detections.columns)
+
+
+def _best(kept: DataFrame, keys: list[str], max_det: int) -> DataFrame:
+    return kept.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*_best_first()))).where(F.col("_n") <= max_det)

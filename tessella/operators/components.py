@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import Table, materialize
 from .graph import connected_roots, min_roots
-from .raster import PIXEL, pixel_frame
+from .raster import PIXEL
 
 # A pixel is coded row * 2^32 + col, so the smallest code of a region is its first pixel in row-major order.
 _CODE = "shiftleft(cast(row as bigint), 32) + col"
@@ -105,20 +105,118 @@ def filter_regions(px: DataFrame, diagonal: float, connectivity: int = 4, foregr
     return kept.unionByName(base.where(~fg))
 
 
+def _hole_parts(connectivity: int, tile: int):
+    """The background of one tile that holds foreground, as parts: box, whether it is too large to be filled, its pixels as runs if it is
+    not, and its pixels next to other tiles. A tile without background gives one row without part."""
+    run_type = pa.struct([("row", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
+
+    def lists(values: pa.Array, owner: np.ndarray, n: int) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n + 1)), pa.int32()), values)
+
+    def run(t: pa.Table) -> pa.Table:
+        tr, tc, rows, cols, limit = (t[c][0].as_py() for c in ("_tr", "_tc", "_rows", "_cols", "_limit"))
+        top, west = tr * tile, tc * tile
+        h, w = min(tile, rows - top), min(tile, cols - west)
+        free = np.ones((h, w), dtype=bool)
+        free[t["row"].to_numpy() - top, t["col"].to_numpy() - west] = False
+        r, c = np.nonzero(free)
+        if not len(r):
+            out = {"part": pa.nulls(1, pa.int64()), "big": pa.array([True]), **{k: pa.array([0], pa.int32()) for k in ("y0", "x0", "y1", "x1")},
+                   "runs": pa.nulls(1, pa.list_(run_type)), "rim": pa.nulls(1, pa.list_(pa.int64()))}
+            n = 1
+        else:
+            part = _tile_labels(np.zeros(len(r), np.int64), r, c, connectivity)
+            order = np.argsort(part, kind="stable")  # row-major inside a part
+            r, c, part = r[order] + top, c[order] + west, part[order]
+            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            n, at = len(cut), np.cumsum(np.r_[False, part[1:] != part[:-1]])
+            box = {"y0": r[cut], "x0": np.minimum.reduceat(c, cut), "y1": np.maximum.reduceat(r, cut) + 1, "x1": np.maximum.reduceat(c, cut) + 1}
+            reach = np.sqrt(((box["y1"] - box["y0"]) ** 2 + (box["x1"] - box["x0"]) ** 2).astype(float))
+            big = ~(reach <= (np.nan if limit is None else limit))
+            begin = np.r_[True, (at[1:] != at[:-1]) | (r[1:] != r[:-1]) | (c[1:] != c[:-1] + 1)]
+            first = np.flatnonzero(begin)
+            last = np.r_[first[1:], len(r)] - 1
+            fits = ~big[at[first]]
+            first, last = first[fits], last[fits]
+            runs = pa.StructArray.from_arrays([pa.array(v, pa.int32()) for v in (r[first], c[first], c[last])], fields=list(run_type))
+            edge = ((r == top) & (top > 0)) | ((r == top + h - 1) & (top + h < rows)) | ((c == west) & (west > 0)) | ((c == west + w - 1) & (west + w < cols))
+            code = (r.astype(np.int64) << 32) + c
+            out = {"part": pa.array(code[cut]), "big": pa.array(big), **{k: pa.array(v, pa.int32()) for k, v in box.items()},
+                   "runs": lists(runs, at[first], n), "rim": lists(pa.array(code[edge]), at[edge], n)}
+        keys = {k: t[k].take(pa.array(np.zeros(n, np.int64))) for k in ("slide_id", "_tr", "_tc", "_limit")}
+        return pa.table({**keys, **out})
+    return run
+
+
+def _steps(offsets: list[tuple[int, int]]):
+    return F.explode(F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in offsets])).alias("s")
+
+
 def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity: int = 4,
                foreground: list[int] | None = None, fill_value: int = 1, tile: int = 512,
                spacings: DataFrame | None = None) -> DataFrame:
     """Give small background regions the fill value; one that touches the slide border counts as well.
-    Returns the stored pixels plus the filled ones. The threshold is as in ``filter_regions``."""
+    Returns the stored pixels plus the filled ones. The threshold is as in ``filter_regions``.
+
+    The background is never laid out. A tile with foreground yields its background parts, a tile without is one part. Parts that are
+    too large alone can't belong to a small region: they only mark their neighbours, and no chain of parts is followed through them.
+    Regions are put together from the small parts that reach another tile; pixels are written for what is filled.
+    """
     fg = F.col("label").isin(foreground) if foreground is not None else F.col("label") != 0
+    fg = F.coalesce(fg, F.lit(False))
     base = px.select(*PIXEL, "label")
-    holes = pixel_frame(levels, tile).join(base.where(fg).select(*PIXEL), PIXEL, "left_anti")
-    comps = label_components(holes.withColumn("label", F.lit(0)), connectivity, tile)
-    small = _small_regions(comps, diagonal, spacings)
-    filled = (comps.join(small, ["slide_id", "comp"], "left_semi")
-              .select(*PIXEL, F.lit(fill_value).alias("label")))
-    rest = base.join(filled.select(*PIXEL), PIXEL, "left_anti")
-    return rest.unionByName(filled)
+    size = levels.select("slide_id", F.col("rows").cast("int").alias("_rows"), F.col("cols").cast("int").alias("_cols"))
+    if spacings is None:
+        size = size.withColumn("_limit", F.lit(float(diagonal)))
+    else:
+        size = size.join(spacings.select("slide_id", (diagonal / F.col("spacing")).cast("double").alias("_limit")), "slide_id", "left")
+    here = [F.floor(F.col(c) / tile).cast("int").alias(f"_t{c[0]}") for c in ("row", "col")]
+    inside = base.where(fg).join(size, "slide_id").where("row >= 0 AND col >= 0 AND row < _rows AND col < _cols").select(
+        "slide_id", "row", "col", "_rows", "_cols", "_limit", *here)
+    shape = (f"slide_id {px.schema['slide_id'].dataType.simpleString()}, _tr int, _tc int, _limit double, part bigint, big boolean, y0 int, x0 int, y1 int, x1 int, "
+             "runs array<struct<row: int, first: int, last: int>>, rim array<bigint>")
+    parts = materialize(inside.groupBy("slide_id", "_tr", "_tc").applyInArrow(_hole_parts(connectivity, tile), shape))
+
+    at = ["slide_id", "_tr", "_tc"]
+    grid = (size.withColumn("_tr", F.explode(F.expr(f"sequence(0, cast(ceil(_rows / {tile}) as int) - 1)")))
+            .withColumn("_tc", F.explode(F.expr(f"sequence(0, cast(ceil(_cols / {tile}) as int) - 1)"))).where("_rows > 0 AND _cols > 0"))
+    y0, x0 = F.col("_tr") * tile, F.col("_tc") * tile
+    empty = grid.join(parts.select(*at).distinct(), at, "left_anti").select(
+        *at, "_limit", y0.alias("y0"), x0.alias("x0"), F.least(y0 + tile, "_rows").alias("y1"), F.least(x0 + tile, "_cols").alias("x1"))
+    reach = F.expr("sqrt(cast((y1 - y0) * (y1 - y0) + (x1 - x0) * (x1 - x0) as double))")
+    empty = empty.withColumn("part", F.expr("shiftleft(cast(y0 as bigint), 32) + x0")).withColumn("big", ~F.coalesce(reach <= F.col("_limit"), F.lit(False)))
+
+    forward = _FORWARD[connectivity]
+    rim = parts.select(*at, "part", "big", F.explode("rim").alias("_c")).select(
+        *at, "part", "big", F.shiftright("_c", 32).cast("int").alias("row"), F.col("_c").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("col"))
+    moved = rim.select("*", _steps(forward + [(-dr, -dc) for dr, dc in forward])).select(
+        "slide_id", F.col("part").alias("a"), F.col("big").alias("a_big"), (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"),
+        F.col("_tr").alias("_r"), F.col("_tc").alias("_c"), F.expr(f"array_contains(array({', '.join(f'{dr * 3 + dc}' for dr, dc in forward)}), s.dr * 3 + s.dc)").alias("_on")
+    ).select("*", *here).where("_tr != _r OR _tc != _c")
+    other = [F.col("part").alias("b"), F.col("big").alias("b_big")]
+    pixel_pairs = moved.where("_on").join(rim.select(*PIXEL, *other), PIXEL)
+    beside_empty = moved.select(*at, "a", "a_big").distinct().join(empty.select(*at, *other), at)
+    empty_pairs = (empty.select("slide_id", F.col("part").alias("a"), F.col("big").alias("a_big"), "_tr", "_tc", _steps(forward))
+                   .withColumn("_tr", F.col("_tr") + F.col("s.dr")).withColumn("_tc", F.col("_tc") + F.col("s.dc")).join(empty.select(*at, *other), at))
+    link = ["slide_id", "a", "a_big", "b", "b_big"]
+    links = materialize(pixel_pairs.select(*link).union(beside_empty.select(*link)).union(empty_pairs.select(*link)).where("NOT (a_big AND b_big)").distinct())
+    marked = links.where("a_big != b_big").select("slide_id", F.when(F.col("a_big"), F.col("b")).otherwise(F.col("a")).alias("part"), F.lit(True).alias("_open")).distinct()
+    roots = connected_roots(links.where("NOT a_big AND NOT b_big").select("slide_id", "a", "b")).withColumnRenamed("node", "part")
+
+    whole = F.expr("transform(sequence(y0, y1 - 1), r -> struct(r as row, x0 as first, x1 - 1 as last))")
+    keep = ["slide_id", "part", "_limit", "y0", "x0", "y1", "x1", "runs"]
+    fits = parts.where("NOT big")
+    crossing = fits.where("size(rim) > 0").select(*keep).unionByName(empty.where("NOT big").withColumn("runs", whole).select(*keep))
+    crossing = (crossing.join(roots, ["slide_id", "part"], "left").join(marked, ["slide_id", "part"], "left").withColumn("root", F.coalesce("root", "part")))
+    small = (crossing.groupBy("slide_id", "root").agg(F.min("y0").alias("y0"), F.min("x0").alias("x0"), F.max("y1").alias("y1"), F.max("x1").alias("x1"),
+                                                      F.max("_limit").alias("_limit"), F.max("_open").alias("_open"))
+             .where(F.col("_open").isNull() & (reach <= F.col("_limit"))).select("slide_id", "root"))
+    runs = fits.where("size(rim) = 0").select("slide_id", "runs").unionByName(
+        crossing.join(small, ["slide_id", "root"], "left_semi").select("slide_id", "runs"))
+    filled = (runs.select("slide_id", F.inline("runs")).select("slide_id", "row", F.explode(F.sequence("first", "last")).alias("col"))
+              .select("slide_id", *[F.col(c).cast(px.schema[c].dataType).alias(c) for c in ("row", "col")], F.lit(fill_value).alias("label")))
+    rest = base.where(~fg).join(filled.select(*PIXEL), PIXEL, "left_anti")
+    return base.where(fg).unionByName(rest).unionByName(filled)
 
 
 def remove_small_objects(px: DataFrame, min_size: int) -> DataFrame:

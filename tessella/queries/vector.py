@@ -240,7 +240,13 @@ def _(spark, d):
     return B.score_threshold(dt, 100, 100).select("slide_id", "row", "col", "idx")
 
 
-@query("nms")
+@query("nms", DET + """, ranked AS (SELECT slide_id, cls, list(struct_pack(det_id := det_id, conf := conf, y := y::DOUBLE, x := x::DOUBLE, s := side::DOUBLE) ORDER BY conf DESC, det_id) AS ds
+  FROM det WHERE conf > 0.25 GROUP BY slide_id, cls),
+folded AS (SELECT slide_id, cls, unnest(list_reduce(list_transform(ds, lambda d: [d]), lambda kept, d: CASE WHEN len(list_filter(kept, lambda k:
+   greatest(least(k.y + k.s, d[1].y + d[1].s) - greatest(k.y, d[1].y), 0) * greatest(least(k.x + k.s, d[1].x + d[1].s) - greatest(k.x, d[1].x), 0)
+   > 0.45 * (k.s * k.s + d[1].s * d[1].s - greatest(least(k.y + k.s, d[1].y + d[1].s) - greatest(k.y, d[1].y), 0) * greatest(least(k.x + k.s, d[1].x + d[1].s) - greatest(k.x, d[1].x), 0)))) > 0
+   THEN kept ELSE list_concat(kept, d) END)) AS d FROM ranked)
+SELECT slide_id, d.det_id AS det_id, cls, d.conf AS conf FROM folded QUALIFY row_number() OVER (PARTITION BY slide_id ORDER BY d.conf DESC, d.det_id) <= 1000""")
 def _(spark, d):
     dt = view(spark, d, "det").select("slide_id", "det_id", "cls", "conf", F.col("y").cast("double").alias("y0"), F.col("x").cast("double").alias("x0"),
                                       (F.col("y") + F.col("side")).cast("double").alias("y1"), (F.col("x") + F.col("side")).cast("double").alias("x1"))

@@ -181,6 +181,48 @@ def test_merge_boxes(spark, kind):
     assert B.merge_boxes(df.where("false")).count() == 0
 
 
+def brute_fill(g, limit, diag):
+    comp, out = flood((g == 0).astype(int), diag), g.copy()
+    for root in set(comp.values()):
+        at = np.array([p for p, k in comp.items() if k == root])
+        h, w = at.max(0) - at.min(0) + 1
+        if np.hypot(h, w) <= limit:
+            out[tuple(at.T)] = 5
+    return out
+
+
+@pytest.mark.parametrize("connectivity", [4, 8])
+@pytest.mark.parametrize("limit,tile", [(2.5, 6), (7.0, 3), (14.0, 5), (100.0, 4)])
+def test_fill_holes_brute(spark, limit, tile, connectivity):
+    rng = np.random.default_rng(3)
+    dense = (rng.random((23, 31)) < 0.6).astype(int)
+    ring = np.zeros((17, 19), int)  # empty tiles inside and outside of a ring, closed but for a diagonal step
+    ring[1, 2:16] = ring[14, 2:16] = ring[2:14, 1] = ring[2:14, 16] = 2
+    full, nothing = np.ones((9, 9), int), np.zeros((9, 8), int)
+    grids = [dense, ring, full, nothing]
+    px = to_df(spark, grids).where("label != 0")
+    want = [brute_fill(g, limit, connectivity == 8) for g in grids]
+    got = [np.zeros_like(g) for g in grids]
+    rows = C.fill_holes(px, frame(spark, grids), limit, connectivity, fill_value=5, tile=tile).collect()
+    for r in rows:
+        got[r.slide_id][r.row, r.col] = r.label
+    assert len(rows) == sum(int((g != 0).sum()) for g in want)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
+def test_fill_holes_spacing_and_stored_background(spark):
+    g = np.ones((6, 6), int)
+    g[2:4, 2] = 0
+    g[5, 5] = 3
+    px = to_df(spark, [g, g, g]).withColumn("label", F.when(F.col("slide_id") * 100 + F.col("row") * 10 + F.col("col") == 45, None).otherwise(F.col("label")))
+    spacings = spark.createDataFrame([(0, 1.0), (1, 4.0)], "slide_id int, spacing double")  # the third slide has none
+    out = C.fill_holes(px, frame(spark, [g, g, g]), 3.0, foreground=[1], fill_value=9, tile=4, spacings=spacings)
+    rows = {(r.slide_id, r.row, r.col): r.label for r in out.collect()}
+    assert len(rows) == out.count() == 108
+    assert {k for k, v in rows.items() if v == 9} == {(0, 2, 2), (0, 3, 2), (0, 5, 5), (0, 4, 5)}
+    assert rows[1, 2, 2] == 0 and rows[2, 2, 2] == 0 and rows[1, 5, 5] == 3
+
+
 def brute_nms(rows, conf, iou, top):
     kept = []
     for d in sorted((r for r in rows if r[3] > conf), key=lambda r: (-r[3], r[1])):
@@ -205,6 +247,33 @@ def test_nms(spark, chunk, top):
     assert got == brute_nms(rows, 0.25, 0.45, top)
 
 
+@pytest.mark.parametrize("chunk,top", [(2048, 1000), (40, 1000), (40, 30)])
+def test_nms_crowds_sizes_and_ties(spark, chunk, top):
+    rng, rows = np.random.default_rng(8), []
+    for i in range(700):  # a third in one place, a chain over many cells, sizes from 1 to 300, many equal scores
+        y, x = map(float, rng.integers(0, 4, 2) if i % 3 == 0 else rng.integers(0, 900, 2))
+        s = float(2.0 ** rng.integers(0, 9) * (1 + rng.random() / 5))
+        if i % 3 == 1:
+            y, x, s = 40.0, 3.0 * i, 10.0
+        rows.append((int(i % 2), i, None if i % 5 == 0 else "b", round(0.2 + 0.8 * float(rng.random()), 1) if i % 3 != 1 else 0.9 - i / 1000, y, x, y + s, x + s))
+    df = spark.createDataFrame(rows, "slide_id int, det_id long, cls string, conf double, y0 double, x0 double, y1 double, x1 double")
+    got = {r.det_id for r in B.nms(df, ["slide_id"], 0.25, 0.45, top, chunk).collect()}
+    assert got == {i for s in (0, 1) for i in brute_nms([r for r in rows if r[0] == s], 0.25, 0.45, top)}
+
+
+def test_nms_odd_rows(spark):
+    box = (0.0, 0.0, 4.0, 4.0)
+    rows = [(None, 1, 0, 0.9, *box), (None, 1, 0, 0.9, *box), (None, 2, 0, 0.8, *box), (0, 3, None, 0.8, *box), (0, 4, None, 0.8, *box), (0, None, None, 0.8, *box),
+            (0, 5, 1, None, *box), (0, 6, 1, float("nan"), *box), (0, 7, 1, 0.9, 0.0, 0.0, 0.0, 9.0), (0, 8, 1, 0.9, None, 0.0, 9.0, 9.0),
+            (0, 9, 1, 0.9, 0.0, 0.0, float("inf"), 9.0), (0, 10, 1, 0.2, *box)]
+    df = spark.createDataFrame(rows, "slide_id int, det_id long, cls int, conf double, y0 double, x0 double, y1 double, x1 double").selectExpr("*", "det_id AS rank", "1 AS _x")
+    out = B.nms(df, ["slide_id"])
+    assert out.columns == df.columns
+    assert sorted((r.slide_id is None, r.det_id) for r in out.collect()) == [(False, 3), (False, 7), (False, 8), (False, 9), (True, 1)]
+    assert {r.det_id for r in B.nms(df, ["slide_id"], iou=1.0).collect()} == {1, 2, 3, 4, None, 7, 8, 9}
+    assert B.nms(df.where("false"), ["slide_id"]).count() == 0
+
+
 def test_outline_paths_agree_and_dots(spark):
     g = np.zeros((12, 12), int)
     g[2:9, 3:8] = 1
