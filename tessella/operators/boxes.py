@@ -278,27 +278,59 @@ def _best_first():
     return [F.desc("conf"), F.asc_nulls_last("det_id"), F.asc("_row")]
 
 
-def _greedy_cell(iou: float):
-    """Detections of one cell that surely stay. Boxes of other cells may or may not stay: what they overlap waits, unless a kept box
-    overlaps it. Behind the first mark other boxes may be hidden, so nothing is decided there."""
-    def run(t: pa.Table) -> pa.Table:
-        t = t.take(pc.sort_indices(t, sort_keys=[("conf", "descending"), ("det_id", "ascending"), ("_row", "ascending")], null_placement="at_end"))
-        mark = t["_mark"].to_numpy()
-        t = t.slice(0, int(mark.argmax()) if mark.any() else len(mark))
-        own = t["_own"].to_numpy()
-        box = np.stack([t[c].to_numpy() for c in _CORNERS], axis=1) if len(own) else np.empty((0, 4))
-        alive, sure, kept = np.ones(len(own), dtype=bool), own.copy(), []
-        for i in range(int(np.flatnonzero(own)[-1]) + 1 if own.any() else 0):
-            if not alive[i]:
-                continue
-            rest = np.flatnonzero(alive[i + 1:]) + i + 1
-            over = rest[_iou(box[i], box[rest]) > iou]
-            if sure[i]:
-                kept.append(i)
-                alive[over] = False
-            else:
-                sure[over] = False
-        return t.drop_columns(["_own", "_mark"]).take(pa.array(kept, pa.int64()))
+def _begins(t: pa.Table, columns: list[str]) -> np.ndarray:
+    """Where rows begin that differ from the one before in any of ``columns``; null equals null."""
+    new = np.zeros(len(t), dtype=bool)
+    new[:1] = True
+    for c in columns:
+        a, b = t[c].slice(1), t[c].slice(0, max(len(t) - 1, 0))
+        new[1:] |= pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.not_equal(pc.is_null(a), pc.is_null(b))).to_numpy()
+    return np.flatnonzero(new)
+
+
+def _sure_in_cell(box: np.ndarray, own: np.ndarray, iou: float) -> list[int]:
+    """Detections of a cell, best first, that surely stay. Boxes of other cells may or may not stay: what they overlap waits, unless a kept
+    box overlaps it."""
+    alive, sure, kept = np.ones(len(own), dtype=bool), own.copy(), []
+    for i in range(int(np.flatnonzero(own)[-1]) + 1 if own.any() else 0):
+        if not alive[i]:
+            continue
+        rest = np.flatnonzero(alive[i + 1:]) + i + 1
+        over = rest[_iou(box[i], box[rest]) > iou]
+        if sure[i]:
+            kept.append(i)
+            alive[over] = False
+        else:
+            sure[over] = False
+    return kept
+
+
+def _greedy_cells(cell: list[str], iou: float):
+    """Works on rows sorted by cell, best first, and holds one cell at a time. Behind the first mark of a cell other boxes may be hidden,
+    so nothing is decided there."""
+    def decide(t: pa.Table, begin: np.ndarray) -> pa.Table:
+        own, mark = t["_own"].to_numpy(), t["_mark"].to_numpy()
+        box = np.stack([t[c].to_numpy() for c in _CORNERS], axis=1)
+        end = np.r_[begin[1:], len(own)]
+        kept = [int(i) for i in begin[end - begin == 1] if own[i]]
+        for i, j in zip(begin, end):
+            if j - i > 1:
+                if mark[i:j].any():
+                    j = i + int(mark[i:j].argmax())
+                kept += [i + k for k in _sure_in_cell(box[i:j], own[i:j], iou)]
+        return t.take(pa.array(kept, pa.int64())).drop_columns(["_own", "_mark"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            begin = _begins(t, cell)
+            if len(begin) > 1:
+                yield from decide(t.slice(0, begin[-1]), begin[:-1]).to_batches()
+            held = t.slice(begin[-1]) if len(begin) else None
+        if held is not None:
+            yield from decide(held, np.array([0])).to_batches()
     return run
 
 
@@ -341,7 +373,8 @@ def nms(detections: DataFrame, keys: list[str], conf: float = 0.25, iou: float =
             head = head.withColumn(r, F.when(F.col("_mark"), hidden).otherwise(own))
         seen_by = _reaching(head, iou, span, WIDE, shift).withColumn("_own", ~F.col("_mark") & (F.col("_home") == F.struct("_at", "_cy", "_cx"))).select(*task_cols)
         shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in seen_by.schema if f.name not in ("_own", "_mark"))
-        new = Table(seen_by.groupBy(*cell).applyInArrow(_greedy_cell(iou), shape), n=F.count(F.lit(1)))
+        by_cell = seen_by.repartition(*cell).sortWithinPartitions(*cell, *_best_first())
+        new = Table(by_cell.mapInArrow(_greedy_cells(cell, iou), shape), n=F.count(F.lit(1)))
         kept.append(new.df.select(*names))
         total += new.metrics["n"]
 

@@ -257,7 +257,11 @@ def test_nms_crowds_sizes_and_ties(spark, chunk, top):
             y, x, s = 40.0, 3.0 * i, 10.0
         rows.append((int(i % 2), i, None if i % 5 == 0 else "b", round(0.2 + 0.8 * float(rng.random()), 1) if i % 3 != 1 else 0.9 - i / 1000, y, x, y + s, x + s))
     df = spark.createDataFrame(rows, "slide_id int, det_id long, cls string, conf double, y0 double, x0 double, y1 double, x1 double")
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(batch)
+    spark.conf.set(batch, "7")  # cells lie across batches
     got = {r.det_id for r in B.nms(df, ["slide_id"], 0.25, 0.45, top, chunk).collect()}
+    spark.conf.set(batch, usual)
     assert got == {i for s in (0, 1) for i in brute_nms([r for r in rows if r[0] == s], 0.25, 0.45, top)}
 
 
