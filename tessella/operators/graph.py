@@ -10,20 +10,19 @@ from ..session import Table
 
 
 def min_roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """Smallest member of each node's component, for nodes 0..n-1 and edges a-b (array union by minimum)."""
+    """Smallest member of each node's component, for nodes 0..n-1 and edges a-b (array union by minimum).
+
+    Every node points at its root before roots are hooked, so a hook never overwrites a link that no open edge repeats."""
     root = np.arange(n)
     while a.size:
         low = np.minimum(root[a], root[b])
         np.minimum.at(root, root[a], low)
         np.minimum.at(root, root[b], low)
-        root = root[root]
+        while not np.array_equal(nxt := root[root], root):
+            root = nxt
         open_ = root[a] != root[b]
         a, b = a[open_], b[open_]
-    while True:
-        nxt = root[root]
-        if np.array_equal(nxt, root):
-            return root
-        root = nxt
+    return root
 
 
 def _contract(edges: DataFrame, key: str) -> DataFrame:
