@@ -10,6 +10,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -268,14 +269,18 @@ def rdp_mask(y: np.ndarray, x: np.ndarray, epsilon: float) -> np.ndarray:
 
 
 def rdp_simplify(annotations: DataFrame, epsilon: float) -> DataFrame:
-    """Simplify every coordinate list, in Arrow batches."""
-    @F.pandas_udf("array<struct<y: double, x: double>>")
-    def run(coords: pd.Series) -> pd.Series:
-        out = []
-        for line in coords:
-            y, x = np.array([p["y"] for p in line]), np.array([p["x"] for p in line])
-            out.append([{"y": a, "x": b} for a, b in zip(y[m], x[m])] if (m := rdp_mask(y, x, epsilon)).any() else [])
-        return pd.Series(out)
+    """Simplify every coordinate list, in Arrow batches; a missing list becomes empty."""
+    @F.arrow_udf("array<struct<y: double, x: double>>")
+    def run(coords: pa.Array) -> pa.Array:
+        points, size = coords.flatten(), coords.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        y, x = (points.field(c).to_numpy(zero_copy_only=False) for c in ("y", "x"))
+        end = np.concatenate([[0], np.cumsum(size)])
+        keep = np.zeros(len(y), dtype=bool)
+        for lo, hi in zip(end[:-1], end[1:]):
+            keep[lo:hi] = rdp_mask(y[lo:hi], x[lo:hi], epsilon)
+        at = np.concatenate([[0], np.cumsum(keep)])[end]
+        kept = pa.StructArray.from_arrays([pa.array(y[keep]), pa.array(x[keep])], ["y", "x"])
+        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), kept)
     return annotations.withColumn("coords", run("coords"))
 
 
