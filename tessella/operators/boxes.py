@@ -23,15 +23,16 @@ def _cells(df: DataFrame, a: str, b: str, out: str, cell: int) -> DataFrame:
     return df.withColumn(out, F.explode(F.sequence(F.floor(F.col(a) / cell), last)))
 
 
-def bbox_overlap_join(left: DataFrame, right: DataFrame, cell: int = 512) -> DataFrame:
-    """Pairs whose open interiors overlap in both axes, from ``(slide_id, id, y0, x0, y1, x1)`` on both sides.
+def bbox_overlap_join(left: DataFrame, right: DataFrame, cell: int = 512, keep: list[str] = ()) -> DataFrame:
+    """Pairs whose open interiors overlap in both axes, from ``(slide_id, id, y0, x0, y1, x1)`` on both sides; the right
+    one's columns ``keep`` go along.
 
     Both sides are cut along grid cells and joined on the cell key; a pair is reported only in the cell that
     holds the corner of its intersection, so no duplicates arise. Choose ``cell`` near the usual box size.
     """
     names = ("id", "y0", "x0", "y1", "x1")
     l = left.select("slide_id", *[F.col(c).alias(f"l_{c}") for c in names])  # noqa: E741
-    r = right.select("slide_id", *[F.col(c).alias(f"r_{c}") for c in names])
+    r = right.select("slide_id", *[F.col(c).alias(f"r_{c}") for c in (*names, *keep)])
     l = _cells(_cells(l, "l_y0", "l_y1", "_cy", cell), "l_x0", "l_x1", "_cx", cell)  # noqa: E741
     r = _cells(_cells(r, "r_y0", "r_y1", "_cy", cell), "r_x0", "r_x1", "_cx", cell)
     top, low = F.greatest("l_y0", "r_y0"), F.least("l_y1", "r_y1")
@@ -47,10 +48,9 @@ def patch_boxes(boxes: DataFrame, patches: DataFrame, cell: int = 512) -> DataFr
     win = patches.select("slide_id", F.col("patch_id").alias("id"), (F.col("center_row") - half("h")).alias("y0"),
                          (F.col("center_col") - half("w")).alias("x0"), (F.col("center_row") + half("h")).alias("y1"),
                          (F.col("center_col") + half("w")).alias("x1"))
-    j = bbox_overlap_join(win, boxes.withColumnRenamed("box_id", "id"), cell)
-    cls = boxes.select("slide_id", F.col("box_id").alias("r_id"), "cls")
-    return j.join(cls, ["slide_id", "r_id"]).select(
-        "slide_id", F.col("l_id").alias("patch_id"), F.col("r_id").alias("box_id"), "cls", (F.col("r_y0") - F.col("l_y0")).alias("y0"),
+    j = bbox_overlap_join(win, boxes.withColumnRenamed("box_id", "id"), cell, ["cls"])
+    return j.select(
+        "slide_id", F.col("l_id").alias("patch_id"), F.col("r_id").alias("box_id"), F.col("r_cls").alias("cls"), (F.col("r_y0") - F.col("l_y0")).alias("y0"),
         (F.col("r_x0") - F.col("l_x0")).alias("x0"), (F.col("r_y1") - F.col("l_y0")).alias("y1"), (F.col("r_x1") - F.col("l_x0")).alias("x1"))
 
 
