@@ -4,24 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = "slide_id bigint, seq bigint, value double, closed boolean"
 
 
-def _emit(next_seq: int, final: int | None, pending: dict[int, float]):
-    """The contiguous run that can leave, the next number and whether the slide is complete."""
-    out = []
-    while next_seq in pending:
-        out.append((next_seq, pending.pop(next_seq)))
-        next_seq += 1
-    return out, next_seq, final is not None and next_seq >= final
-
-
-def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int | None = None) -> DataFrame:
+NONE = -(1 << 63)  # a slide whose number of tiles is not known yet
+_SLIDES = ("slides", "nexts", "finals", "seen")  # of the open slides of a bucket
+_STATE = ", ".join(f"{c} array<bigint>" for c in (*_SLIDES, "at", "seqs")) + ", vals array<double>"
+
+
+def _stitch(held: tuple | None, batches: list[pd.DataFrame], now: int, timeout_ms: int | None) -> tuple[pd.DataFrame, tuple | None]:
+    """What leaves a bucket of slides after new messages, and what is held from now on (None: no slide is open)."""
+    slides, nexts, finals, seen, at, seqs, vals = held or ([],) * 7
+    old = pd.DataFrame({"next": nexts, "final": finals, "seen": seen}, pd.Index(slides, dtype="int64"), dtype="int64")
+    new = pd.concat(batches) if batches else pd.DataFrame({"slide": [], "seq": [], "value": [], "n_final": []})
+    new = new.astype({"slide": "int64"})
+    came = np.unique(new["slide"].to_numpy())
+    open_ = old.reindex(old.index.union(came))
+    open_ = open_.fillna({"next": 0, "final": NONE, "seen": now}).astype("int64")
+    open_.loc[came, "seen"] = now
+    ends = new.dropna(subset="n_final").drop_duplicates("slide", keep="last")
+    open_.loc[ends["slide"], "final"] = ends["n_final"].astype("int64").to_numpy()
+    tiles = new[new["seq"].notna()]
+    waiting = pd.DataFrame({"slide": np.concatenate([np.array(at, np.int64), tiles["slide"]]), "seq": np.concatenate([np.array(seqs, np.int64), tiles["seq"].astype("int64")]),
+                            "value": np.concatenate([np.array(vals, np.float64), tiles["value"].astype("float64")])})
+    # a tile sent again replaces the waiting one; one that has left already does not leave again
+    waiting = waiting.drop_duplicates(["slide", "seq"], keep="last").sort_values(["slide", "seq"], ignore_index=True)
+    waiting = waiting[waiting["seq"].to_numpy() >= open_["next"].reindex(waiting["slide"]).to_numpy()]
+    run = waiting.groupby("slide").cumcount().to_numpy() + open_["next"].reindex(waiting["slide"]).to_numpy() == waiting["seq"].to_numpy()
+    open_["next"] += waiting["slide"][run].value_counts().reindex(open_.index, fill_value=0)
+    done = (open_["final"] != NONE) & (open_["next"] >= open_["final"])
+    late = ~done & (open_["seen"] + timeout_ms <= now) if timeout_ms is not None else done & False
+    gone = late.reindex(waiting["slide"]).to_numpy()
+    out = waiting[run | gone]
+    out = out.assign(closed=done.reindex(out["slide"]).to_numpy())
+    open_ = open_[~done & ~late]
+    waiting = waiting[~run & waiting["slide"].isin(open_.index).to_numpy()]
+    if not len(open_):
+        return out, None
+    return out, tuple(c.tolist() for c in (open_.index, *(open_[c] for c in ("next", "final", "seen")), waiting["slide"], waiting["seq"], waiting["value"]))
+
+
+def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int | None = None, buckets: int = 256) -> DataFrame:
     """Emit tiles ``(slide_id, seq, value, n_final)`` per slide in sequence order.
 
     Tiles that arrive early wait in the state; a message with ``n_final`` announces the number of tiles and
@@ -29,37 +59,27 @@ def ordered_stitch_stream(tiles: DataFrame, timeout_ms: int | None = None) -> Da
     as a safeguard: a slide that stays silent that long gives out its waiting tiles, past the gaps and with closed
     false, and its state is freed. (A timeout keeps the query awake, so leave
     it out when processing what is available and stopping.)
+
+    Slides are dealt by hash into ``buckets``, each with one state row of its open slides, as a call for every slide
+    costs far more than its tiles; null slides are a bucket of their own.
     """
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            _, _, seqs, vals = state.get
-            state.remove()
-            if seqs:
-                late = pd.DataFrame({"slide_id": key[0], "seq": list(seqs), "value": list(vals), "closed": False})
-                yield late.sort_values("seq", ignore_index=True)
-            return
-        nxt, final, seqs, vals = state.get if state.exists else (0, None, [], [])
-        pending = dict(zip(seqs, vals))
-        for pdf in batches:
-            ends = pdf["n_final"].dropna()
-            if len(ends):
-                final = int(ends.iloc[0])
-            data = pdf[pdf["seq"].notna()]
-            pending.update(zip(data["seq"].astype("int64").tolist(), data["value"].tolist()))
-        out, nxt, done = _emit(nxt, final, pending)
-        if done:
-            state.remove()
-        else:
-            state.update((nxt, final, list(pending), list(pending.values())))
+        now = 0 if timeout_ms is None else state.getCurrentProcessingTimeMs()
+        out, held = _stitch(state.get if state.exists else None, [] if state.hasTimedOut else list(batches), now, timeout_ms)
+        if held is not None:
+            state.update(held)
             if timeout_ms is not None:
-                state.setTimeoutDuration(timeout_ms)
-        if out:
-            frame = pd.DataFrame(out, columns=["seq", "value"])
-            yield frame.assign(slide_id=key[0], closed=done)[["slide_id", "seq", "value", "closed"]]
-
-    return tiles.groupBy("slide_id").applyInPandasWithState(
-        step, OUTPUT, "next bigint, final bigint, seqs array<bigint>, vals array<double>", "append",
-        GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
+                state.setTimeoutDuration(max(1, min(held[3]) + timeout_ms - now))
+        elif state.exists:
+            state.remove()
+        if len(out):
+            yield pd.DataFrame({"slide_id": out["slide"] if key[0] >= 0 else pd.array([None] * len(out), "Int64"), "seq": out["seq"].to_numpy(),
+                                "value": out["value"].to_numpy(), "closed": out["closed"].to_numpy()})
+
+    bucket = F.coalesce(F.when(F.col("slide_id").isNotNull(), F.pmod(F.xxhash64("slide_id"), F.lit(buckets))), F.lit(-1)).alias("bucket")
+    dealt = tiles.select(bucket, F.coalesce(F.col("slide_id").cast("bigint"), F.lit(0)).alias("slide"), "seq", "value", "n_final")
+    return dealt.groupBy("bucket").applyInPandasWithState(
+        step, OUTPUT, _STATE, "append", GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 class StitchProcessor(StatefulProcessor):
