@@ -13,21 +13,27 @@ from .raster import PIXEL
 
 # A pixel is coded row * 2^32 + col, so the smallest code of a region is its first pixel in row-major order.
 _CODE = "shiftleft(cast(row as bigint), 32) + col"
+SQUARE = 512  # pixels a side that one call may look at
 _FORWARD = {4: [(0, 1), (1, 0)], 8: [(0, 1), (1, -1), (1, 0), (1, 1)]}
 
 
-def _tile_labels(label: np.ndarray, row: np.ndarray, col: np.ndarray, connectivity: int) -> np.ndarray:
-    """Region number of each listed pixel: the position of its first pixel in the tile's window."""
+def _tile_labels(label: np.ndarray, row: np.ndarray, col: np.ndarray, connectivity: int, tile: int | None = None) -> np.ndarray:
+    """Region number of each listed pixel: the position of its first pixel in the window. With ``tile`` the window holds
+    many tiles and no region leaves its tile."""
     r, c = row - row.min() + 1, col - col.min() + 1
     grid = np.full((r.max() + 2, c.max() + 2), -1, dtype=np.int64)
     width = grid.shape[1]
     grid[r, c] = label
     flat = grid.ravel()
     at = r * width + c
+    stored = np.zeros(flat.size, dtype=bool)
+    stored[at] = True
     pairs = []
     for dr, dc in _FORWARD[connectivity]:
         other = at + dr * width + dc
-        same = flat[at] == flat[other]
+        same = stored[other] & (flat[at] == flat[other])
+        if tile is not None:
+            same &= ((row + dr) // tile == row // tile) & ((col + dc) // tile == col // tile)
         pairs.append(np.stack([at[same], other[same]]))
     a, b = np.concatenate(pairs, axis=1)
     return min_roots(a, b, flat.size)[at]
@@ -37,15 +43,17 @@ def label_components(px: DataFrame, connectivity: int = 4, tile: int = 512) -> D
     """Adds ``comp`` to foreground pixels ``(slide_id, row, col, label, ...)``: equal labels that touch
     (4- or 8-connected) share it. ``comp`` is the code of the region's first pixel.
 
-    Regions are found inside each tile first (a group holds at most tile^2 pixels); only regions that cross
-    a tile border enter the distributed component search.
+    Regions are found inside each tile first; only regions that cross a tile border enter the distributed component
+    search. A call looks at a square of whole tiles at once, as it costs more than a small tile's work; a group holds
+    at most tile^2 or SQUARE^2 pixels.
     """
-    here = [F.floor(F.col("row") / tile).cast("int").alias("_tr"), F.floor(F.col("col") / tile).cast("int").alias("_tc")]
+    side = tile * max(1, SQUARE // tile)
+    here = [F.floor(F.col("row") / side).cast("int").alias("_tr"), F.floor(F.col("col") / side).cast("int").alias("_tc")]
     columns = px.columns
 
     def run(table):
         row, col = table["row"].to_numpy().astype("int64"), table["col"].to_numpy().astype("int64")
-        part = _tile_labels(table["label"].to_numpy().astype("int64"), row, col, connectivity)
+        part = _tile_labels(table["label"].to_numpy().astype("int64"), row, col, connectivity, tile)
         code = (row << 32) + col
         order = np.lexsort((code, part))
         first = np.r_[True, part[order][1:] != part[order][:-1]]

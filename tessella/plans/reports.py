@@ -17,6 +17,7 @@ from ..operators import tilestats as T
 from ..operators import vector as V
 from ..operators.levels import resolve_level
 from ..operators.splits import split_purposes
+from ..session import materialize
 
 
 def evaluate(gt: DataFrame, pred: DataFrame, mapping: dict[int, int] | None, labels: list[int],
@@ -125,6 +126,7 @@ def postprocess_chain(probs: DataFrame, levels: DataFrame, output_class: int, zo
     if dilation:
         px = MO.dilate(px, levels, dilation, tile=tile)
     if fill_diagonal:
+        px = materialize(px)  # the holes, the kept and the other pixels are each read from it
         px = C.fill_holes(px, levels, fill_diagonal, tile=tile, spacings=levels)
     if outline_epsilon is not None:
         return V.outline(px, None, None, True, outline_epsilon, tile, spacings=levels)
