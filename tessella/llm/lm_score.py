@@ -28,6 +28,7 @@ SIDE = 3
 WIDTH, HIDDEN, CLASSES = 16, 24, 64
 ROUNDS = 2
 _BATCH = 4096
+PEAK = 60.0  # exp of logits up to here stays well inside the range of floats
 _OFFSETS = [k for k in range(-SIDE, SIDE + 1) if k]
 
 
@@ -54,6 +55,7 @@ class Vocabulary:
         self.bounds = np.searchsorted(self.cls[by], np.arange(CLASSES + 1))
         self.offset = self.log_share[by].astype(np.float32)
         self.offset[self.slot[0]] = -1e9  # the edge of a document is never predicted
+        self.share = np.exp(self.offset)
 
     def __len__(self) -> int:
         return len(self.count)
@@ -120,66 +122,107 @@ class Network:
         logits -= logits.max(1, keepdims=True)
         return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
+    def class_log_prob(self, hidden: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """The log-probability of one class for each row."""
+        logits = hidden @ self.parts[3]
+        logits += self.parts[4]
+        if not _peak(self.parts[3].T) + np.abs(self.parts[4]).max() < PEAK:
+            logits -= logits.max(1, keepdims=True)
+        mine = logits[np.arange(len(cls)), cls]
+        return mine - np.log(np.exp(logits, out=logits) @ np.ones(CLASSES, np.float32))
+
     def word_log_probs(self, vocabulary: Vocabulary, hidden: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The log-probability of each target word inside its class, over all words of the class."""
+        order, groups = _by_class(vocabulary, target)
+        hidden, slot, high = hidden.take(order, 0), vocabulary.slot[target[order]], not _peak(self.words) < PEAK
+        found = np.empty(len(target), np.float32)
+        for i, j, lo, hi in groups:
+            logits = hidden[i:j] @ self.words[lo:hi].T
+            if high:
+                logits -= logits.max(1, keepdims=True)
+            found[i:j] = logits[np.arange(j - i), slot[i:j] - lo]
+            found[i:j] -= np.log(np.exp(logits, out=logits) @ vocabulary.share[lo:hi])
         out = np.empty(len(target))
-        for some, lo, hi in _by_class(vocabulary, target):
-            logits = hidden[some] @ self.words[lo:hi].T + vocabulary.offset[lo:hi]
-            logits -= logits.max(1, keepdims=True)
-            mine = logits[np.arange(len(some)), vocabulary.slot[target[some]] - lo]
-            out[some] = mine - np.log(np.exp(logits, out=logits).sum(1))
+        out[order] = found + vocabulary.offset[slot]
         return out
 
     def step(self, vocabulary: Vocabulary, context: np.ndarray, target: np.ndarray, rate: float = 0.08) -> None:
-        """One step of adaptive gradient descent on a batch of words and their neighbours."""
+        """One step of adaptive gradient descent on a batch of words and their neighbours, taken in the order of classes.
+
+        What is done for a row or a word alone (normalizing, the target's own part) stays out of the products of rows
+        and words, which are passed over by exp and by the shares only.
+        """
         emb, place, bias, out, out_bias = self.parts
         n = len(target)
-        x = emb[context].reshape(n, -1)
-        hidden = np.tanh(x @ place.reshape(-1, HIDDEN) + bias)
-        logits = hidden @ out + out_bias
-        logits -= logits.max(1, keepdims=True)
-        p = np.exp(logits, out=logits)
-        p /= p.sum(1, keepdims=True)
-        p[np.arange(n), vocabulary.cls[target]] -= 1
-        p /= n
+        order, groups = _by_class(vocabulary, target)
+        context, target = context.take(order, 0), target[order]
+        x = emb.take(context, 0).reshape(n, -1)
+        hidden = x @ place.reshape(-1, HIDDEN)
+        hidden += bias
+        np.tanh(hidden, out=hidden)
+        p = hidden @ out
+        p += out_bias
+        if not _peak(out.T) + np.abs(out_bias).max() < PEAK:
+            p -= p.max(1, keepdims=True)
+        np.exp(p, out=p)
+        p *= (1 / (p @ np.full(CLASSES, n, np.float32)))[:, None]
+        p[np.arange(n), vocabulary.cls[target]] -= np.float32(1 / n)
         d_hidden = p @ out.T
-        for some, lo, hi in _by_class(vocabulary, target):
-            words, h = self.words[lo:hi], hidden[some]
-            z = h @ words.T + vocabulary.offset[lo:hi]
-            z -= z.max(1, keepdims=True)
-            np.exp(z, out=z)
-            z /= z.sum(1, keepdims=True)
-            z[np.arange(len(some)), vocabulary.slot[target[some]] - lo] -= 1
-            d_hidden[some] += z @ words / n
-            grad = z.T @ h / len(some)
-            sq = self.word_squares[lo:hi]
-            sq += grad * grad
-            words -= rate * grad / np.sqrt(sq)
+        slot, high = vocabulary.slot[target], not _peak(self.words) < PEAK
+        d_hidden -= self.words.take(slot, 0) / np.float32(n)
+        one, count = np.ones(max(hi - lo for _, _, lo, hi in groups), np.float32), np.arange(n)
+        for i, j, lo, hi in groups:
+            words, h, sq = self.words[lo:hi], hidden[i:j], self.word_squares[lo:hi]
+            e = h @ words.T
+            if high:
+                e -= e.max(1, keepdims=True)
+            np.exp(e, out=e)
+            e *= vocabulary.share[lo:hi]
+            total = e @ one[:hi - lo]
+            per = (1 / total)[:, None]
+            d_hidden[i:j] += (e @ words) * (per / np.float32(n))
+            e[count[:j - i], slot[i:j] - lo] -= total
+            _descend(words, sq, e.T @ (h * (per / np.float32(j - i))), rate)
         d_hidden *= 1 - hidden * hidden
         d_place = (x.T @ d_hidden).reshape(place.shape)
-        d_x = (d_hidden @ place.reshape(-1, HIDDEN).T).reshape(-1, WIDTH)
-        flat_context = context.reshape(-1)
-        order = np.argsort(flat_context, kind="stable")
-        ordered = flat_context[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        word, d_emb = ordered[first], np.add.reduceat(d_x[order], first, axis=0)
+        d_x = d_hidden @ place.reshape(-1, HIDDEN).T
+        here = np.zeros(len(emb), bool)
+        here[context] = True
+        word = np.flatnonzero(here)
+        rank = np.empty(len(emb), np.intp)
+        rank[word] = np.arange(0, len(word) * WIDTH, WIDTH)
+        at = rank[context.reshape(-1)][:, None] + np.arange(WIDTH)
+        d_emb = np.bincount(at.reshape(-1), d_x.reshape(-1), len(word) * WIDTH).astype(np.float32).reshape(-1, WIDTH)
         for (at, size), part, grad in zip(self.places[1:], self.parts[1:], (d_place, d_hidden.sum(0), hidden.T @ p, p.sum(0)), strict=True):
-            sq = self.squares[at:at + size].reshape(part.shape)
-            sq += grad * grad
-            part -= rate * grad / np.sqrt(sq)
+            _descend(part, self.squares[at:at + size].reshape(part.shape), grad, rate)
         sq = self.squares[:emb.size].reshape(emb.shape)
-        sq[word] += d_emb * d_emb
-        emb[word] -= rate * d_emb / np.sqrt(sq[word])
+        moved, squares = emb.take(word, 0), sq.take(word, 0)
+        _descend(moved, squares, d_emb, rate)
+        emb[word], sq[word] = moved, squares
+
+
+def _peak(weights: np.ndarray) -> float:
+    """No logit is beyond this, as a hidden layer lies in -1 to 1. Only logits beyond PEAK are shifted by their maximum."""
+    return float((np.abs(weights) @ np.ones(weights.shape[1], np.float32)).max())
+
+
+def _descend(part: np.ndarray, squares: np.ndarray, grad: np.ndarray, rate: float) -> None:
+    """An adaptive step in place; ``grad`` is used up."""
+    root = grad * grad
+    squares += root
+    np.sqrt(squares, out=root)
+    grad /= root
+    grad *= np.float32(rate)
+    part -= grad
 
 
-def _by_class(vocabulary: Vocabulary, target: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
-    """For each class among the targets: which they are, and the first and last place of the class."""
+def _by_class(vocabulary: Vocabulary, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int, int]]]:
+    """The targets' order by class; for each class among them the first and last of its targets and of its words."""
     cls = vocabulary.cls[target].astype(np.int16)
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield order[cuts[c]:cuts[c + 1]], int(vocabulary.bounds[c]), int(vocabulary.bounds[c + 1])
+    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1)).tolist()
+    bounds = vocabulary.bounds.tolist()
+    return order, [(cuts[c], cuts[c + 1], bounds[c], bounds[c + 1]) for c in range(CLASSES) if cuts[c] < cuts[c + 1]]
 
 
 def _words(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -298,7 +341,7 @@ def log_probs(vocabulary: Vocabulary, net: Network, tables: np.ndarray, h: np.nd
     for i in range(0, len(ids), block):
         hidden = net.hidden(tables, line[place[i:i + block][:, None] + around])
         some = ids[i:i + block]
-        out[i:i + block] = net.classes(hidden)[np.arange(len(some)), vocabulary.cls[some]] + net.word_log_probs(vocabulary, hidden, some)
+        out[i:i + block] = net.class_log_prob(hidden, vocabulary.cls[some]) + net.word_log_probs(vocabulary, hidden, some)
     return out
 
 

@@ -358,3 +358,94 @@ def test_pipeline_keeps_user_columns_repeats_and_other_texts(spark, sf):
         assert stage(spark, wide.where("false"), sf).count() == 0
     kept = corpus_pipeline.one_of_each_group(spark, wide, sf).where(F.col("doc_id").isin(*ids)).select("text").collect()
     assert len(kept) == len({r.text for r in kept}) == 2
+
+
+def _plain_step(net, vocabulary, context, target, rate=0.08):
+    """The training step with every softmax written out."""
+    emb, place, bias, out, out_bias = net.parts
+    n, hidden_width = len(target), len(bias)
+    x = emb[context].reshape(n, -1)
+    hidden = np.tanh(x @ place.reshape(-1, hidden_width) + bias)
+
+    def softmax(z):
+        e = np.exp(z - z.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True)
+
+    p = softmax(hidden @ out + out_bias)
+    p[np.arange(n), vocabulary.cls[target]] -= 1
+    p /= n
+    d_hidden, d_words = p @ out.T, np.zeros_like(net.words)
+    for c in np.unique(vocabulary.cls[target]):
+        some, lo, hi = np.flatnonzero(vocabulary.cls[target] == c), vocabulary.bounds[c], vocabulary.bounds[c + 1]
+        z = softmax(hidden[some] @ net.words[lo:hi].T + vocabulary.offset[lo:hi])
+        z[np.arange(len(some)), vocabulary.slot[target[some]] - lo] -= 1
+        d_hidden[some] += z @ net.words[lo:hi] / n
+        d_words[lo:hi] = z.T @ hidden[some] / len(some)
+    d_hidden *= 1 - hidden * hidden
+    d_emb = np.zeros_like(emb)
+    np.add.at(d_emb, context.reshape(-1), (d_hidden @ place.reshape(-1, hidden_width).T).reshape(-1, emb.shape[1]))
+    grad = np.concatenate([g.reshape(-1) for g in (d_emb, x.T @ d_hidden, d_hidden.sum(0), hidden.T @ p, p.sum(0), d_words)])
+    net.squares += grad * grad
+    net.flat -= rate * grad / np.sqrt(net.squares)
+
+
+def _zipf(words):
+    rng = np.random.default_rng(3)
+    h = np.unique(rng.integers(0, 1 << 60, words)).astype(np.uint64)
+    vocabulary = lm_score.Vocabulary(h, (1e6 / np.arange(1, len(h) + 1)).astype(np.int64) + 1, rng.integers(50, 3000, lm_score.BUCKETS))
+    share = vocabulary.count / vocabulary.count.sum()
+    return vocabulary, lambda n: (rng.choice(len(share), (n, 2 * lm_score.SIDE), p=share), rng.choice(len(share), n, p=share))
+
+
+@pytest.mark.parametrize("scale", [1, 60])
+def test_lm_step_is_the_plain_one(scale):
+    """Also with weights so large that exp needs rows shifted by their maximum."""
+    vocabulary, batch = _zipf(3000)
+    nets = [lm_score.Network(len(vocabulary)) for _ in range(2)]
+    for net in nets:
+        net.words += np.random.default_rng(1).standard_normal(net.words.shape).astype(np.float32) * 0.1 * scale
+        net.parts[3][:] *= scale
+    for _ in range(3):
+        context, target = batch(2000)
+        nets[0].step(vocabulary, context, target)
+        _plain_step(nets[1], vocabulary, context, target)
+    assert np.isfinite(nets[0].flat).all() and np.allclose(nets[0].flat, nets[1].flat, atol=2e-3 * scale)
+    hidden, cls = nets[0].hidden(nets[0].tables(), context), vocabulary.cls[target]
+    assert np.allclose(nets[0].class_log_prob(hidden, cls), nets[0].classes(hidden)[np.arange(len(cls)), cls], atol=1e-3)
+    at = vocabulary.slot[target[:50]]
+    lo, hi = vocabulary.bounds[cls[:50]], vocabulary.bounds[cls[:50] + 1]
+    want = []
+    for k in range(50):
+        z = nets[0].words[lo[k]:hi[k]].astype(np.float64) @ hidden[k] + vocabulary.offset[lo[k]:hi[k]]
+        want.append(z[at[k] - lo[k]] - z.max() - np.log(np.exp(z - z.max()).sum()))
+    assert np.allclose(nets[0].word_log_probs(vocabulary, hidden[:50], target[:50]), want, atol=1e-3)
+
+
+def test_lm_scores_pass_over_all_pairs_once():
+    """Scoring words took as long as every softmax written out."""
+    import time
+    vocabulary, batch = _zipf(19000)
+    net = lm_score.Network(len(vocabulary))
+    context, target = batch(1 << 15)
+    hidden = net.hidden(net.tables(), context)
+    cls = vocabulary.cls[target]
+
+    def plain():
+        net.classes(hidden)[np.arange(len(cls)), cls]
+        for c in range(lm_score.CLASSES):
+            some, lo, hi = np.flatnonzero(cls == c), vocabulary.bounds[c], vocabulary.bounds[c + 1]
+            z = hidden[some] @ net.words[lo:hi].T + vocabulary.offset[lo:hi]
+            z -= z.max(1, keepdims=True)
+            z[np.arange(len(some)), vocabulary.slot[target[some]] - lo] - np.log(np.exp(z, out=z).sum(1))
+
+    def now():
+        net.class_log_prob(hidden, cls)
+        net.word_log_probs(vocabulary, hidden, target)
+
+    took = {plain: [], now: []}
+    for _ in range(9):
+        for f in took:
+            start = time.process_time()
+            f()
+            took[f].append(time.process_time() - start)
+    assert min(took[now]) < 0.8 * min(took[plain])
