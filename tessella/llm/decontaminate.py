@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from ..session import materialize
 from .fm_index import FMIndex
 from .text import ALNUM, LOWER, chunks, flat, hash_spans, row_slices, word_spans
+from .workers import give_back, lean
 
 WINDOW = 13
 SHARD_BYTES = 1 << 22
@@ -60,8 +61,9 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held.append(chunk)
         size += len(flat(chunk.column("text"))[0])
         if size >= SHARD_BYTES:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held, size = [], 0
+            shard, held, size = pa.Table.from_batches(held).combine_chunks(), [], 0
+            yield shard
+            del shard, chunk  # whoever reads on has let go of it
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
@@ -149,6 +151,8 @@ def _scan(shared, merge: bool, names: list[str]):
                     "spans": pa.array([[dict(zip(ends, s, strict=True)) for s in x] for x in out_spans], kind),
                     "items": pa.array(out_items, pa.list_(pa.string()))}).to_batches(max_chunksize=2000):
                 yield chunk
+            del shard, col, coded, b0, b1, rows, at, mask, pairs, chunk  # else they stand beside the next shard
+            give_back()
     return run
 
 
@@ -185,7 +189,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
         part = bench if passes == 1 else bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
         rows = part.collect()
         shared = spark.sparkContext.broadcast(phrases([r["item_id"] for r in rows], [r["text"] for r in rows], window))
-        out = out.mapInArrow(_scan(shared, k > 0, names), schema)
+        out = out.mapInArrow(lean(_scan(shared, k > 0, names)), schema)
         if k < passes - 1:
             out = materialize(out)
     return out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["word_end"] - s["word_start"]))

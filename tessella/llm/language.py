@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .linear import Rows, calibrate, fit_svm, margin, sigmoid, stack
 from .text import LOWER, chunks, flat
+from .workers import lean
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
@@ -162,7 +163,7 @@ def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> Hierarchy | None:
         return None
     each = max(1, max_rows // len(counts))
     share = F.create_map(*[v for k, n in sorted(counts.items()) for v in (F.lit(k), F.lit(min(1.0, each / n)))])
-    got = (rows.where(F.col("_u") < share[F.col("lang")]).select("text", "lang").mapInArrow(_sampled, "lang string, col array<int>, val array<float>")
+    got = (rows.where(F.col("_u") < share[F.col("lang")]).select("text", "lang").mapInArrow(lean(_sampled), "lang string, col array<int>, val array<float>")
            .limit(4 * max_rows + 64).toArrow().combine_chunks())
     if not got.num_rows:
         return None
@@ -196,7 +197,7 @@ def identify(docs: DataFrame, model: Hierarchy | None, names: tuple[str, str] =
                 score = np.where(known, share, 0.0)
             yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*others, *names])
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))
+    return kept.mapInArrow(lean(run), StructType([*kept.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())]))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.graph import connected_roots
 from ..session import Table, materialize
 from .text import LOWER, NON_SPACE, chunks, combine, flat, hash_spans, mix, row_slices, word_spans
+from .workers import lean
 
 WORDS = 5
 FREQUENT_LIMIT = 1 << 18  # tokens whose order is by count; it steers speed, not results
@@ -191,7 +192,7 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, t_num: int, t_den: in
     """The pairs ``(a, b)`` that are similar."""
     both = (pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b"))
-    return both.mapInArrow(_verify(words, t_num, t_den), "a long, b long")
+    return both.mapInArrow(lean(_verify(words, t_num, t_den)), "a long, b long")
 
 
 def _roots(links: DataFrame) -> DataFrame:
@@ -242,7 +243,7 @@ def _one_text_each(docs: DataFrame, words: int, t_num: int, t_den: int) -> DataF
     """``near_duplicates`` where no doc_id stands at different texts."""
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialize(base.mapInArrow(_profile(words), "doc_id long, n long, h1 long, h2 long, is_doc boolean"))
+    rows = materialize(base.mapInArrow(lean(_profile(words)), "doc_id long, n long, h1 long, h2 long, is_doc boolean"))
     sets = rows.where("is_doc").drop("is_doc")
     top = (rows.where("NOT is_doc").groupBy(F.col("h1").alias("token")).agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "token").limit(FREQUENT_LIMIT).toArrow())
@@ -255,11 +256,11 @@ def _one_text_each(docs: DataFrame, words: int, t_num: int, t_den: int) -> DataF
     # the class is found again from the text, so that no text has to be shuffled for it
     texts = base.withColumn("node", F.col("doc_id"))
     if sets.where("doc_id IS NULL AND n > 0").limit(1).count():
-        lost = base.where("doc_id IS NULL").mapInArrow(_with_node(words), "doc_id long, text string, node long")
+        lost = base.where("doc_id IS NULL").mapInArrow(lean(_with_node(words)), "doc_id long, text string, node long")
         texts = base.where("doc_id IS NOT NULL").withColumn("node", F.col("doc_id")).unionByName(lost)
     texts = texts.select("node", "text")
 
-    posts = texts.mapInArrow(_postings(words, t_num, t_den, frequent), "token long, part int, node long, n int, pos int")
+    posts = texts.mapInArrow(lean(_postings(words, t_num, t_den, frequent)), "token long, part int, node long, n int, pos int")
     posts = posts.withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("token", "part"))).where("_m > 1 OR part > 0").drop("_m")
     own_class = sets.where("n > 0").select(own.alias("doc"), "h1", "h2").join(classes.select("h1", "h2", "node"), ["h1", "h2"])
     moved = materialize(own_class.where("doc != node").select(F.col("doc").alias("a"), F.col("node").alias("b")).distinct())

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from .text import chunks
 from .tokens import WORD_BPE, encoder, with_end
+from .workers import lean
 
 CAPACITY = 2048
 
@@ -123,7 +124,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str = WORD_BPE, capacity: int = CAPAC
     its encoder with the task, for jobs in which other stages need the memory.
     """
     return (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(_cut(tokenizer, end_id, capacity, release),
+            .mapInArrow(lean(_cut(tokenizer, end_id, capacity, release)),
                         "doc_id long, piece int, start long, length long, ids binary, part int, nth long"))
 
 
@@ -160,7 +161,7 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                                              ["part", "length", "nth", "sequence_id", "offset"])
 
     ranked = key.join(base, ["part", "length"]).select("part", "length", "nth", (F.col("base") + F.col("nth")).alias("rank"))
-    return ranked.mapInArrow(run, "part int, length long, nth long, sequence_id long, offset long")
+    return ranked.mapInArrow(lean(run), "part int, length long, nth long, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = WORD_BPE, capacity: int = CAPACITY, carry=None, release: bool = False) -> DataFrame:

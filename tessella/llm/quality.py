@@ -22,6 +22,7 @@ from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 from ..session import materialize
 from .linear import Rows, calibrate, fit_logistic, margin, sigmoid, stack
 from .text import ALNUM, LOWER, chunks, flat, hash_spans, word_spans
+from .workers import lean
 
 LABELLED_ROWS = 5000  # the bound of the labelled sample
 ROUNDS = 2
@@ -148,7 +149,7 @@ def _certain(shared, k: int):
 def pseudo_labels(base: DataFrame, models: dict, limits: dict, most: int) -> dict[tuple[str, int, int], pa.Table]:
     """Per target, view and class at most ``most`` different texts (hash, text, meta) of which the view is certain, over all documents."""
     shared = base.sparkSession.sparkContext.broadcast((models, limits))
-    sure = materialize(base.mapInArrow(_certain(shared, most), "target string, view int, label int, hash long, text array<int>, meta array<int>"))
+    sure = materialize(base.mapInArrow(lean(_certain(shared, most)), "target string, view int, label int, hash long, text array<int>, meta array<int>"))
     once = sure.groupBy("target", "view", "label", "hash").agg(F.min(F.struct("meta", "text")).alias("r"))
     place = F.row_number().over(Window.partitionBy("target", "view", "label").orderBy("hash"))
     top = once.withColumn("_n", place).where(F.col("_n") <= most).orderBy("target", "view", "label", "hash").select("target", "view", "label", "hash", "r.text", "r.meta").toArrow()
@@ -214,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = LABELLED_ROWS, rou
               .limit(2 * max_rows))
     base = _base(docs)
     got = (base.join(F.broadcast(sample), "doc_id")  # at most 2 * max_rows rows of three numbers
-           .mapInArrow(_labelled, "quality int, toxic int, text array<int>, meta array<int>").limit(2 * max_rows).toArrow())
+           .mapInArrow(lean(_labelled), "quality int, toxic int, text array<int>, meta array<int>").limit(2 * max_rows).toArrow())
     if not got.num_rows:
         return None
     order = np.random.default_rng(3).permutation(got.num_rows)
@@ -285,5 +286,5 @@ def score(docs: DataFrame, model: Combined | None, threshold: float = 0.5) -> Da
                 got = [pa.array(good), pa.array(bad), pa.array((good >= threshold) & (bad < threshold))]
             yield pa.RecordBatch.from_arrays([*chunk.columns, *got], [*names, *added])
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField("quality", DoubleType()), StructField("toxic", DoubleType()),
+    return kept.mapInArrow(lean(run), StructType([*kept.schema.fields, StructField("quality", DoubleType()), StructField("toxic", DoubleType()),
                                             StructField("keep", BooleanType())]))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 21
-_HASH_BLOCK = 1 << 20
+_HASH_BLOCK = 1 << 16
 _R = 0x9E3779B97F4A7C15  # odd, so its powers have inverses modulo 2^64
 _R_INVERSE = pow(_R, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240611).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
