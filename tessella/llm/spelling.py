@@ -10,6 +10,9 @@ Pivots stand where they stood: if the edit lies right of the left pivot, both wo
 if it lies left of the right pivot, they end alike from its start. A posting is therefore kept under that whole
 beginning or ending, which is a tighter position limit than an offset. Where many words share one, its postings are
 dealt on by what is left of them after each possible deletion. Words that meet are verified.
+
+Joins are hinted as merge joins: Spark sizes postings as the words they come from, exploded rows as one row and a written
+table by its compressed files, each far too low, and would broadcast what does not fit into the driver.
 """
 
 from __future__ import annotations
@@ -164,7 +167,7 @@ def _meet(posts: DataFrame, keys: list[str]) -> DataFrame:
     prefix = posts.where("NOT is_pivot").select(*keys, F.col("word").alias("y"), F.col("n").alias("n_y"), F.col("last").alias("last_y"))
     close = "last_x <= last_y AND abs(length(x) - length(y)) <= 1 AND levenshtein(x, y, 1) = 1"
     first = F.col("x") < F.col("y")
-    return (pivot.join(prefix, keys).where("x != y").where(close)
+    return (pivot.join(prefix.hint("merge"), keys).where("x != y").where(close)
             .select(*[F.when(first, F.col(f"{a}x")).otherwise(F.col(f"{a}y")).alias(f"{a}a") for a in ("", "n_")],
                     *[F.when(first, F.col(f"{a}y")).otherwise(F.col(f"{a}x")).alias(f"{a}b") for a in ("", "n_")]))
 
@@ -175,7 +178,7 @@ def near_words(words: DataFrame) -> DataFrame:
     posts = words.select("word", "n").mapInArrow(_postings(shared), "word string, n long, part string, begins boolean, is_pivot boolean, last int")
     posts = posts.withColumn("key", F.xxhash64("part", "begins"))
     size = posts.groupBy("key").agg(F.count_if("is_pivot").alias("asks"), F.count_if(~F.col("is_pivot")).alias("size")).where("asks > 0 AND size > 1").drop("asks")
-    posts = materialize(posts.join(size, "key").withColumn("crowded", F.col("size") > CROWDED).drop("size"))
+    posts = materialize(posts.join(size.hint("merge"), "key").withColumn("crowded", F.col("size") > CROWDED).drop("size"))
     few = _meet(posts.where("NOT crowded").drop("part", "begins"), ["key"])
     # what follows the shared part, whole and with each code point left out: one edit apart, two words share one of these
     rest = F.when(F.col("begins"), F.expr("substr(word, length(part) + 1)")).otherwise(F.expr("substr(word, 1, length(word) - length(part))"))
@@ -197,18 +200,18 @@ def variants(words: DataFrame) -> DataFrame:
         pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("n_a").alias("n_near")))
     best = each.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("n_near")).alias("m"), "near")).alias("best"))
     bigger = -F.col("best.m") >= 2 * F.col("n")
-    rows = materialize(words.select("word", "n").join(best, "word", "left").select(
+    rows = materialize(words.select("word", "n").join(best.hint("merge"), "word", "left").select(
         "word", "n", F.when(bigger, F.col("best.near")).alias("form"), F.when(bigger, -F.col("best.m")).alias("form_n"),
         F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near")))
     step = Table(rows.where("form IS NOT NULL").select("word", F.col("form").alias("root")), n=F.count(F.lit(1)))
     moved = step.metrics["n"]
     while moved:
         ahead = step.df.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        after = Table(step.df.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
+        after = Table(step.df.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")),
                       moved=F.count_if("moved"))
         step.drop()
         step, moved = after, after.metrics["moved"]
-    return rows.join(step.df.select("word", "root"), "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return rows.join(step.df.select("word", "root").hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_variants(docs: DataFrame) -> DataFrame:

@@ -113,3 +113,23 @@ def test_pivots_are_the_rarest_disjoint_bigrams():
 def test_damage_takes_the_code_point_the_checksum_names():
     seed, word = next((s, w) for s in range(10**6) for w in ["déjàvu"] if zlib.crc32(w.encode(), s) % 97 == 0)
     assert len(S.damaged(word, seed)) == 5 and S.damaged(word, seed + 1) in (word, S.damaged(word, seed + 1))
+
+
+def test_postings_are_never_broadcast(spark, monkeypatch):
+    """Before: postings were sized as the words they come from, and 1.2 GB of them were broadcast on 0.5 GB of documents."""
+    plans = []
+
+    def seen(write):
+        def run(df, *args, **metrics):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return write(df, *args, **metrics)
+        return run
+    monkeypatch.setattr(S, "materialize", seen(S.materialize))
+    monkeypatch.setattr(S, "Table", seen(S.Table))
+    monkeypatch.setattr(S, "CROWDED", 4)
+    words = random_words(5, 200, "abcdé", 8)
+    out = S.variants(spark.createDataFrame(list(words.items()), "word string, n long"))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert got(out) == expected(words)
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 5
+    assert not any("Broadcast" in p for p in plans)
