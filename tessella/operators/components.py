@@ -73,9 +73,9 @@ def label_components(px: DataFrame, connectivity: int = 4, tile: int = 512) -> D
                   f" OR floor((col + s.dc) / {tile}) != floor(col / {tile})")
            .select("slide_id", (F.col("row") + F.col("s.dr")).alias("row"), (F.col("col") + F.col("s.dc")).alias("col"),
                    "label", "a"))
-    edges = out.join(rim.withColumnRenamed("part", "b"), [*PIXEL, "label"]).select("slide_id", "a", "b")
+    edges = out.join(rim.withColumnRenamed("part", "b").hint("merge"), [*PIXEL, "label"]).select("slide_id", "a", "b")
     roots = connected_roots(edges)
-    return (local.join(roots.withColumnRenamed("node", "part"), ["slide_id", "part"], "left")
+    return (local.join(roots.withColumnRenamed("node", "part").hint("merge"), ["slide_id", "part"], "left")
             .select(*columns, F.coalesce("root", "part").alias("comp")))
 
 
@@ -92,7 +92,7 @@ def _small_regions(comps: DataFrame, diagonal: float, spacings: DataFrame | None
     h, w = F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")
     stats, limit = component_stats(comps), F.lit(float(diagonal))
     if spacings is not None:
-        stats = stats.join(spacings.select("slide_id", "spacing"), "slide_id")
+        stats = stats.join(spacings.select("slide_id", "spacing").hint("merge"), "slide_id")
         limit = diagonal / F.col("spacing")
     return stats.where(F.sqrt((h * h + w * w).cast("double")) <= limit).select("slide_id", "comp")
 
@@ -107,7 +107,7 @@ def filter_regions(px: DataFrame, diagonal: float, connectivity: int = 4, foregr
     comps = label_components(base.where(fg).withColumn("own", F.col("label")).withColumn("label", F.lit(1)),
                              connectivity, tile)
     small = _small_regions(comps, diagonal, spacings).withColumn("_small", F.lit(1))
-    kept = (comps.join(small, ["slide_id", "comp"], "left")
+    kept = (comps.join(small.hint("merge"), ["slide_id", "comp"], "left")
             .select(*PIXEL, F.when(F.col("_small").isNull(), F.col("own")).otherwise(F.lit(background))
                     .cast("int").alias("label")))
     return kept.unionByName(base.where(~fg))
@@ -169,6 +169,8 @@ def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity:
     The background is never laid out. A tile with foreground yields its background parts, a tile without is one part. Parts that are
     too large alone can't belong to a small region: they only mark their neighbours, and no chain of parts is followed through them.
     Regions are put together from the small parts that reach another tile; pixels are written for what is filled.
+    Joins are hinted as merge joins: the planner sizes laid out rims and runs as the compressed parts they come from, and pixels
+    below the slides they lie in, and would broadcast them.
     """
     fg = F.col("label").isin(foreground) if foreground is not None else F.col("label") != 0
     fg = F.coalesce(fg, F.lit(False))
@@ -179,7 +181,7 @@ def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity:
     else:
         size = size.join(spacings.select("slide_id", (diagonal / F.col("spacing")).cast("double").alias("_limit")), "slide_id", "left")
     here = [F.floor(F.col(c) / tile).cast("int").alias(f"_t{c[0]}") for c in ("row", "col")]
-    inside = base.where(fg).join(size, "slide_id").where("row >= 0 AND col >= 0 AND row < _rows AND col < _cols").select(
+    inside = base.where(fg).join(size.hint("merge"), "slide_id").where("row >= 0 AND col >= 0 AND row < _rows AND col < _cols").select(
         "slide_id", "row", "col", "_rows", "_cols", "_limit", *here)
     shape = (f"slide_id {px.schema['slide_id'].dataType.simpleString()}, _tr int, _tc int, _limit double, part bigint, big boolean, y0 int, x0 int, y1 int, x1 int, "
              "runs array<struct<row: int, first: int, last: int>>, rim array<bigint>")
@@ -189,7 +191,7 @@ def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity:
     grid = (size.withColumn("_tr", F.explode(F.expr(f"sequence(0, cast(ceil(_rows / {tile}) as int) - 1)")))
             .withColumn("_tc", F.explode(F.expr(f"sequence(0, cast(ceil(_cols / {tile}) as int) - 1)"))).where("_rows > 0 AND _cols > 0"))
     y0, x0 = F.col("_tr") * tile, F.col("_tc") * tile
-    empty = grid.join(parts.select(*at).distinct(), at, "left_anti").select(
+    empty = grid.join(parts.select(*at).distinct().hint("merge"), at, "left_anti").select(
         *at, "_limit", y0.alias("y0"), x0.alias("x0"), F.least(y0 + tile, "_rows").alias("y1"), F.least(x0 + tile, "_cols").alias("x1"))
     reach = F.expr("sqrt(cast((y1 - y0) * (y1 - y0) + (x1 - x0) * (x1 - x0) as double))")
     empty = empty.withColumn("part", F.expr("shiftleft(cast(y0 as bigint), 32) + x0")).withColumn("big", ~F.coalesce(reach <= F.col("_limit"), F.lit(False)))
@@ -202,10 +204,10 @@ def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity:
         F.col("_tr").alias("_r"), F.col("_tc").alias("_c"), F.expr(f"array_contains(array({', '.join(f'{dr * 3 + dc}' for dr, dc in forward)}), s.dr * 3 + s.dc)").alias("_on")
     ).select("*", *here).where("_tr != _r OR _tc != _c")
     other = [F.col("part").alias("b"), F.col("big").alias("b_big")]
-    pixel_pairs = moved.where("_on").join(rim.select(*PIXEL, *other), PIXEL)
-    beside_empty = moved.select(*at, "a", "a_big").distinct().join(empty.select(*at, *other), at)
+    pixel_pairs = moved.where("_on").join(rim.select(*PIXEL, *other).hint("merge"), PIXEL)
+    beside_empty = moved.select(*at, "a", "a_big").distinct().join(empty.select(*at, *other).hint("merge"), at)
     empty_pairs = (empty.select("slide_id", F.col("part").alias("a"), F.col("big").alias("a_big"), "_tr", "_tc", _steps(forward))
-                   .withColumn("_tr", F.col("_tr") + F.col("s.dr")).withColumn("_tc", F.col("_tc") + F.col("s.dc")).join(empty.select(*at, *other), at))
+                   .withColumn("_tr", F.col("_tr") + F.col("s.dr")).withColumn("_tc", F.col("_tc") + F.col("s.dc")).join(empty.select(*at, *other).hint("merge"), at))
     link = ["slide_id", "a", "a_big", "b", "b_big"]
     links = materialize(pixel_pairs.select(*link).union(beside_empty.select(*link)).union(empty_pairs.select(*link)).where("NOT (a_big AND b_big)").distinct())
     marked = links.where("a_big != b_big").select("slide_id", F.when(F.col("a_big"), F.col("b")).otherwise(F.col("a")).alias("part"), F.lit(True).alias("_open")).distinct()
@@ -215,15 +217,15 @@ def fill_holes(px: DataFrame, levels: DataFrame, diagonal: float, connectivity:
     keep = ["slide_id", "part", "_limit", "y0", "x0", "y1", "x1", "runs"]
     fits = parts.where("NOT big")
     crossing = fits.where("size(rim) > 0").select(*keep).unionByName(empty.where("NOT big").withColumn("runs", whole).select(*keep))
-    crossing = (crossing.join(roots, ["slide_id", "part"], "left").join(marked, ["slide_id", "part"], "left").withColumn("root", F.coalesce("root", "part")))
+    crossing = (crossing.join(roots.hint("merge"), ["slide_id", "part"], "left").join(marked.hint("merge"), ["slide_id", "part"], "left").withColumn("root", F.coalesce("root", "part")))
     small = (crossing.groupBy("slide_id", "root").agg(F.min("y0").alias("y0"), F.min("x0").alias("x0"), F.max("y1").alias("y1"), F.max("x1").alias("x1"),
                                                       F.max("_limit").alias("_limit"), F.max("_open").alias("_open"))
              .where(F.col("_open").isNull() & (reach <= F.col("_limit"))).select("slide_id", "root"))
     runs = fits.where("size(rim) = 0").select("slide_id", "runs").unionByName(
-        crossing.join(small, ["slide_id", "root"], "left_semi").select("slide_id", "runs"))
+        crossing.join(small.hint("merge"), ["slide_id", "root"], "left_semi").select("slide_id", "runs"))
     filled = (runs.select("slide_id", F.inline("runs")).select("slide_id", "row", F.explode(F.sequence("first", "last")).alias("col"))
               .select("slide_id", *[F.col(c).cast(px.schema[c].dataType).alias(c) for c in ("row", "col")], F.lit(fill_value).alias("label")))
-    rest = base.where(~fg).join(filled.select(*PIXEL), PIXEL, "left_anti")
+    rest = base.where(~fg).join(filled.select(*PIXEL).hint("merge"), PIXEL, "left_anti")
     return base.where(fg).unionByName(rest).unionByName(filled)
 
 

@@ -29,14 +29,15 @@ def _contract(edges: DataFrame, key: str) -> DataFrame:
     """One large-star and one small-star step on ``(key, a, b)`` with a > b.
 
     Both steps only need the smallest neighbour per node, which aggregates map-side, and a join back; a
-    node that touches a third of all edges is never collected.
+    node that touches a third of all edges is never collected. Merge hints keep a round's table, which is
+    sized by its compressed files, from being broadcast.
     """
     both = edges.union(edges.select(key, F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy(key, "a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    large = (both.where("b > a").join(low, [key, "a"]).select(key, F.col("b").alias("a"), F.col("m").alias("b"))
+    large = (both.where("b > a").join(low.hint("merge"), [key, "a"]).select(key, F.col("b").alias("a"), F.col("m").alias("b"))
              .where("a > b").distinct())
     low2 = large.groupBy(key, "a").agg(F.min("b").alias("m"))
-    linked = large.join(low2, [key, "a"])
+    linked = large.join(low2.hint("merge"), [key, "a"])
     return (linked.select(key, F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
             .union(low2.select(key, "a", F.col("m").alias("b"))).distinct())
 

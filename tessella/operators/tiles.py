@@ -17,10 +17,12 @@ def _span(index: str, last, tile: int):
 
 
 def with_halo(px: DataFrame, levels: DataFrame, tile: int, halo: int | str) -> DataFrame:
-    """Tag each pixel with every tile that needs it: its own and those within ``halo``, a number or a column of ``levels``."""
+    """Tag each pixel with every tile that needs it: its own and those within ``halo``, a number or a column of ``levels``.
+
+    The merge hint keeps pixels from being broadcast to the slides where the planner sizes them lower."""
     reach = (F.col(halo) if isinstance(halo, str) else F.lit(halo)).cast("int")
     size = levels.select("slide_id", F.col("rows").cast("int").alias("_rows"), F.col("cols").cast("int").alias("_cols"), reach.alias("_halo"))
-    out = px.join(size, "slide_id")
+    out = px.join(size.hint("merge"), "slide_id")
     out = out.withColumn("_tr", _span("row", F.floor((F.col("_rows") - 1) / tile), tile))
     return out.withColumn("_tc", _span("col", F.floor((F.col("_cols") - 1) / tile), tile))
 

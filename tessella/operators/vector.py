@@ -314,7 +314,7 @@ def _rank_rings(segments: DataFrame) -> DataFrame:
     rounds = int(cur.metrics["longest"] or 1).bit_length() + 1
     for _ in range(rounds):
         ahead = cur.df.select(*ring, F.col("node").alias("next"), F.col("next").alias("_next"), F.col("dist").alias("_dist"))
-        nxt = Table(cur.df.join(ahead, [*ring, "next"], "left").select(
+        nxt = Table(cur.df.join(ahead.hint("merge"), [*ring, "next"], "left").select(
             *ring, "node", "size", F.col("_next").alias("next"), (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist")))
         cur.drop()
         cur = nxt
@@ -347,7 +347,7 @@ def _simplify_rounds(points: DataFrame, epsilon: float) -> DataFrame:
         kept.append(split.df.select(*ring, F.col("k").alias("pos"), F.col("ky").alias("y"), F.col("kx").alias("x")))
         left = F.col("pos") < F.col("k")
         pick = lambda a, b, n: F.when(left, F.col(a)).otherwise(F.col(b)).alias(n)
-        nxt = Table(cur.df.join(split.df, [*ring, "lo"]).where("pos != k").select(
+        nxt = Table(cur.df.join(split.df.hint("merge"), [*ring, "lo"]).where("pos != k").select(
             *ring, "pos", "y", "x", pick("lo", "k", "lo"), pick("k", "hi", "hi"), pick("y0", "ky", "y0"), pick("x0", "kx", "x0"),
             pick("ky", "y1", "y1"), pick("kx", "x1", "x1")), n=F.count(F.lit(1)))
         cur.drop()
